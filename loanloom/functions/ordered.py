@@ -53,40 +53,43 @@ def totals_before(
     bucket: Column | None = None,
     descending: bool = False,
 ) -> DataFrame:
-    """Add ``<measure>_before``: the sum of ``measure`` over strictly earlier values of the same keys.
+    """Add ``<measure>_before`` and ``<measure>_total``: sums over strictly earlier values, and over all, of the keys.
 
     ``hist`` holds one row per (keys, value). ``bucket`` must not decrease as
     ``value`` grows. NULL values come first ascending and last descending.
     """
-    whole = [F.lit(0)]
 
-    def ordered(columns: Sequence[Column | str], by: str):
+    def ordered(columns: Sequence[str], by: str):
         order = F.col(by).desc_nulls_last() if descending else F.col(by).asc_nulls_first()
-        return (
-            Window.partitionBy(*(columns or whole))
-            .orderBy(order)
-            .rowsBetween(Window.unboundedPreceding, -1)
-        )
+        window = Window.partitionBy(*(columns or [F.lit(0)])).orderBy(order)
+        return window.rowsBetween(Window.unboundedPreceding, -1)
 
     def running(measure: str, window) -> Column:
         return F.coalesce(F.sum(measure).over(window), F.lit(0))
 
+    group = Window.partitionBy(*(keys or [F.lit(0)]))
     if bucket is None:
-        fine = ordered(list(keys), value)
-        return hist.withColumns({f"{m}_before": running(m, fine) for m in measures})
+        fine = ordered(keys, value)
+        before = {f"{m}_before": running(m, fine) for m in measures}
+        return hist.withColumns(before | {f"{m}_total": F.sum(m).over(group) for m in measures})
 
     binned = hist.withColumn(_BUCKET, bucket)
-    coarse_window = ordered(list(keys), _BUCKET)
+    coarse = ordered(keys, _BUCKET)
     offsets = (
         binned.groupBy(*keys, _BUCKET)
         .agg(*[F.sum(m).alias(m) for m in measures])
-        .select(*keys, _BUCKET, *[running(m, coarse_window).alias(f"__offset_{m}") for m in measures])
+        .select(
+            *keys,
+            _BUCKET,
+            *[running(m, coarse).alias(f"{m}_offset") for m in measures],
+            *[F.sum(m).over(group).alias(f"{m}_total") for m in measures],
+        )
     )
     fine = ordered([*keys, _BUCKET], value)
     return (
         null_safe_join(binned, offsets, [*keys, _BUCKET])
-        .withColumns({f"{m}_before": F.col(f"__offset_{m}") + running(m, fine) for m in measures})
-        .drop(_BUCKET, *[f"__offset_{m}" for m in measures])
+        .withColumns({f"{m}_before": F.col(f"{m}_offset") + running(m, fine) for m in measures})
+        .drop(_BUCKET, *[f"{m}_offset" for m in measures])
     )
 
 
@@ -96,7 +99,7 @@ def positions(
     """Place every distinct (keys, value) of ``points`` in the ordered counts of ``hist``.
 
     ``hist`` has columns keys, value, ``n``. Returns keys, value, ``n_below``
-    (strictly lower) and ``n_equal``. Values absent from ``hist`` are placed
+    (strictly lower), ``n_equal`` and ``n_total``. Values absent from ``hist`` are placed
     too, which replaces a range join by a union and a running total.
     """
     wanted = points.select(*keys, value, F.lit(0).cast("long").alias("n"), F.lit(1).alias("__wanted"))
@@ -106,9 +109,9 @@ def positions(
         .groupBy(*keys, value)
         .agg(F.sum("n").alias("n"), F.max("__wanted").alias("__wanted"))
     )
-    placed = totals_before(merged, keys, value, ["n"], bucket)
+    placed = totals_before(materialise(merged), keys, value, ["n"], bucket)
     return placed.filter("__wanted = 1").select(
-        *keys, value, F.col("n_before").alias("n_below"), F.col("n").alias("n_equal")
+        *keys, value, F.col("n_before").alias("n_below"), F.col("n").alias("n_equal"), "n_total"
     )
 
 
@@ -121,8 +124,14 @@ def exact_quantiles(
     distinct values would not fit the buffer of one aggregation task.
     """
     hist = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
-    total = hist.agg(F.sum("n").alias("n")).scalar()
-    placed = totals_before(hist, [], column, ["n"], bucket).withColumn("__last", total - 1)
+    return quantiles_of_counts(hist, column, qs, bucket)
+
+
+def quantiles_of_counts(
+    hist: DataFrame, column: str, qs: Sequence[float], bucket: Column | None = None
+) -> DataFrame:
+    """``exact_quantiles`` of values already counted, as (value, ``n``) without NULL values."""
+    placed = totals_before(hist, [], column, ["n"], bucket).withColumn("__last", F.col("n_total") - 1)
 
     def at(rank: Column) -> Column:
         hit = (F.col("n_before") <= rank) & (rank < F.col("n_before") + F.col("n"))

@@ -81,13 +81,15 @@ def roc_auc(df: DataFrame, p: str = "probability", y: str = "label", group: Sequ
     """
     keys = list(group)
     hist = (
-        df.filter(F.col(p).isNotNull() & F.col(y).isNotNull())
+        df.filter(F.col(p).isNotNull() & F.col(y).isin(0, 1))
         .groupBy(*keys, F.col(p).alias("__p"))
-        .agg(F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) == 0).alias("neg"))
+        .agg(F.count("*").alias("n"), F.count_if(F.col(y) == 1).alias("pos"))
     )
-    placed = totals_before(hist, keys, "__p", ["neg"], probability_bucket(F.col("__p")))
-    won = F.sum(F.col("pos").cast("double") * (F.col("neg_before") + F.col("neg") / 2))
-    pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
+    # Negatives are n - pos: with both counts in both levels, the levels share one shuffle of ``hist``.
+    placed = totals_before(hist, keys, "__p", ["n", "pos"], probability_bucket(F.col("__p")))
+    neg, neg_below = F.col("n") - F.col("pos"), F.col("n_before") - F.col("pos_before")
+    won = F.sum(F.col("pos").cast("double") * (neg_below + neg / 2))
+    pairs = F.sum("pos").cast("double") * F.sum(neg).cast("double")
     return placed.groupBy(*keys).agg(safe_ratio(won, pairs).alias("roc_auc"))
 
 

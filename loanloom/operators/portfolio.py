@@ -90,8 +90,13 @@ def rate_ranges_by_grade(loans: DataFrame) -> DataFrame:
 def loans_with_payments(
     loans: DataFrame, repayments: DataFrame, start: datetime.date | str, end: datetime.date | str
 ) -> DataFrame:
-    """Loans issued in ``start``..``end`` with their payments; the date range reaches the file scan."""
+    """Loans issued in ``start``..``end`` with their payments; the date range reaches the file scan.
+
+    Loans stored by origination year are also pruned to the years of the range.
+    """
     first, last = F.lit(str(start)).cast("date"), F.lit(str(end)).cast("date")
+    if "origination_year" in loans.columns:
+        loans = loans.filter(F.col("origination_year").between(int(str(start)[:4]), int(str(end)[:4])))
     return (
         loans.filter(F.col("issue_date").between(first, last))
         .select("loan_id", "loan_amount", "issue_date")

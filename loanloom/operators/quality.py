@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanloom.functions.columns import clip
-from loanloom.functions.ordered import exact_quantiles, materialise, money_bucket
+from loanloom.functions.ordered import exact_quantiles, materialise, money_bucket, quantiles_of_counts
 from loanloom.operators.features import loan_to_income
 
 
@@ -80,41 +80,63 @@ def clean(
 
     Missing employment length becomes 0; rows without usable income or with a
     placeholder dti go; income is capped; the loan/income ratio is recomputed;
-    rare purposes become "other". The report counts everything in one pass.
+    rare purposes become "other". The cap, the rare purposes and every count of
+    the report come from one pass over ``df``.
     """
     filled = df.fillna(0, subset=["employment_length"])
-    usable = (
-        F.col("annual_income").isNotNull()
-        & F.col("dti").isNotNull()
-        & F.col("loan_to_income_ratio").isNotNull()
-        & (F.col("annual_income") > 0)
+    usable = F.coalesce(
+        (F.col("annual_income") > 0) & F.col("dti").isNotNull() & F.col("loan_to_income_ratio").isNotNull(),
+        F.lit(False),
     )
-    real_dti = F.col("dti") < max_dti
-    kept = filled.filter(usable).filter(real_dti)
+    real_dti = F.coalesce(F.col("dti") < max_dti, F.lit(False))
+
+    # Rows per (kept, income), per (kept, purpose) and per reason for dropping.
+    profile = materialise(
+        filled.select("annual_income", "purpose", usable.alias("usable"), (usable & real_dti).alias("kept"))
+        .groupingSets(
+            [["kept", "annual_income"], ["kept", "purpose"], ["usable", "kept"]],
+            "annual_income",
+            "purpose",
+            "usable",
+            "kept",
+        )
+        .agg(
+            F.count("*").alias("n"),
+            F.grouping("annual_income").alias("not_income"),
+            F.grouping("purpose").alias("not_purpose"),
+        )
+    )
+    incomes = profile.filter("not_income = 0 and kept").select("annual_income", "n")
+    purposes = profile.filter("not_purpose = 0 and kept").select("purpose", "n")
+    reasons = profile.filter("not_income = 1 and not_purpose = 1")
 
-    cap = income_cap(kept, q=income_quantile)
-    purposes = materialise(category_counts(kept, "purpose"))
-    rare = purposes.filter(F.col("n") < min_purpose)
-    capped = clip(F.col("annual_income").cast("double"), upper=cap)
-    cleaned = kept.withColumn("annual_income", capped).withColumn(
-        "loan_to_income_ratio", loan_to_income(F.col("loan_amount"), F.col("annual_income"))
+    cut = materialise(
+        quantiles_of_counts(incomes, "annual_income", [income_quantile], money_bucket(F.col("annual_income")))
     )
-    cleaned = group_rare(cleaned, "purpose", min_purpose, rare=rare)
-
-    usable, real_dti = F.coalesce(usable, F.lit(False)), F.coalesce(real_dti, F.lit(False))
-    counted = filled.select(
-        "*", usable.alias("__usable"), real_dti.alias("__real_dti"), cap.alias("__cap")
-    ).agg(
-        F.count("*").alias("n_input"),
-        F.count_if(~F.col("__usable")).alias("n_dropped_income"),
-        F.count_if(F.col("__usable") & ~F.col("__real_dti")).alias("n_dropped_dti"),
-        F.count_if(
-            F.col("__usable") & F.col("__real_dti") & (F.col("annual_income").cast("double") > F.col("__cap"))
-        ).alias("n_capped"),
-        F.max("__cap").alias("income_cap"),
+    cap = cut.scalar()[0]
+    rare = materialise(purposes.filter((F.col("n") < min_purpose) & F.col("purpose").isNotNull()))
+
+    capped = clip(F.col("annual_income").cast("double"), upper=cap)
+    cleaned = filled.filter(usable & real_dti).withColumn("annual_income", capped)
+    ratio = loan_to_income(F.col("loan_amount"), F.col("annual_income"))
+    cleaned = group_rare(cleaned.withColumn("loan_to_income_ratio", ratio), "purpose", min_purpose, rare=rare)
+
+    def rows(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
+
+    n_capped = incomes.filter(F.col("annual_income").cast("double") > cap).agg(rows(F.lit(True)).alias("n"))
+    n_regrouped = rare.agg(rows(F.lit(True)).alias("n"))
+    report = reasons.agg(
+        rows(F.lit(True)).alias("n_input"),
+        rows(~F.col("usable")).alias("n_dropped_income"),
+        rows(F.col("usable") & ~F.col("kept")).alias("n_dropped_dti"),
+    ).select(
+        "*",
+        n_capped.scalar().alias("n_capped"),
+        cap.alias("income_cap"),
+        n_regrouped.scalar().alias("n_regrouped"),
     )
-    regrouped = rare.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).scalar()
-    return cleaned, counted.withColumn("n_regrouped", regrouped)
+    return cleaned, report
 
 
 def audit_keys(child: DataFrame, parent: DataFrame, key: str, child_id: str | None = None) -> DataFrame:

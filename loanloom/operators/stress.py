@@ -46,7 +46,6 @@ def two_regressor_fit(df: DataFrame, y: str, x: str, z: str, alpha: float = 0.05
         F.count("*").alias("n"),
         cross(x, x).alias("xx"), cross(z, z).alias("zz"), cross(x, z).alias("xz"),
         cross(x, y).alias("xy"), cross(z, y).alias("zy"), cross(y, y).alias("yy"),
-        F.corr(F.col(x).cast("double"), F.col(z).cast("double")).alias("predictor_corr"),
         F.min(z).alias("first"), F.max(z).alias("last"),
     )
     c = F.col
@@ -55,6 +54,7 @@ def two_regressor_fit(df: DataFrame, y: str, x: str, z: str, alpha: float = 0.05
         {
             "slope": safe_ratio(c("xy") * c("zz") - c("zy") * c("xz"), det),
             "trend_slope": safe_ratio(c("zy") * c("xx") - c("xy") * c("xz"), det),
+            "predictor_corr": safe_ratio(c("xz"), F.sqrt(c("xx") * c("zz"))),
             "dof": c("n") - 3,
         }
     ).withColumn("residual", c("yy") - c("slope") * c("xy") - c("trend_slope") * c("zy"))

@@ -28,11 +28,9 @@ def benchmark_hypotheticals(hyp: DataFrame, loans: DataFrame) -> DataFrame:
         F.sum("default_flag").alias("defaults"),
     )
     amounts = loans.groupBy("grade", "loan_amount").agg(F.count("*").alias("n"))
-    grades = materialise(
-        rates.groupBy("grade").agg(
-            F.sum("n").alias("grade_loans"),
-            safe_ratio(F.sum("defaults"), F.sum("known")).alias("grade_default_rate"),
-        )
+    rates = materialise(rates)
+    grades = rates.groupBy("grade").agg(
+        safe_ratio(F.sum("defaults"), F.sum("known")).alias("grade_default_rate")
     )
     by_rate = positions(hyp.select("grade", "interest_rate").distinct(), rates, ["grade"], "interest_rate")
     by_amount = positions(
@@ -42,20 +40,26 @@ def benchmark_hypotheticals(hyp: DataFrame, loans: DataFrame) -> DataFrame:
         "loan_amount",
         money_bucket(F.col("loan_amount")),
     )
+    not_above = F.col("n_below") + F.col("n_equal")
     by_rate = materialise(
-        by_rate.select("grade", "interest_rate", (F.col("n_below") + F.col("n_equal")).alias("__at_or_below"))
+        null_safe_join(by_rate, grades, ["grade"], "left").select(
+            "grade",
+            "interest_rate",
+            "grade_default_rate",
+            safe_ratio(not_above, F.col("n_total")).alias("interest_rate_percentile_in_grade"),
+        )
     )
     by_amount = materialise(
-        by_amount.select("grade", "loan_amount", (F.col("n_below") + F.col("n_equal")).alias("__not_above"))
+        by_amount.select(
+            "grade",
+            "loan_amount",
+            F.when(F.col("n_total") > 0, F.col("n_total") - not_above + 1).alias("loan_amount_rank_in_grade"),
+        )
     )
-    out = null_safe_join(hyp, grades, ["grade"], "left")
-    out = null_safe_join(out, by_rate, ["grade", "interest_rate"], "left")
+    out = null_safe_join(hyp, by_rate, ["grade", "interest_rate"], "left")
     out = null_safe_join(out, by_amount, ["grade", "loan_amount"], "left")
     return out.select(
-        *hyp.columns,
-        safe_ratio(F.col("__at_or_below"), F.col("grade_loans")).alias("interest_rate_percentile_in_grade"),
-        "grade_default_rate",
-        (F.col("grade_loans") - F.col("__not_above") + 1).alias("loan_amount_rank_in_grade"),
+        *hyp.columns, "interest_rate_percentile_in_grade", "grade_default_rate", "loan_amount_rank_in_grade"
     )
 
 

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loanloom.functions.ordered import materialise
 from loanloom.operators.decision import LGD, assign_tier, expected_loss
 from loanloom.operators.explain import shap_values, top_drivers
 from loanloom.operators.features import PeerBenchmarks, final_model_features, loan_base_features, with_peer_benchmarks
@@ -112,8 +113,8 @@ def stress(
     """Stress the stored scores of one model version and upsert the result rows."""
     loans = read_table(spark, f"{warehouse}/loans", LOANS)
     scores = read_scores(spark, f"{warehouse}/risk_scores").filter(F.col("model_version") == model_version)
-    yearly = yearly_origination_quality(loans)
-    sensitivity = fit_sensitivity(yearly, macro)
+    yearly = materialise(yearly_origination_quality(loans))
+    sensitivity = materialise(fit_sensitivity(yearly, macro))
     rows = stress_rows(stress_el(scores, loans, yearly, sensitivity, scenarios, LGD), sensitivity, run_date)
     upsert(rows, f"{warehouse}/stress_test_results", ["scenario"])
     return spark.read.parquet(f"{warehouse}/stress_test_results")

@@ -12,11 +12,11 @@ from functools import wraps
 
 from pyspark.ml.stat import Summarizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loanloom.functions.ordered import exact_quantiles, money_bucket
+from loanloom.functions.ordered import exact_quantiles, materialise, money_bucket
 from loanloom.operators import decision, explain, features, metrics, portfolio, quality, split, stress, vintage, whatif
 from loanloom.operators.calibration import calibration_curve
 from loanloom.operators.model import (
@@ -117,9 +117,10 @@ def _sensitivity(spark, d):
 
 
 def _stress(spark, d):
-    return stress.stress_el(
-        sample_book.formula_scores(spark, d), sample_book.loans(spark, d), _yearly(spark, d), _sensitivity(spark, d)
-    )
+    """Scenario losses and the sensitivity behind them. The yearly rows are used throughout, so they are kept."""
+    yearly = materialise(_yearly(spark, d))
+    fit = materialise(stress.fit_sensitivity(yearly, sample_book.macro(spark, d)))
+    return stress.stress_el(sample_book.formula_scores(spark, d), sample_book.loans(spark, d), yearly, fit), fit
 
 
 def _raw(spark, d):
@@ -247,7 +248,7 @@ def score_write_back(spark, d):
 def stress_rows_stored(spark, d):
     """Stress rows upserted twice by scenario."""
     path = f"{shared_folder(spark, 'stress')}/stress_test_results"
-    rows = stress.stress_rows(_stress(spark, d), _sensitivity(spark, d), STAMP)
+    rows = materialise(stress.stress_rows(*_stress(spark, d), STAMP))
     sinks.upsert(rows, path, ["scenario"])
     sinks.upsert(rows, path, ["scenario"])
     return spark.read.parquet(path)
@@ -754,17 +755,17 @@ def exposure_by_year_and_pd(spark, d):
 
 @query
 def stress_expected_loss(spark, d):
-    return _stress(spark, d)
+    return _stress(spark, d)[0]
 
 
 @query
 def stress_result_rows(spark, d):
-    return stress.stress_rows(_stress(spark, d), _sensitivity(spark, d), STAMP)
+    return stress.stress_rows(*_stress(spark, d), STAMP)
 
 
 @query
 def stress_increase_vs_baseline(spark, d):
-    return stress.increase_vs_baseline(_stress(spark, d))
+    return stress.increase_vs_baseline(_stress(spark, d)[0])
 
 
 # -- explanations on given contributions ---------------------------------------------------
@@ -850,12 +851,20 @@ def hypothetical_features(spark, d):
 
 # -- the trained model -----------------------------------------------------------------------
 
+_tables: dict[tuple[str, str], str] = {}
 _trained: dict[tuple[str, str], RiskModel] = {}
 
 
 def _split_table(spark, d):
-    cleaned = quality.clean(_model_table(spark, d))[0]
-    return split.stratified_split(cleaned, "default_flag", "loan_id", method="modular")
+    """The cleaned, split model table, written once per session as the training job does."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _tables:
+        cleaned = quality.clean(_model_table(spark, d))[0]
+        rows = split.stratified_split(cleaned, "default_flag", "loan_id", method="modular")
+        path = f"{shared_folder(spark, 'model-table')}/rows"
+        rows.write.parquet(path)
+        _tables[key] = path
+    return spark.read.parquet(_tables[key])
 
 
 def _part(spark, d, name):
@@ -899,8 +908,6 @@ def calibration_is_monotone(spark, d):
     hist = rows.groupBy(F.round("raw_probability", 4).alias("raw")).agg(
         F.count("*").alias("n"), F.min("probability_of_default").alias("lo"), F.max("probability_of_default").alias("hi")
     )
-    from pyspark.sql import Window
-
     earlier = F.max("hi").over(Window.partitionBy(F.lit(0)).orderBy("raw").rowsBetween(Window.unboundedPreceding, -1))
     checked = hist.withColumn("earlier", earlier)
     return checked.agg(

@@ -154,16 +154,25 @@ def named_values(values: Column, names: Sequence[str]) -> Column:
 
 
 def global_importance(df: DataFrame, values: str = "shap", names: Sequence[str] | None = None) -> DataFrame:
-    """Mean absolute contribution per feature position, largest first."""
-    exploded = df.select(F.posexplode(values).alias("position", "value"))
-    ranked = (
-        exploded.groupBy("position")
-        .agg(F.avg(F.abs(F.col("value").cast("double"))).alias("importance"))
-        .orderBy(F.col("importance").desc(), "position")
-    )
+    """Mean absolute contribution per feature position, largest first.
+
+    With ``names`` the width is known, and all means come from one aggregate
+    over the rows as they are; without, every row is unfolded first.
+    """
+
+    def size(value: Column) -> Column:
+        return F.avg(F.abs(value.cast("double")))
+
+    order = [F.col("importance").desc(), F.col("position")]
     if names is None:
-        return ranked
-    return ranked.select(F.element_at(F.array(*[F.lit(n) for n in names]), F.col("position") + 1).alias("feature"), "*")
+        unfolded = df.select(F.posexplode(values).alias("position", "value"))
+        return unfolded.groupBy("position").agg(size(F.col("value")).alias("importance")).orderBy(*order)
+    means = df.agg(*[size(F.col(values)[i]).alias(f"m{i}") for i in range(len(names))])
+    rows = [
+        F.struct(F.lit(n).alias("feature"), F.lit(i).alias("position"), F.col(f"m{i}").alias("importance"))
+        for i, n in enumerate(names)
+    ]
+    return means.select(F.inline(F.array(*rows))).orderBy(*order)
 
 
 def top_by_magnitude(pairs: Column, n: int) -> Column:

@@ -98,20 +98,17 @@ def fit_trees(
     w = class_weights(train).first()
     # Without its metadata a one-hot entry is split by a threshold like any number.
     vector = F.col(FEATURES).alias(FEATURES, metadata={})
-    rows = _weighted(train, w.positive_weight, 1.0).select(vector, F.col(LABEL).cast("double"), "__weight").persist()
-    try:
-        return GBTClassifier(
-            featuresCol=FEATURES,
-            labelCol=LABEL,
-            weightCol="__weight",
-            maxIter=rounds,
-            maxDepth=depth,
-            stepSize=rate,
-            seed=seed,
-            maxMemoryInMB=512,
-        ).fit(rows)
-    finally:
-        rows.unpersist()
+    rows = _weighted(train, w.positive_weight, 1.0).select(vector, F.col(LABEL).cast("double"), "__weight")
+    return GBTClassifier(
+        featuresCol=FEATURES,
+        labelCol=LABEL,
+        weightCol="__weight",
+        maxIter=rounds,
+        maxDepth=depth,
+        stepSize=rate,
+        seed=seed,
+        maxMemoryInMB=512,
+    ).fit(rows)
 
 
 def positive_probability(probability: str = "probability") -> Column:

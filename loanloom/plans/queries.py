@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loanloom.functions.ordered import exact_quantiles, materialise, money_bucket
+from loanloom.functions.ordered import exact_quantiles, materialise, money_bucket, release
 from loanloom.operators import decision, explain, features, metrics, portfolio, quality, split, stress, vintage, whatif
 from loanloom.operators.calibration import calibration_curve
 from loanloom.operators.model import (
@@ -64,6 +64,7 @@ def plain(df: DataFrame) -> DataFrame:
 def query(fn: Query) -> Query:
     @wraps(fn)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        release()
         return plain(fn(spark, sf_dir))
 
     QUERIES[fn.__name__] = run
@@ -402,12 +403,12 @@ def riskiest_regions(spark, d):
 
 @query
 def default_rate_by_grade(spark, d):
-    return portfolio.default_rate_by(_model_table(spark, d), "grade", digits=6)
+    return portfolio.default_rate_by(_base(spark, d), "grade", digits=6)
 
 
 @query
 def purpose_default_rates(spark, d):
-    return portfolio.default_rate_by(_model_table(spark, d), "purpose", min_count=300, digits=6)
+    return portfolio.default_rate_by(_base(spark, d), "purpose", min_count=300, digits=6)
 
 
 @query
@@ -440,7 +441,7 @@ def repayment_lookup(spark, d):
 @query
 def overview_kpis(spark, d):
     return rounded(
-        portfolio.overview_kpis(_model_table(spark, d), _scores(spark, d)), 6, "default_rate", "avg_risk_score"
+        portfolio.overview_kpis(_base(spark, d), _scores(spark, d)), 6, "default_rate", "avg_risk_score"
     )
 
 

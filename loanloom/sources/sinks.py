@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -73,6 +73,20 @@ def write_repayments(repayments: DataFrame, path: str) -> None:
     ordered.write.mode("overwrite").parquet(path)
 
 
+def save_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> DataFrame:
+    """Store as a catalog table hashed and sorted by ``key``; tables bucketed alike join on it without a shuffle."""
+    spark = df.sparkSession
+    (
+        df.repartition(buckets, F.col(key))
+        .write.mode("overwrite")
+        .format("parquet")
+        .bucketBy(buckets, key)
+        .sortBy(key)
+        .saveAsTable(table)
+    )
+    return spark.table(table)
+
+
 def write_scores(
     scored: DataFrame,
     path: str,
@@ -109,7 +123,7 @@ def export_tables(tables: Mapping[str, DataFrame], out_dir: str, fmt: str = "par
     return written
 
 
-def read_scores(spark, path: str) -> DataFrame:
+def read_scores(spark: SparkSession, path: str) -> DataFrame:
     """Stored scores with their declared types, the version column included."""
     fields = [f for f in RISK_SCORES.fields if f.name != "model_version"]
     layout = T.StructType([*fields, T.StructField("model_version", T.StringType())])

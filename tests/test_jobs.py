@@ -64,6 +64,20 @@ def test_date_range_prunes_years_and_reaches_the_scan(spark, warehouse):
     assert "EqualTo(loan_id,7)" in _plan(point_lookup(repayments, "loan_id", 7))
 
 
+def test_tables_bucketed_alike_join_without_a_shuffle(spark):
+    loans = sinks.save_bucketed(sample_book.loans(spark, SF), "bucketed_loans", "loan_id", 4)
+    repayments = sinks.save_bucketed(sample_book.repayments(spark, SF), "bucketed_repayments", "loan_id", 4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        joined = loans_with_payments(loans, repayments, "1995-01-01", "2001-12-31")
+        assert "Exchange" not in _plan(joined)
+        assert joined.count() > 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("drop table bucketed_loans")
+        spark.sql("drop table bucketed_repayments")
+
+
 def test_train_score_stress_end_to_end(spark, warehouse):
     comparison = {r.model: r for r in jobs.train(spark, warehouse, rounds=3).collect()}
     assert set(comparison) == {"baseline", "trees raw", "trees calibrated"}

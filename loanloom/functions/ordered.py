@@ -103,24 +103,36 @@ def totals_before(
 
 
 def positions(
-    points: DataFrame, hist: DataFrame, keys: Sequence[str], value: str, bucket: Column | None = None
+    points: DataFrame,
+    hist: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    bucket: Column | None = None,
+    measures: Sequence[str] = ("n",),
 ) -> DataFrame:
     """Place every distinct (keys, value) of ``points`` in the ordered counts of ``hist``.
 
-    ``hist`` has columns keys, value, ``n``. Returns keys, value, ``n_below``
-    (strictly lower), ``n_equal`` and ``n_total``. Values absent from ``hist`` are placed
+    ``hist`` has columns keys, value, and the measures, ``n`` among them.
+    Returns keys, value, ``n_below`` (strictly lower), ``n_equal`` and the
+    ``<measure>_total`` of the keys. Values absent from ``hist`` are placed
     too, which replaces a range join by a union and a running total.
     """
-    wanted = points.select(*keys, value, F.lit(0).cast("long").alias("n"), F.lit(1).alias("__wanted"))
-    known = hist.select(*keys, value, F.col("n").cast("long").alias("n"), F.lit(0).alias("__wanted"))
+    zeros = [F.lit(0).cast("long").alias(m) for m in measures]
+    wanted = points.select(*keys, value, *zeros, F.lit(1).alias("__wanted"))
+    longs = [F.coalesce(F.col(m).cast("long"), F.lit(0)).alias(m) for m in measures]
+    known = hist.select(*keys, value, *longs, F.lit(0).alias("__wanted"))
     merged = (
         known.unionByName(wanted)
         .groupBy(*keys, value)
-        .agg(F.sum("n").alias("n"), F.max("__wanted").alias("__wanted"))
+        .agg(*[F.sum(m).alias(m) for m in measures], F.max("__wanted").alias("__wanted"))
     )
-    placed = totals_before(materialise(merged), keys, value, ["n"], bucket)
+    placed = totals_before(materialise(merged), keys, value, list(measures), bucket)
     return placed.filter("__wanted = 1").select(
-        *keys, value, F.col("n_before").alias("n_below"), F.col("n").alias("n_equal"), "n_total"
+        *keys,
+        value,
+        F.col("n_before").alias("n_below"),
+        F.col("n").alias("n_equal"),
+        *[f"{m}_total" for m in measures],
     )
 
 

@@ -25,14 +25,16 @@ def benchmark_hypotheticals(hyp: DataFrame, loans: DataFrame) -> DataFrame:
     rates = loans.groupBy("grade", "interest_rate").agg(
         F.count("*").alias("n"),
         F.count("default_flag").alias("known"),
-        F.sum("default_flag").alias("defaults"),
+        F.coalesce(F.sum("default_flag"), F.lit(0)).alias("defaults"),
     )
     amounts = loans.groupBy("grade", "loan_amount").agg(F.count("*").alias("n"))
-    rates = materialise(rates)
-    grades = rates.groupBy("grade").agg(
-        safe_ratio(F.sum("defaults"), F.sum("known")).alias("grade_default_rate")
+    by_rate = positions(
+        hyp.select("grade", "interest_rate").distinct(),
+        rates,
+        ["grade"],
+        "interest_rate",
+        measures=["n", "known", "defaults"],
     )
-    by_rate = positions(hyp.select("grade", "interest_rate").distinct(), rates, ["grade"], "interest_rate")
     by_amount = positions(
         hyp.select("grade", "loan_amount").distinct(),
         amounts,
@@ -42,10 +44,10 @@ def benchmark_hypotheticals(hyp: DataFrame, loans: DataFrame) -> DataFrame:
     )
     not_above = F.col("n_below") + F.col("n_equal")
     by_rate = materialise(
-        null_safe_join(by_rate, grades, ["grade"], "left").select(
+        by_rate.select(
             "grade",
             "interest_rate",
-            "grade_default_rate",
+            safe_ratio(F.col("defaults_total"), F.col("known_total")).alias("grade_default_rate"),
             safe_ratio(not_above, F.col("n_total")).alias("interest_rate_percentile_in_grade"),
         )
     )

@@ -59,7 +59,7 @@ def build_model_table(spark: SparkSession, warehouse: str, leak_safe: bool = Tru
     base = spark.read.parquet(f"{warehouse}/base_features")
     if leak_safe:
         base = stratified_split(base, "default_flag", "loan_id", seed=seed)
-        with_peers = PeerBenchmarks.fit(base.filter("split = 'train'")).transform(base)
+        with_peers = PeerBenchmarks.fit(base.filter("split = 'train'")).transform(base, fill_unseen=True)
     else:
         with_peers = with_peer_benchmarks(base)
     cleaned, report = clean(final_model_features(with_peers))

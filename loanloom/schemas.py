@@ -107,13 +107,16 @@ DEFAULTS = {
 }
 
 
-def enforce_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Select and cast ``df`` to ``schema``; absent columns become their default or NULL."""
+def enforce_schema(df: DataFrame, schema: T.StructType, strict: bool = True) -> DataFrame:
+    """Select and cast ``df`` to ``schema``; absent columns become their default or NULL.
+
+    A value its column cannot hold stops a strict load and becomes NULL otherwise.
+    """
     present = set(df.columns)
 
     def field(f: T.StructField) -> Column:
         value = F.col(f.name) if f.name in present else F.lit(None)
-        value = value.cast(f.dataType)
+        value = value.cast(f.dataType) if strict else value.try_cast(f.dataType)
         if f.name in DEFAULTS:
             value = F.coalesce(value, DEFAULTS[f.name]().cast(f.dataType))
         return value.alias(f.name)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,25 +25,39 @@ RAW_COLUMNS = [
 RESOLVED_STATUSES = ["Fully Paid", "Charged Off", "Default"]
 DEFAULT_STATUSES = ["Charged Off", "Default"]
 
+# Texts that stand for a missing value in the raw file.
+MISSING_TEXTS = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+]
+
 _NUMBERS = {
     "annual_inc", "dti", "loan_amnt", "total_pymnt", "last_pymnt_amnt", "delinq_2yrs", "total_rec_late_fee",
 }
 
 
-def read_raw_loans(spark: SparkSession, path: str) -> DataFrame:
+def read_raw_loans(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """The used columns of a headed CSV, matched by header name.
 
     No type inference, so the file is read once; the header line alone is
     looked at to place the columns, and unused ones are pruned in the scan.
+    ``multi_line`` reads files whose quoted texts contain line breaks, at the
+    price of one task per file.
     """
-    header = spark.read.option("header", True).csv(path).columns
+    options = {"header": True, "quote": '"', "escape": '"', "multiLine": multi_line}
+    header = spark.read.options(**options).csv(path).columns
     missing = [c for c in RAW_COLUMNS if c not in header]
     if missing:
         raise ValueError(f"raw loan file lacks columns: {missing}")
     layout = T.StructType(
         [T.StructField(c, T.DoubleType() if c in _NUMBERS else T.StringType()) for c in header]
     )
-    return spark.read.schema(layout).option("header", True).csv(path).select(*RAW_COLUMNS)
+    rows = spark.read.schema(layout).options(**options).csv(path)
+
+    def field(c: str) -> Column:
+        return F.col(c) if c in _NUMBERS else F.when(~F.col(c).isin(*MISSING_TEXTS), F.col(c)).alias(c)
+
+    return rows.select(*[field(c) for c in RAW_COLUMNS])
 
 
 def filter_resolved(raw: DataFrame, statuses: Sequence[str] = tuple(RESOLVED_STATUSES)) -> DataFrame:

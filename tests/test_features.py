@@ -97,6 +97,9 @@ def test_an_unknown_grade_has_no_benchmarks(spark):
     assert row.interest_rate_percentile_in_grade is None
     assert row.grade_default_rate is None
     assert row.loan_amount_rank_in_grade is None
+    filled = fitted.transform(base.limit(1).withColumn("grade", F.lit("new")), fill_unseen=True).first()
+    assert filled.interest_rate_percentile_in_grade == 0.0 and filled.loan_amount_rank_in_grade == 1
+    assert filled.grade_default_rate == base.agg(F.avg("default_flag")).first()[0]
 
 
 def test_model_table_keeps_one_row_per_loan(spark):

@@ -45,6 +45,25 @@ def test_reading_needs_every_used_column(spark, tmp_path):
         raw_loans.read_raw_loans(spark, str(tmp_path / "bad.csv"))
 
 
+def test_quoted_texts_and_missing_marks_are_read_like_a_spreadsheet_export(spark, tmp_path):
+    header = ",".join(["desc", *raw_loans.RAW_COLUMNS])
+    row = '"said ""yes"",\nthen no",50000,n/a,CA,12.5,RENT,1000, 13.5%, 36 months,A,A1,car,Mar-2015,Default,1,NA,2,,0'
+    (tmp_path / "loan.csv").write_text(f"{header}\n{row}\n")
+    rows = raw_loans.read_raw_loans(spark, str(tmp_path / "loan.csv"), multi_line=True)
+    customers, loans, repayments = raw_loans.normalize(rows.withColumn("loan_id", F.lit(1)))
+    customer, loan, payment = customers.first(), loans.first(), repayments.first()
+    assert (customer.employment_length, customer.region, float(customer.dti)) == (None, "CA", 12.5)
+    assert (float(loan.interest_rate), loan.term_months, loan.default_flag) == (13.5, 36, 1)
+    assert (payment.payment_date, payment.days_late) == (None, 0)
+
+
+def test_values_a_column_cannot_hold(spark):
+    rows = spark.createDataFrame([(1, 1234.5)], "customer_id long, dti double")
+    assert enforce_schema(rows, TABLES["customers"], strict=False).first().dti is None
+    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
+        enforce_schema(rows, TABLES["customers"]).collect()
+
+
 def test_ids_are_dense_over_many_files_and_stable(spark, tmp_path):
     spark.range(1000).select(F.expr("id % 3").alias("v")).repartition(9).write.parquet(str(tmp_path / "t"))
     numbered = raw_loans.assign_ids(spark.read.parquet(str(tmp_path / "t")), "row_id")

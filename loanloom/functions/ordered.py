@@ -12,12 +12,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loanloom.functions.shared import materialise
+
 _BUCKET = "__bucket"
-_held: list[DataFrame] = []
 
 
 def money_bucket(value: Column) -> Column:
@@ -28,25 +28,6 @@ def probability_bucket(value: Column) -> Column:
     return F.floor(value.cast("double") * 1000000)
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Persist an aggregate and run it once.
-
-    The planner then knows its true size: joins to it broadcast when it is
-    below ``spark.sql.autoBroadcastJoinThreshold`` and shuffle otherwise. What
-    a lost executor held is computed again from ``df``.
-    """
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    kept.count()
-    _held.append(kept)
-    return kept
-
-
-def release() -> None:
-    """Unpersist everything ``materialise`` has kept; results not yet computed recompute what they need."""
-    while _held:
-        _held.pop().unpersist()
-
-
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join in which NULL keys match each other; the left key columns are kept."""
     renamed = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})

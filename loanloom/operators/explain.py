@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanloom.functions.columns import by_magnitude, ratio_or_zero
+from loanloom.functions.shared import shared_folder
 from loanloom.operators.model import FEATURES, RiskModel
-from loanloom.sources.tables import shared_folder
 
 # Plain-language names of the model inputs, in lookup order.
 FEATURE_LABELS = {

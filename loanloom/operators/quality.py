@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanloom.functions.columns import clip
-from loanloom.functions.ordered import exact_quantiles, materialise, money_bucket, quantiles_of_counts
+from loanloom.functions.ordered import exact_quantiles, money_bucket, quantiles_of_counts
+from loanloom.functions.shared import materialise
 from loanloom.operators.features import loan_to_income
 
 

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loanloom.functions.ordered import materialise, null_safe_join, totals_before
+from loanloom.functions.ordered import null_safe_join, totals_before
+from loanloom.functions.shared import materialise
 
 SPLITS = ("train", "calibration", "test")
 _MODULUS = 1000003

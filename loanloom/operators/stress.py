@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanloom.functions.columns import clip, safe_ratio
-from loanloom.functions.ordered import materialise
+from loanloom.functions.shared import materialise
 from loanloom.functions.student_t import t_quantile_column
 from loanloom.operators.decision import LGD
 from loanloom.schemas import STRESS_TEST_RESULTS, enforce_schema

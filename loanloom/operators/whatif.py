@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanloom.functions.columns import safe_ratio
-from loanloom.functions.ordered import materialise, money_bucket, null_safe_join, positions
+from loanloom.functions.ordered import money_bucket, null_safe_join, positions
+from loanloom.functions.shared import materialise
 from loanloom.operators.decision import LGD, assign_tier
 from loanloom.operators.explain import driver_breakdown, increasing_drivers, named_values, shap_values
 from loanloom.operators.features import loan_to_income

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanloom.functions.ordered import materialise, release
+from loanloom.functions.shared import materialise
 from loanloom.operators.decision import LGD, assign_tier, expected_loss
 from loanloom.operators.explain import shap_values, top_drivers
 from loanloom.operators.features import PeerBenchmarks, final_model_features, loan_base_features, with_peer_benchmarks
@@ -37,7 +37,6 @@ def ingest(spark: SparkSession, csv_path: str, warehouse: str, sample_size: int
     overwrite(customers, f"{warehouse}/customers")
     write_loans(loans, f"{warehouse}/loans")
     write_repayments(repayments, f"{warehouse}/repayments")
-    release()
 
 
 def _tables(spark: SparkSession, warehouse: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -66,7 +65,6 @@ def build_model_table(spark: SparkSession, warehouse: str, leak_safe: bool = Tru
     split = stratified_split(cleaned, "default_flag", "loan_id", seed=seed)
     overwrite(split, f"{warehouse}/model_table")
     overwrite(report, f"{warehouse}/cleaning_report")
-    release()
     return spark.read.parquet(f"{warehouse}/model_table")
 
 
@@ -119,5 +117,4 @@ def stress(
     sensitivity = materialise(fit_sensitivity(yearly, macro))
     rows = stress_rows(stress_el(scores, loans, yearly, sensitivity, scenarios, LGD), sensitivity, run_date)
     upsert(rows, f"{warehouse}/stress_test_results", ["scenario"])
-    release()
     return spark.read.parquet(f"{warehouse}/stress_test_results")

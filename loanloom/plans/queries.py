@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loanloom.functions.ordered import exact_quantiles, materialise, money_bucket, release
+from loanloom.functions.ordered import exact_quantiles, money_bucket
+from loanloom.functions.shared import materialise, shared_folder
 from loanloom.operators import decision, explain, features, metrics, portfolio, quality, split, stress, vintage, whatif
 from loanloom.operators.calibration import calibration_curve
 from loanloom.operators.model import (
@@ -33,7 +34,7 @@ from loanloom.operators.model import (
 from loanloom.plans.views import VIEW_NAMES, register_views
 from loanloom.schemas import EXPECTED_LOSS_COLUMNS, REPAYMENTS, add_columns, enforce_schema
 from loanloom.sources import raw_loans, sample_book, sinks
-from loanloom.sources.tables import TableCache, shared_folder
+from loanloom.sources.tables import TableCache
 
 # The sample tables start in 1995, so later years stand in for the crisis window.
 SAMPLE_CRISIS_YEARS = (1997, 1998, 1999)
@@ -64,7 +65,6 @@ def plain(df: DataFrame) -> DataFrame:
 def query(fn: Query) -> Query:
     @wraps(fn)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        release()
         return plain(fn(spark, sf_dir))
 
     QUERIES[fn.__name__] = run

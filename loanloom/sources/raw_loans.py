@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loanloom.functions.columns import first_number, month_year_date, percent_number
-from loanloom.functions.ordered import materialise
+from loanloom.functions.shared import materialise
 from loanloom.schemas import CUSTOMERS, LOANS, REPAYMENTS, enforce_schema
 
 # The columns of the raw file that are used, in file order.

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import time
 from typing import NamedTuple
 
@@ -51,21 +49,6 @@ def scenarios(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(SCENARIOS, "scenario string, delta_pp double, source string")
 
 
-def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder for intermediate tables, in the storage every executor can reach.
-
-    That storage is the session's ``spark.checkpoint.dir``. Only a local
-    session without one gets a temporary folder.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        return os.path.join(tempfile.mkdtemp(prefix="loanloom-"), purpose)
-    stamp = f"{spark.sparkContext.applicationId}-{time.time_ns()}"
-    return f"{root.rstrip('/')}/loanloom/{purpose}-{stamp}"
-
-
 class TableCache:
     """Persisted table reads that are refreshed after ``ttl_seconds``."""
 

@@ -107,3 +107,19 @@ def test_model_table_keeps_one_row_per_loan(spark):
     extra = ["term_months", "dti", "annual_income", "employment_length", "home_ownership", "purpose"]
     wide = base.withColumns({c: F.lit(None).cast("string") for c in [*extra, "loan_to_income_ratio", "had_delinquency"]})
     assert final_model_features(wide).count() == base.count()
+
+
+def test_benchmarks_join_by_broadcast_when_small_and_by_shuffle_when_not(spark, tmp_path):
+    _skewed_base(spark).write.parquet(str(tmp_path / "base"))
+    base = spark.read.parquet(str(tmp_path / "base"))
+
+    def joins():
+        plan = with_peer_benchmarks(base)._jdf.queryExecution().executedPlan().toString()
+        return plan.count("BroadcastHashJoin"), plan.count("SortMergeJoin")
+
+    assert joins() == (3, 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1b")
+    try:
+        assert joins() == (0, 3)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

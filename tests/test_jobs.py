@@ -5,11 +5,12 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from loanloom.functions.shared import shared_folder
 from loanloom.operators.portfolio import loans_with_payments, point_lookup
 from loanloom.plans import jobs
 from loanloom.schemas import LOANS, REPAYMENTS, TABLES, enforce_schema
 from loanloom.sources import raw_loans, sample_book, sinks
-from loanloom.sources.tables import TableCache, read_macro, read_table, shared_folder
+from loanloom.sources.tables import TableCache, read_macro, read_table
 
 SF = "/root/testdata/sf0.001"
 STAMP = datetime.date(2024, 5, 1)

@@ -1,5 +1,7 @@
 """SQL twins of the queries that SQL can express."""
 
+from .quality_rules import STOP_WORDS
+
 ORACLE: dict[str, str] = {}
 
 # The bucket of a row is the shortest prefix of its key's hash whose rows fit the limit or are one row.
@@ -26,3 +28,79 @@ SELECT doc_id, n_bytes, CASE WHEN depth = 0 THEN '' ELSE right(bin(prefix + (1::
        depth, shard_bytes::BIGINT AS shard_bytes, shard_rows, shard_bytes > 2097152 AS over_limit
 FROM chosen WHERE k = 1
 """
+
+ORACLE["op7_embedding_near_dedup"] = """
+WITH RECURSIVE usable AS (
+    SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(embedding) = 64
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM usable a, usable b
+    WHERE a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.9
+),
+reached(vec_id, other) AS (
+    SELECT vec_id, vec_id FROM embeddings
+    UNION
+    SELECT r.vec_id, l.b FROM reached r JOIN links l ON r.other = l.a
+),
+least AS (SELECT vec_id, min(other) AS component_id FROM reached GROUP BY vec_id)
+SELECT e.vec_id, (SELECT count(*) FROM links WHERE links.a = e.vec_id) AS n_links,
+       least.component_id, e.vec_id = least.component_id AS kept
+FROM embeddings e JOIN least USING (vec_id)
+"""
+
+ORACLE["op10_repeated_phrases"] = """
+WITH split AS (
+    SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+    FROM documents
+),
+starts AS (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS s FROM split WHERE len(w) >= 20),
+again AS (
+    SELECT doc_id, s FROM starts
+    QUALIFY row_number() OVER (PARTITION BY array_to_string(list_slice(w, s, s + 19), ' ') ORDER BY doc_id, s) > 1
+),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS pos FROM again),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS pos FROM split),
+kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS text, count(*) AS n
+    FROM words ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM split LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLE["op5_quality_rules"] = """
+WITH split AS (
+    SELECT doc_id, coalesce(text, '') AS t,
+           list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w,
+           list_filter(string_split(coalesce(text, ''), chr(10)),
+                       lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
+    FROM documents
+),
+starts AS (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS s FROM split WHERE len(w) >= 5),
+twice AS (
+    SELECT doc_id, s FROM starts
+    QUALIFY count(*) OVER (PARTITION BY doc_id, array_to_string(list_slice(w, s, s + 4), ' ')) > 1
+),
+repeated AS (
+    SELECT doc_id, count(DISTINCT pos) AS n FROM (SELECT doc_id, unnest(range(s, s + 5)) AS pos FROM twice) GROUP BY doc_id
+),
+counts AS (
+    SELECT doc_id, len(w) AS n_words, length(regexp_replace(t, '[\\x20\\x09-\\x0D]', '', 'g')) AS word_chars,
+           length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+           len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words,
+           len(list_filter(w, lambda x: list_contains([{stop_words}], x))) AS n_stop, len(lines) AS n_lines,
+           len(list_filter(lines, lambda x: regexp_matches(x, '^\\s*[-*•]\\s'))) AS n_bullet,
+           len(list_filter(lines, lambda x: regexp_matches(x, '(\\.\\.\\.|…)\\s*$'))) AS n_ellipsis
+    FROM split LEFT JOIN repeated USING (doc_id)
+),
+judged AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM counts)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND word_chars / n_words BETWEEN 2 AND 15 AND n_symbols / n_words <= 0.3
+       AND (n_words < 50 OR (n_stop / n_words >= 0.02 AND n_dup_lines / greatest(n_lines, 1) <= 0.5
+                             AND n_bullet / greatest(n_lines, 1) <= 0.9
+                             AND n_ellipsis / greatest(n_lines, 1) <= 0.3)) AS kept
+FROM judged
+""".format(stop_words=", ".join(f"'{w}'" for w in STOP_WORDS))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality_rules, sharding, token_count, url_templates
+from . import embedding_join, packing, phrases, pii, quality_rules, sharding, simhash, token_count, url_templates
 from .common import table
 
 SHARD_BYTES = 2 << 20
@@ -21,6 +21,19 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.token_counts(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
 
+def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op4_disguised_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base, spans = F.col("pii")["base"], F.col("pii")["spans"]
+    counts = [pii.count_of(spans, kind).alias(f"n_{kind}") for kind in pii.KINDS]
+    return found.select(
+        "doc_id", *counts, F.sha2(pii.digest(base), 256).alias("base_sha256"), pii.digest(spans).alias("spans")
+    )
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
     q = F.col("quality")
@@ -28,6 +41,23 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[(q["lines"]["dup"] if f == "n_dup_lines" else q[f]).alias(f) for f in fields])
 
 
+def op6_packed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packed(table(spark, sf_dir, "documents"))
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """The rank file holds the vocabulary of byte_bpe_50k.json and gives the same ids several times faster."""
+    import public_tokenizers
+
+    ranks = tokenizer_file("byte_bpe_50k.tiktoken")
+    return packing.pack(docs, ranks, public_tokenizers.PATTERN, {"<|endoftext|>": 50_256})
+
+
+def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_join.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op8_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_templates.judge_urls(table(spark, sf_dir, "pages")).drop("purity")
 
@@ -36,7 +66,22 @@ def op9_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"), SHARD_BYTES)
 
 
+def op10_repeated_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = phrases.deduplicate(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_token_counts, op5_quality_rules, op8_url_templates, op9_extendible_shards)
+    for f in (
+        op1_token_counts,
+        op2_simhash_near_dedup,
+        op4_disguised_pii,
+        op5_quality_rules,
+        op6_packed_windows,
+        op7_embedding_near_dedup,
+        op8_url_templates,
+        op9_extendible_shards,
+        op10_repeated_phrases,
+    )
 }

@@ -190,7 +190,8 @@ def deduplicate(docs: DataFrame, window: int = 20, phrase: int = 8) -> DataFrame
     doc_id are one document (none is earlier than the other); an empty table gives an empty result.
     """
     sizes = Sizes(window, phrase)
-    texts = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("key"), "text")
+    id_col = F.col("doc_id").cast("long")
+    texts = docs.select(id_col.alias("doc_id"), F.coalesce(id_col, F.lit(LAST)).alias("key"), "text")
     drawn = materialise(_draw(texts, sizes))
     info = materialise(confirmed_phrases(drawn))
     joined = texts.join(info, "key", "left")
@@ -207,7 +208,8 @@ def deduplicate(docs: DataFrame, window: int = 20, phrase: int = 8) -> DataFrame
             if keys:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (keys, ones, twos)], ["key", "one", "two"])
 
-    found = joined.select("key", "text", "phrases", "copies").mapInArrow(windows, "key long, one long, two long")
+    # The same columns as below, so that both passes read one shuffle of the texts.
+    found = joined.select("key", "doc_id", "text", "phrases", "copies").mapInArrow(windows, "key long, one long, two long")
     firsts = found.groupBy("one", "two").agg(F.min("key").alias("key")).groupBy("key").agg(F.collect_list("one").alias("firsts"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,5 +235,5 @@ def deduplicate(docs: DataFrame, window: int = 20, phrase: int = 8) -> DataFrame
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["doc_id", "n_words", "n_removed", "kept"])
 
-    located = joined.join(firsts, "key", "left").select("key", F.col("doc_id").cast("long").alias("doc_id"), "text", "phrases", "copies", "firsts")
+    located = joined.join(firsts, "key", "left").select("key", "doc_id", "text", "phrases", "copies", "firsts")
     return located.mapInArrow(cut, "doc_id long, n_words long, n_removed long, kept string")

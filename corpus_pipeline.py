@@ -1,12 +1,20 @@
-"""Corpus pipeline: quality rules, near copies, personal data, mixing, packing."""
+"""Corpus pipeline: quality rules, near copies, personal data, mixing to target weights, packing.
+
+Every stage takes the rows that the one before has kept and reads them whole; all but the last return the columns
+of ``documents``.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from loanloom.llm import quality_rules
+from loanloom.functions.shared import materialise
+from loanloom.llm import mixing, pii, quality_rules, simhash
+from loanloom.llm.common import table
+from loanloom.llm.queries import MIX, packed
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -14,15 +22,41 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep_good(docs)
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [("quality", keep_good)]
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document of the smallest id stays."""
+    return simhash.one_of_each(docs)
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data, disguised or not, is replaced by its kind; ``n_chars`` follows."""
+    return pii.mask_pii(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents are repeated, or dropped if they are toxic, until domains have their target shares of tokens."""
+    return mixing.repeated(docs, mixing.label_domains(table(spark, sf_dir, "labels")), MIX)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of at most 1024 tokens, one row per piece, with the piece's ids."""
+    return packed(docs)
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality rules", keep_good),
+    ("near copies", drop_near_copies),
+    ("personal data", mask_personal_data),
+    ("mixing", mix),
+    ("packing", pack),
+]
 
-#: Near copies, personal data and packing have no SQL form.
+#: Fingerprints, detectors and token ids have no SQL form.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages one after another over ``documents``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    """The stages one after another over ``documents``, each stored before the next reads it."""
+    docs = table(spark, sf_dir, "documents")
+    for _, stage in STAGES[:-1]:
+        docs = materialise(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

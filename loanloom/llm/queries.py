@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding_join, packing, phrases, pii, quality_rules, sharding, simhash, token_count, url_templates
+from . import embedding_join, mixing, packing, phrases, pii, quality_rules, sharding, simhash, token_count, url_templates
 from .common import table
 
 SHARD_BYTES = 2 << 20
 
+#: Target shares of tokens.
+MIX = {"high": 0.9, "low": 0.1, "toxic": 0.0}
+
 
 def tokenizer_file(name: str) -> str:
     import public_tokenizers
@@ -25,6 +28,17 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = mixing.label_domains(table(spark, sf_dir, "labels"))
+    mixed = mixing.mixed_rates(table(spark, sf_dir, "documents").select("doc_id", "text"), labels, MIX)
+    m, p = F.col("mix"), F.col("mix")["posterior"]
+    return mixed.select(
+        "doc_id", m["tokens"].alias("n_tokens"), m["domain"].alias("domain"),
+        *[F.coalesce(p[d], F.lit(0.0)).alias(f"p_{d}") for d in MIX],
+        m["rate"].alias("rate"), m["copies"].alias("copies"),
+    )
+
+
 def op4_disguised_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
     base, spans = F.col("pii")["base"], F.col("pii")["spans"]
@@ -76,6 +90,7 @@ QUERIES = {
     for f in (
         op1_token_counts,
         op2_simhash_near_dedup,
+        op3_soft_mixing,
         op4_disguised_pii,
         op5_quality_rules,
         op6_packed_windows,

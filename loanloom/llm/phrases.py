@@ -93,33 +93,39 @@ def _numbers(scalar: pa.ListScalar) -> np.ndarray:
     return scalar.values.to_numpy() if scalar.is_valid else np.empty(0, np.int64)
 
 
-def _locate(shard: list[dict], sizes: Sizes) -> Iterator[tuple[dict, Text, np.ndarray, np.ndarray, np.ndarray]]:
-    """Per document: the starts of the windows that hold a confirmed phrase, and two digests of each."""
+def _locate(shard: list[dict], sizes: Sizes, digests: int) -> Iterator[tuple[dict, Text, np.ndarray, list[np.ndarray]]]:
+    """Per document: the starts of the windows that hold one of its confirmed phrases, and digests of each.
+
+    A document counts the phrases it has drawn itself and no others that its shard knows, so the windows of a
+    document are the same in whatever company it is streamed.
+    """
     import ahocorasick
 
     automaton, texts = ahocorasick.Automaton(ahocorasick.STORE_LENGTH), []
     for row in shard:
         text, confirmed = Text(row["text"]), _numbers(row["phrases"])
-        symbols = text.symbols() if len(confirmed) else ""
+        symbols, own = text.symbols() if len(confirmed) else "", set()
         if len(confirmed):
             starts, hashes = text.drawn(sizes)
-            for s in starts[np.isin(hashes.view(np.int64), confirmed)]:
-                automaton.add_word(symbols[s : s + sizes.phrase])
-        texts.append((row, text, symbols))
+            own = {symbols[s : s + sizes.phrase] for s in starts[np.isin(hashes.view(np.int64), confirmed)]}
+            for word in own:
+                automaton.add_word(word)
+        texts.append((row, text, symbols, own))
     if len(automaton):
         automaton.make_automaton()
-    for row, text, symbols in texts:
+    for row, text, symbols, own in texts:
         n = len(text.words) - sizes.window + 1
         if not symbols or n <= 0:
             none = np.empty(0, np.int64)
-            yield row, text, none, none, none
+            yield row, text, none, [none] * digests
             continue
-        ends = np.fromiter((end for end, _ in automaton.iter(symbols)), np.int64)
+        found = (end for end, _ in automaton.iter(symbols) if symbols[end + 1 - sizes.phrase : end + 1] in own)
+        ends = np.fromiter(found, np.int64)
         marks = np.zeros(n + 1, np.int64)
         np.add.at(marks, np.clip(ends + 1 - sizes.window, 0, n), 1)
         np.add.at(marks, np.clip(ends + 2 - sizes.phrase, 0, n), -1)
         at = np.flatnonzero(np.cumsum(marks[:n]) > 0)
-        yield row, text, at, *(_rolled(text.codes, sizes.window, m)[at].view(np.int64) for m in _MULTIPLIERS)
+        yield row, text, at, [_rolled(text.codes, sizes.window, m)[at].view(np.int64) for m in _MULTIPLIERS[:digests]]
 
 
 def _draw(docs: DataFrame, sizes: Sizes) -> DataFrame:
@@ -199,7 +205,7 @@ def deduplicate(docs: DataFrame, window: int = 20, phrase: int = 8) -> DataFrame
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard in _shards(batches):
             keys, ones, twos = [], [], []
-            for row, text, at, one, two in _locate(shard, sizes):
+            for row, text, at, (one, two) in _locate(shard, sizes, 2):
                 if len(at) and text.identity()[0] not in _numbers(row["copies"]):
                     first = np.unique(one, return_index=True)[1]
                     keys.append(np.full(len(first), row["key"].as_py()))
@@ -215,7 +221,7 @@ def deduplicate(docs: DataFrame, window: int = 20, phrase: int = 8) -> DataFrame
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard in _shards(batches):
             rows = []
-            for row, text, at, one, _ in _locate(shard, sizes):
+            for row, text, at, (one,) in _locate(shard, sizes, 1):
                 n = len(text.words)
                 gone = np.zeros(n, bool)
                 copies = _numbers(row["copies"])

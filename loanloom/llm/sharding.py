@@ -7,7 +7,7 @@ from math import ceil, log2
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.shared import materialise, shared_folder
+from ..functions.shared import materialise
 
 #: Bits of a hash word, and the most bits a bucket's address can have: the key's word, then the row's word.
 WORD, DEEPEST = 60, 120
@@ -94,22 +94,20 @@ def directory(shards: DataFrame) -> DataFrame:
     """
     buckets = shards.select("shard", "depth").distinct()
     deepest = buckets.agg(F.max("depth")).first()[0] or 0
-    missing = deepest - F.col("depth")
-    entries = F.explode(F.sequence(F.lit(0).cast("long"), F.shiftleft(F.lit(1).cast("long"), missing) - 1))
-    return buckets.select("shard", "depth", entries.alias("tail")).select(
-        F.concat("shard", F.when(F.col("depth") < deepest, F.expr(f"lpad(bin(tail), {deepest} - depth, '0')")).otherwise("")).alias(
-            "entry"
-        ),
-        "shard",
+    tails = F.expr(f"explode(sequence(0L, shiftleft(1L, {deepest} - depth) - 1))")
+    return buckets.select("shard", "depth", tails.alias("tail")).select(
+        F.expr(f"concat(shard, lpad(bin(tail), {deepest} - depth, '0'))").alias("entry"), "shard"
     )
 
 
 def write_shards(docs: DataFrame, path: str, byte_limit: int, key: str = "doc_id") -> None:
     """Write ``docs`` as one folder per shard below ``path``, each of at most ``byte_limit`` bytes of text.
 
+    Folders are named by ``b`` and the shard's bits, so that no reader takes them for numbers.
+
     Keys have to be unique and not null here, since the rows meet their shards again by key.
     """
-    shards = materialise(assign_shards(docs, byte_limit, key).select(key, "shard"))
+    shards = materialise(assign_shards(docs, byte_limit, key).select(key, F.concat(F.lit("b"), "shard").alias("shard")))
     (
         docs.join(shards, key)
         .repartition("shard")
@@ -117,7 +115,3 @@ def write_shards(docs: DataFrame, path: str, byte_limit: int, key: str = "doc_id
         .option("maxRecordsPerFile", 0)
         .parquet(path)
     )
-
-
-def new_shard_folder(docs: DataFrame) -> str:
-    return shared_folder(docs.sparkSession, "shards")

@@ -80,8 +80,9 @@ def path_templates(
     The tree grows level by level from the host. A segment whose form shows a number, date or long code becomes a
     wildcard of that form; under a node with ``min_children`` children or more, of which each has few pages
     (distinct children over pages at least ``min_spread``), all children become ``*``. Literal branches of one
-    node that lead to paths of the same length, have ``min_labelled`` labels each and whose share of blocked
-    pages does not differ from that of all such branches together (|z| < ``similar_z``) are merged into ``{}``.
+    node that lead to paths of the same length, have ``min_labelled`` labels each, lean to the same side and whose
+    share of blocked pages does not differ from that of all such branches together (|z| < ``similar_z``) are
+    merged into ``{-}`` (mostly blocked) or ``{+}``.
     Segments beyond ``max_depth`` levels are folded into ``**``: no path is dropped.
 
     Each level counts children (host, node, segment) with partial sums and then nodes over those counts, so a
@@ -100,19 +101,23 @@ def path_templates(
             .groupBy("host", "node", "rest", "segment")
             .agg(*[F.sum(c).alias(c) for c in ("n", "n_block", "n_allow")])
         )
-        ripe = F.col("n_block") + F.col("n_allow") >= min_labelled
+        n = F.col("n_block") + F.col("n_allow")
+        leans = {"{-}": (n >= min_labelled) & (2 * F.col("n_block") > n), "{+}": (n >= min_labelled) & (2 * F.col("n_block") <= n)}
+        pools = [
+            F.sum(F.when(lean, x).otherwise(0)).alias(f"{name}_{what}")
+            for name, lean in leans.items()
+            for what, x in (("block", F.col("n_block")), ("all", n), ("branches", F.lit(1)))
+        ]
         parents = materialise(
-            children.groupBy("host", "node", "rest").agg(
-                F.count("*").alias("children"),
-                F.sum("n").alias("pages"),
-                F.sum(F.when(ripe, F.col("n_block")).otherwise(0)).alias("pool_block"),
-                F.sum(F.when(ripe, F.col("n_block") + F.col("n_allow")).otherwise(0)).alias("pool"),
-                F.sum(F.when(ripe, 1).otherwise(0)).alias("ripe"),
-            )
+            children.groupBy("host", "node", "rest").agg(F.count("*").alias("children"), F.sum("n").alias("pages"), *pools)
         )
-        n = F.col("n_block") + F.col("n_allow")
-        share = (F.col("pool_block") + 1) / (F.col("pool") + 2)
-        z = F.abs(F.col("n_block") - n * share) / F.sqrt(n * share * (1 - share))
+
+        def alike(name: str) -> Column:
+            pool = {what: F.col(f"`{name}_{what}`") for what in ("block", "all", "branches")}
+            share = (pool["block"] + 1) / (pool["all"] + 2)
+            z = F.abs(F.col("n_block") - n * share) / F.sqrt(n * share * (1 - share))
+            return leans[name] & (pool["branches"] > 1) & (z < similar_z)
+
         wide = (F.col("children") >= min_children) & (F.col("children") >= min_spread * F.col("pages"))
         known = materialise(
             children.join(parents, ["host", "node", "rest"]).select(
@@ -121,7 +126,8 @@ def path_templates(
                 "rest",
                 "segment",
                 F.when(wide, "*")
-                .when((F.col("ripe") > 1) & ripe & (z < similar_z), "{}")
+                .when(alike("{-}"), "{-}")
+                .when(alike("{+}"), "{+}")
                 .otherwise(F.col("segment"))
                 .alias("label"),
             )

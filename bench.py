@@ -21,6 +21,7 @@ from loanloom.functions.shared import materialise
 from loanloom.operators import decision, explain, features, metrics, portfolio, quality, split, stress, vintage, whatif
 from loanloom.operators.calibration import calibration_curve
 from loanloom.operators.model import model_scores, score, train_model
+from loanloom.plans.queries import QUERY_ROUNDS
 from loanloom.schemas import CUSTOMERS, LOANS, REPAYMENTS
 from loanloom.sources import sample_book, sinks
 from loanloom.sources.tables import read_table
@@ -28,7 +29,7 @@ from loanloom.sources.tables import read_table
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 RUNS = 3
-ROUNDS = 5
+ROUNDS = int(os.environ.get("BENCH_ROUNDS", str(QUERY_ROUNDS)))  # 200 in the jobs
 
 
 def session() -> SparkSession:
@@ -123,6 +124,7 @@ def main() -> None:
         "vintage_analysis": curves,
         "cleaned_features": lambda: quality.clean(model_table())[0],
         "stratified_split": lambda: split.stratified_split(model_table(), "default_flag", "loan_id"),
+        "hash_split": lambda: split.hash_split(model_table(), "loan_id"),
         "expected_loss_by_tier": lambda: portfolio.expected_loss_by_tier(tiered()),
         "roc_auc": lambda: metrics.roc_auc(labelled()),
         "calibration_bins": lambda: calibration_curve(labelled()),

@@ -1,15 +1,9 @@
-"""Student-t quantiles for a confidence interval, as a lookup usable inside a plan."""
+"""Student-t quantiles for a confidence interval."""
 
 from __future__ import annotations
 
 import math
 from functools import lru_cache
-from statistics import NormalDist
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-_TABULATED = 200
 
 
 def _cdf(t: float, dof: int) -> float:
@@ -39,21 +33,3 @@ def t_quantile(p: float, dof: int) -> float:
         mid = (lo + hi) / 2
         lo, hi = (mid, hi) if _cdf(mid, dof) < p else (lo, mid)
     return (lo + hi) / 2
-
-
-def t_quantile_column(p: float, dof: Column) -> Column:
-    """The quantile for a degrees-of-freedom column; NULL when none are left.
-
-    Up to 200 degrees come from a literal array, larger ones from the expansion
-    of t around the normal quantile, whose error is then below 1e-9.
-    """
-    table = F.array(*[F.lit(t_quantile(p, d)) for d in range(1, _TABULATED + 1)])
-    z = NormalDist().inv_cdf(p)
-    d = dof.cast("double")
-    large = (
-        F.lit(z)
-        + F.lit((z**3 + z) / 4) / d
-        + F.lit((5 * z**5 + 16 * z**3 + 3 * z) / 96) / (d * d)
-        + F.lit((3 * z**7 + 19 * z**5 + 17 * z**3 - 15 * z) / 384) / (d * d * d)
-    )
-    return F.when(dof > _TABULATED, large).when(dof >= 1, F.try_element_at(table, dof.cast("int")))

@@ -59,7 +59,7 @@ def assign_tier(df: DataFrame, mode: str = "percentile", cutoffs: DataFrame | No
 
 
 def expected_loss(df: DataFrame, lgd: float = LGD) -> DataFrame:
-    """Add ``expected_loss`` = PD x LGD x exposure in whole cents.
+    """Add ``expected_loss`` = PD x LGD x exposure in whole cents, and the ``lgd_assumption`` it is based on.
 
     A stored decimal PD is multiplied exactly; a model's double PD is used unrounded.
     """
@@ -68,7 +68,9 @@ def expected_loss(df: DataFrame, lgd: float = LGD) -> DataFrame:
         loss = pd * F.lit(lgd).cast("decimal(4,2)") * F.col("exposure_at_default").cast("decimal(12,2)")
     else:
         loss = pd * F.lit(lgd) * F.col("exposure_at_default").cast("double")
-    return df.withColumn("expected_loss", F.round(loss, 2).cast("decimal(12,2)"))
+    return df.withColumns(
+        {"expected_loss": F.round(loss, 2).cast("decimal(12,2)"), "lgd_assumption": F.lit(lgd).cast("decimal(4,2)")}
+    )
 
 
 def class_decision(pd: Column, threshold: float = 0.5) -> Column:

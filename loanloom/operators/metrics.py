@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanloom.functions.columns import ratio_or_zero, safe_ratio
-from loanloom.functions.ordered import null_safe_join, probability_bucket, totals_before
+from loanloom.functions.ordered import probability_bucket, totals_before
 from loanloom.operators.decision import class_decision
 from loanloom.schemas import MODEL_MONITORING, enforce_schema
 
@@ -73,24 +73,51 @@ def classification_report(
     return _cells(df, y, p, group).select(*group, F.inline(rows))
 
 
-def roc_auc(df: DataFrame, p: str = "probability", y: str = "label", group: Sequence[str] = ()) -> DataFrame:
-    """Area under the ROC curve, ties counted half, without sorting rows.
-
-    Sum over distinct scores of positives x (negatives below + tied negatives / 2),
-    over the number of pairs. NULL when one class is absent.
-    """
-    keys = list(group)
+def _ranked_scores(df: DataFrame, p: str, y: str, keys: Sequence[str]) -> DataFrame:
+    """Per distinct score its rows and positives, and those of all lower scores; unknown scores and labels go."""
     hist = (
         df.filter(F.col(p).isNotNull() & F.col(y).isin(0, 1))
         .groupBy(*keys, F.col(p).alias("__p"))
         .agg(F.count("*").alias("n"), F.count_if(F.col(y) == 1).alias("pos"))
     )
     # Negatives are n - pos: with both counts in both levels, the levels share one shuffle of ``hist``.
-    placed = totals_before(hist, keys, "__p", ["n", "pos"], probability_bucket(F.col("__p")))
+    return totals_before(hist, list(keys), "__p", ["n", "pos"], probability_bucket(F.col("__p")))
+
+
+def _area() -> Column:
+    """Sum over distinct scores of positives x (negatives below + tied negatives / 2), over the number of pairs."""
     neg, neg_below = F.col("n") - F.col("pos"), F.col("n_before") - F.col("pos_before")
     won = F.sum(F.col("pos").cast("double") * (neg_below + neg / 2))
-    pairs = F.sum("pos").cast("double") * F.sum(neg).cast("double")
-    return placed.groupBy(*keys).agg(safe_ratio(won, pairs).alias("roc_auc"))
+    return safe_ratio(won, F.sum("pos").cast("double") * F.sum(neg).cast("double"))
+
+
+def _rated_scores(df: DataFrame, p: str, y: str, t: float, keys: Sequence[str]) -> DataFrame:
+    """Confusion counts at a threshold and the area under the curve, from one set of counts per score."""
+    yes, neg = class_decision(F.col("__p"), t) == 1, F.col("n") - F.col("pos")
+
+    def rows(condition: Column, count: Column) -> Column:
+        return F.sum(F.when(condition, count).otherwise(0))
+
+    return _ranked_scores(df, p, y, keys).groupBy(*keys).agg(
+        F.coalesce(rows(~yes, neg), F.lit(0)).alias("tn"), F.coalesce(rows(yes, neg), F.lit(0)).alias("fp"),
+        F.coalesce(rows(~yes, F.col("pos")), F.lit(0)).alias("fn"), F.coalesce(rows(yes, F.col("pos")), F.lit(0)).alias("tp"),
+        _area().alias("roc_auc"),
+    )
+
+
+def roc_auc(df: DataFrame, p: str = "probability", y: str = "label", group: Sequence[str] = ()) -> DataFrame:
+    """Area under the ROC curve, ties counted half, without sorting rows. NULL when one class is absent."""
+    return _ranked_scores(df, p, y, group).groupBy(*group).agg(_area().alias("roc_auc"))
+
+
+def _shares() -> dict[str, Column]:
+    """Accuracy, precision and recall from the four counts; 0 when undefined."""
+    tn, fp, fn, tp = (F.col(k) for k in ("tn", "fp", "fn", "tp"))
+    return {
+        "accuracy": ratio_or_zero(tn + tp, tn + fp + fn + tp),
+        "precision_score": ratio_or_zero(tp, tp + fp),
+        "recall_score": ratio_or_zero(tp, tp + fn),
+    }
 
 
 def threshold_metrics(
@@ -98,27 +125,14 @@ def threshold_metrics(
 ) -> DataFrame:
     """accuracy, precision and recall at a probability threshold, to four digits; 0 when undefined."""
     decided = df.withColumn("__decision", class_decision(F.col(p), t))
-    tn, fp, fn, tp = (F.col(k) for k in ("tn", "fp", "fn", "tp"))
-    return _cells(decided, y, "__decision", group).select(
-        *group,
-        F.round(ratio_or_zero(tn + tp, tn + fp + fn + tp), 4).alias("accuracy"),
-        F.round(ratio_or_zero(tp, tp + fp), 4).alias("precision_score"),
-        F.round(ratio_or_zero(tp, tp + fn), 4).alias("recall_score"),
-    )
+    cells = _cells(decided, y, "__decision", group)
+    return cells.select(*group, *[F.round(share, 4).alias(name) for name, share in _shares().items()])
 
 
 def compare_models(long_df: DataFrame, p: str = "probability", y: str = "label", t: float = 0.5) -> DataFrame:
     """One row per model: confusion counts, threshold metrics and AUC of a (model, label, probability) table."""
-    decided = long_df.withColumn("__decision", class_decision(F.col(p), t))
-    cells = _cells(decided, y, "__decision", ["model"])
-    tn, fp, fn, tp = (F.col(k) for k in ("tn", "fp", "fn", "tp"))
-    rated = cells.select(
-        "model", "tn", "fp", "fn", "tp",
-        ratio_or_zero(tn + tp, tn + fp + fn + tp).alias("accuracy"),
-        ratio_or_zero(tp, tp + fp).alias("precision_score"),
-        ratio_or_zero(tp, tp + fn).alias("recall_score"),
-    )
-    return null_safe_join(rated, roc_auc(long_df, p, y, ["model"]), ["model"])
+    shares = [share.alias(name) for name, share in _shares().items()]
+    return _rated_scores(long_df, p, y, t, ["model"]).select("model", "tn", "fp", "fn", "tp", *shares, "roc_auc")
 
 
 def monitoring_row(
@@ -130,13 +144,12 @@ def monitoring_row(
     y: str = "label",
 ) -> DataFrame:
     """One model_monitoring row for a scored set."""
-    auc = roc_auc(df, p, y).scalar()
     stamp = F.current_date() if trained_date is None else F.lit(trained_date)
-    row = threshold_metrics(df, p, y).select(
+    row = _rated_scores(df, p, y, 0.5, []).select(
         F.lit(model_version).alias("model_version"),
         stamp.alias("trained_date"),
-        "*",
-        F.round(auc, 4).alias("roc_auc"),
+        *[F.round(share, 4).alias(name) for name, share in _shares().items()],
+        F.round("roc_auc", 4).alias("roc_auc"),
         F.lit(notes).alias("notes"),
     )
     return enforce_schema(row, MODEL_MONITORING)

@@ -164,24 +164,27 @@ def train_model(train: DataFrame, calib: DataFrame, rounds: int = 200, depth: in
     return RiskModel(preprocess, baseline, trees, fit_isotonic(held_out))
 
 
-def score(model: RiskModel, df: DataFrame) -> DataFrame:
-    """Add raw and calibrated default probability, the two-digit score and the exposure."""
-    scored = apply_isotonic(model.calibrator, raw_score(model.trees, model.prepare(df)))
+def _with_scores(model: RiskModel, prepared: DataFrame) -> DataFrame:
+    scored = apply_isotonic(model.calibrator, raw_score(model.trees, prepared))
     return scored.withColumn("risk_score", risk_score(F.col("probability_of_default"))).withColumn(
         "exposure_at_default", F.col("loan_amount")
     )
 
 
+def score(model: RiskModel, df: DataFrame) -> DataFrame:
+    """Add raw and calibrated default probability, the two-digit score and the exposure."""
+    return _with_scores(model, model.prepare(df))
+
+
 def model_scores(model: RiskModel, df: DataFrame) -> DataFrame:
-    """(model, label, probability) rows of the baseline, the raw trees and the calibrated trees."""
-    prepared = model.prepare(df)
-    baseline = raw_score(model.baseline, prepared).select(
-        F.lit("baseline").alias("model"), F.col(LABEL).alias("label"), F.col("raw_probability").alias("probability")
-    )
-    scored = score(model, df)
+    """(model, label, probability) rows of the baseline, the raw trees and the calibrated trees.
+
+    Rows are prepared once and pass through all models side by side.
+    """
+    baseline = raw_score(model.baseline, model.prepare(df)).withColumnRenamed("raw_probability", "__baseline")
+    scored = _with_scores(model, baseline)
+    columns = {"baseline": "__baseline", "trees raw": "raw_probability", "trees calibrated": "probability_of_default"}
     versions = F.array(
-        F.struct(F.lit("trees raw").alias("model"), F.col("raw_probability").alias("probability")),
-        F.struct(F.lit("trees calibrated").alias("model"), F.col("probability_of_default").alias("probability")),
+        *[F.struct(F.lit(name).alias("model"), F.col(c).alias("probability")) for name, c in columns.items()]
     )
-    both = scored.select(F.col(LABEL).alias("label"), F.inline(versions)).select("model", "label", "probability")
-    return baseline.unionByName(both)
+    return scored.select(F.col(LABEL).alias("label"), F.inline(versions)).select("model", "label", "probability")

@@ -243,5 +243,6 @@ def model_history(monitoring: DataFrame) -> DataFrame:
     return monitoring.orderBy(F.col("trained_date").desc_nulls_last(), F.col("model_version").desc())
 
 
-def preview(df: DataFrame, columns: Sequence[str], n: int = 5) -> DataFrame:
-    return df.select(*columns).limit(n)
+def preview(df: DataFrame, columns: Sequence[str], order_by: Sequence[str], n: int = 5) -> DataFrame:
+    """The first ``n`` rows in a stated order."""
+    return df.orderBy(*order_by).limit(n).select(*columns)

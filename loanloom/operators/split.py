@@ -63,6 +63,18 @@ def sample_n(df: DataFrame, n: int, id_col: str, seed: int = 42, method: str = "
     return inside.unionByName(boundary).drop("__h", "__b")
 
 
+def hash_split(
+    df: DataFrame, id_col: str, weights: Sequence[float] = (0.6, 0.2, 0.2), seed: int = 42, method: str = "wide"
+) -> DataFrame:
+    """Add ``split`` by each id's hash alone: nothing is counted or shuffled, a row keeps its split when others
+    arrive, and shares are met up to sampling noise. Not stratified."""
+    h, span = _hash(method, id_col, seed)
+    share = h / F.lit(float(span))
+    train, calibration = weights[0], weights[0] + weights[1]
+    name = F.when(share < train, SPLITS[0]).when(share < calibration, SPLITS[1]).otherwise(SPLITS[2])
+    return df.withColumn("split", name)
+
+
 def stratified_split(
     df: DataFrame,
     label: str,
@@ -70,34 +82,43 @@ def stratified_split(
     weights: Sequence[float] = (0.6, 0.2, 0.2),
     seed: int = 42,
     method: str = "wide",
-    exact: bool = False,
 ) -> DataFrame:
-    """Add ``split``: train, calibration or test.
+    """Add ``split``: train, calibration or test, with shares met to the row within each value of ``label``.
 
-    By default each id's hash alone decides, so nothing is shuffled, and a loan
-    keeps its split when others arrive; shares are met up to sampling noise.
-    ``exact`` meets them to the row within each value of ``label``.
+    In the order of the seeded hash (ties by id) the first round(share x stratum) rows of a stratum are train, the
+    next calibration. Hash buckets are counted per stratum, only the rows of the bucket in which a cut falls are
+    sorted, and every row is then compared with the two cuts of its stratum: no window and no shuffle over ``df``.
     """
     h, span = _hash(method, id_col, seed)
-    train, calibration = weights[0], weights[0] + weights[1]
-
-    def named(share: Column) -> Column:
-        return F.when(share < train, SPLITS[0]).when(share < calibration, SPLITS[1]).otherwise(SPLITS[2])
-
-    if not exact:
-        return df.withColumn("split", named(h / F.lit(float(span))))
-
     buckets = min(span, 2**20)
     cell = F.floor(F.col("__h") / (span // buckets)) if span > buckets else F.col("__h")
     marked = df.withColumn("__h", h).withColumn("__b", cell)
     counts = marked.groupBy(label, "__b").agg(F.count("*").alias("n"))
-    places = totals_before(counts, [label], "__b", ["n"], F.floor(F.col("__b") / 1024))
-    strata = materialise(counts.groupBy(label).agg(F.sum("n").alias("__stratum")))
-    places = null_safe_join(places, strata, [label]).select(label, "__b", "n_before", "__stratum")
-    within = F.row_number().over(Window.partitionBy(label, "__b").orderBy("__h", id_col))
-    ranked = null_safe_join(marked, places, [label, "__b"]).withColumn("__rank", F.col("n_before") + within)
-    # The first round(share x stratum) ranks go to train, the next to calibration, the rest to test.
-    n_train = F.round(F.col("__stratum") * train)
-    n_both = F.round(F.col("__stratum") * calibration)
-    split = F.when(F.col("__rank") <= n_train, SPLITS[0]).when(F.col("__rank") <= n_both, SPLITS[1])
-    return ranked.withColumn("split", split.otherwise(SPLITS[2])).select(*df.columns, "split")
+    places = materialise(totals_before(counts, [label], "__b", ["n"], F.floor(F.col("__b") / 1024)))
+    strata = places.groupBy(label).agg(F.sum("n").alias("__stratum"))
+    wanted = F.array(
+        *[
+            F.struct(F.lit(k).alias("__cut"), F.round(F.col("__stratum") * share).alias("__rows"))
+            for k, share in enumerate((weights[0], weights[0] + weights[1]))
+        ]
+    )
+    sized = materialise(strata.select(label, F.inline(wanted)))
+    edges = null_safe_join(places, sized, [label]).filter(
+        (F.col("n_before") < F.col("__rows")) & (F.col("__rows") <= F.col("n_before") + F.col("n"))
+    )
+    edges = materialise(edges.select(label, "__b", "__cut", (F.col("__rows") - F.col("n_before")).alias("__room")))
+    last = (
+        null_safe_join(marked.select(label, "__b", "__h", F.col(id_col).alias("__id")), edges, [label, "__b"])
+        .withColumn("__rank", F.row_number().over(Window.partitionBy(label, "__b", "__cut").orderBy("__h", "__id")))
+        .filter("__rank = __room")
+    )
+    at = F.struct(F.col("__h"), F.col("__id"))
+    cuts = materialise(
+        last.groupBy(label).agg(
+            F.max(F.when(F.col("__cut") == 0, at)).alias("__first"), F.max(F.when(F.col("__cut") == 1, at)).alias("__second")
+        )
+    )  # a row for each stratum
+    here = F.struct(F.col("__h"), F.col(id_col).alias("__id"))
+    split = F.when(here <= F.col("__first"), SPLITS[0]).when(here <= F.col("__second"), SPLITS[1]).otherwise(SPLITS[2])
+    placed = null_safe_join(marked, cuts, [label], "left")
+    return placed.withColumn("split", split).select(*df.columns, "split")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from loanloom.functions.columns import clip, safe_ratio
 from loanloom.functions.shared import materialise
-from loanloom.functions.student_t import t_quantile_column
+from loanloom.functions.student_t import t_quantile
 from loanloom.operators.decision import LGD
 from loanloom.schemas import STRESS_TEST_RESULTS, enforce_schema
 from loanloom.sources.tables import SCENARIOS, Scenario
@@ -34,7 +34,7 @@ def yearly_with_macro(yearly: DataFrame, macro: DataFrame) -> DataFrame:
 def two_regressor_fit(df: DataFrame, y: str, x: str, z: str, alpha: float = 0.05) -> DataFrame:
     """Least squares y ~ 1 + x + z from sums of squares: slopes, R squared and the interval of x's slope.
 
-    One aggregate over ``df``. Slopes are NULL when x and z are collinear, the
+    One aggregate over ``df``, of which the row count comes to the driver for the t quantile. Slopes are NULL when x and z are collinear, the
     interval is NULL without residual degrees of freedom.
     """
     n = F.count("*").cast("double")
@@ -42,12 +42,16 @@ def two_regressor_fit(df: DataFrame, y: str, x: str, z: str, alpha: float = 0.05
     def cross(a: str, b: str) -> Column:
         return F.covar_pop(F.col(a).cast("double"), F.col(b).cast("double")) * n
 
-    sums = df.filter(F.col(y).isNotNull() & F.col(x).isNotNull() & F.col(z).isNotNull()).agg(
+    known = df.filter(F.col(y).isNotNull() & F.col(x).isNotNull() & F.col(z).isNotNull())
+    sums = known.agg(
         F.count("*").alias("n"),
         cross(x, x).alias("xx"), cross(z, z).alias("zz"), cross(x, z).alias("xz"),
         cross(x, y).alias("xy"), cross(z, y).alias("zy"), cross(y, y).alias("yy"),
         F.min(z).alias("first"), F.max(z).alias("last"),
     )
+    sums = materialise(sums)
+    dof = sums.first()["n"] - 3
+    quantile = F.lit(t_quantile(1 - alpha / 2, dof) if dof > 0 else None)
     c = F.col
     det = c("xx") * c("zz") - c("xz") * c("xz")
     fitted = sums.withColumns(
@@ -59,7 +63,7 @@ def two_regressor_fit(df: DataFrame, y: str, x: str, z: str, alpha: float = 0.05
         }
     ).withColumn("residual", c("yy") - c("slope") * c("xy") - c("trend_slope") * c("zy"))
     spread = F.sqrt(safe_ratio(c("residual"), c("dof")) * safe_ratio(c("zz"), det))
-    margin = t_quantile_column(1 - alpha / 2, c("dof")) * spread
+    margin = quantile * spread
     return fitted.select(
         c("n").alias("n_years"),
         c("dof").alias("degrees_of_freedom"),

@@ -18,16 +18,14 @@ from loanloom.operators.portfolio import yearly_origination_quality
 from loanloom.operators.quality import clean
 from loanloom.operators.split import sample_n, stratified_split
 from loanloom.operators.stress import fit_sensitivity, stress_el, stress_rows
-from loanloom.schemas import CUSTOMERS, LOANS, REPAYMENTS
+from loanloom.schemas import CUSTOMERS, LOANS, REPAYMENTS, STRESS_TEST_RESULTS
 from loanloom.sources.raw_loans import assign_ids, filter_resolved, normalize, read_raw_loans, stage
-from loanloom.sources.sinks import overwrite, read_scores, upsert, write_loans, write_repayments, write_scores
+from loanloom.sources.sinks import overwrite, read_keyed, read_scores, upsert, write_loans, write_repayments, write_scores
 from loanloom.sources.tables import SCENARIOS, Scenario, read_table
 
-SAMPLE_SIZE = 75_000
 
-
-def ingest(spark: SparkSession, csv_path: str, warehouse: str, sample_size: int | None = SAMPLE_SIZE) -> None:
-    """Raw file -> customers, loans, repayments below ``warehouse``."""
+def ingest(spark: SparkSession, csv_path: str, warehouse: str, sample_size: int | None = None) -> None:
+    """Raw file -> customers, loans, repayments below ``warehouse``; ``sample_size`` asks for a sample of loans."""
     resolved = stage(filter_resolved(read_raw_loans(spark, csv_path)), f"{warehouse}/staged_raw")
     numbered = assign_ids(resolved)
     if sample_size is not None:
@@ -50,20 +48,19 @@ def _tables(spark: SparkSession, warehouse: str) -> tuple[DataFrame, DataFrame,
 def build_model_table(spark: SparkSession, warehouse: str, leak_safe: bool = True, seed: int = 42) -> DataFrame:
     """Cleaned, split model table, written to ``<warehouse>/model_table`` and read back.
 
-    ``leak_safe`` fits the peer benchmarks on the train split only; otherwise
+    Loans are split once, stratified by outcome, before anything is fitted. ``leak_safe`` fits the peer benchmarks on the train split only; otherwise
     every loan feeds them, test loans included.
     """
     loans, customers, repayments = _tables(spark, warehouse)
     overwrite(loan_base_features(loans, customers, repayments), f"{warehouse}/base_features")
-    base = spark.read.parquet(f"{warehouse}/base_features")
+    base = stratified_split(spark.read.parquet(f"{warehouse}/base_features"), "default_flag", "loan_id", seed=seed)
     if leak_safe:
-        base = stratified_split(base, "default_flag", "loan_id", seed=seed)
         with_peers = PeerBenchmarks.fit(base.filter("split = 'train'")).transform(base, fill_unseen=True)
     else:
         with_peers = with_peer_benchmarks(base)
-    cleaned, report = clean(final_model_features(with_peers))
-    split = stratified_split(cleaned, "default_flag", "loan_id", seed=seed)
-    overwrite(split, f"{warehouse}/model_table")
+    overwrite(final_model_features(with_peers), f"{warehouse}/peer_features")
+    cleaned, report = clean(spark.read.parquet(f"{warehouse}/peer_features"))
+    overwrite(cleaned, f"{warehouse}/model_table")
     overwrite(report, f"{warehouse}/cleaning_report")
     return spark.read.parquet(f"{warehouse}/model_table")
 
@@ -81,24 +78,26 @@ def score_and_explain(
     spark: SparkSession,
     warehouse: str,
     model_version: str = "v1",
-    splits: Sequence[str] = ("test",),
+    splits: Sequence[str] | None = None,
     run_date: datetime.date | None = None,
+    notes: str = "",
 ) -> None:
-    """Score the chosen splits, assign tiers, explain, store scores and the monitoring row."""
+    """Score the whole model table (or some splits), assign tiers, explain, store scores and the monitoring row.
+
+    The model runs once: scores and drivers are stored in ``<warehouse>/scored_rows``, and cut-offs, losses, the
+    score table and the monitoring metrics are read off that. The metrics are those of the test split.
+    """
     model = RiskModel.load(f"{warehouse}/model")
-    rows = spark.read.parquet(f"{warehouse}/model_table").filter(F.col("split").isin(*splits))
-    scored = expected_loss(assign_tier(score(model, rows)))
-    explained = top_drivers(shap_values(model, scored), model.names)
-    write_scores(explained, f"{warehouse}/risk_scores", model_version, run_date)
-    row = monitoring_row(
-        score(model, rows),
-        model_version,
-        run_date,
-        notes="Boosted trees weighted for class balance, isotonic calibration, percentile tiers; "
-        "threshold metrics at 0.5 mean little at the base rate, use ROC-AUC.",
-        p="probability_of_default",
-        y="default_flag",
-    )
+    rows = spark.read.parquet(f"{warehouse}/model_table")
+    if splits is not None:
+        rows = rows.filter(F.col("split").isin(*splits))
+    explained = top_drivers(shap_values(model, score(model, rows)), model.names)
+    kept = ["loan_id", "split", "default_flag", "raw_probability", "probability_of_default", "risk_score"]
+    overwrite(explained.select(*kept, "exposure_at_default", "top_drivers"), f"{warehouse}/scored_rows")
+    scored = spark.read.parquet(f"{warehouse}/scored_rows")
+    write_scores(expected_loss(assign_tier(scored)), f"{warehouse}/risk_scores", model_version, run_date)
+    test = scored.filter("split = 'test'")
+    row = monitoring_row(test, model_version, run_date, notes, p="probability_of_default", y="default_flag")
     upsert(row, f"{warehouse}/model_monitoring", ["model_version"])
 
 
@@ -117,4 +116,4 @@ def stress(
     sensitivity = materialise(fit_sensitivity(yearly, macro))
     rows = stress_rows(stress_el(scores, loans, yearly, sensitivity, scenarios, LGD), sensitivity, run_date)
     upsert(rows, f"{warehouse}/stress_test_results", ["scenario"])
-    return spark.read.parquet(f"{warehouse}/stress_test_results")
+    return read_keyed(spark, f"{warehouse}/stress_test_results", STRESS_TEST_RESULTS)

@@ -32,9 +32,16 @@ from loanloom.operators.model import (
     feature_names,
 )
 from loanloom.plans.views import VIEW_NAMES, register_views
-from loanloom.schemas import EXPECTED_LOSS_COLUMNS, REPAYMENTS, add_columns, enforce_schema
+from loanloom.schemas import (
+    EXPECTED_LOSS_COLUMNS,
+    MODEL_MONITORING,
+    REPAYMENTS,
+    STRESS_TEST_RESULTS,
+    add_columns,
+    enforce_schema,
+)
 from loanloom.sources import raw_loans, sample_book, sinks
-from loanloom.sources.tables import TableCache
+from loanloom.sources.tables import TableCache, read_macro
 
 # The sample tables start in 1995, so later years stand in for the crisis window.
 SAMPLE_CRISIS_YEARS = (1997, 1998, 1999)
@@ -252,7 +259,24 @@ def stress_rows_stored(spark, d):
     rows = materialise(stress.stress_rows(*_stress(spark, d), STAMP))
     sinks.upsert(rows, path, ["scenario"])
     sinks.upsert(rows, path, ["scenario"])
-    return spark.read.parquet(path)
+    return sinks.read_keyed(spark, path, STRESS_TEST_RESULTS)
+
+
+@query
+def upsert_keys(spark, d):
+    """Monitoring rows under versions that look like numbers, one of them stored again: keys stay text."""
+    path = f"{shared_folder(spark, 'monitoring')}/model_monitoring"
+    loans = sample_book.loans(spark, d)
+    for version, notes in (("007", "first"), ("20240131", "only"), ("007", "again")):
+        row = loans.agg(F.round(F.avg("default_flag"), 4).alias("accuracy")).select(
+            F.lit(version).alias("model_version"), F.lit(STAMP).alias("trained_date"), "accuracy", F.lit(notes).alias("notes")
+        )
+        sinks.upsert(enforce_schema(row, MODEL_MONITORING), path, ["model_version"])
+    read = sinks.read_keyed(spark, path, MODEL_MONITORING)
+    return read.select(
+        "model_version", "trained_date", "accuracy", "notes", F.length("model_version").alias("n_characters"),
+        F.lit(",".join(read.columns)).alias("column_order"),
+    )
 
 
 @query
@@ -264,11 +288,10 @@ def added_columns(spark, d):
 
 @query
 def column_defaults(spark, d):
-    """Repayments whose delinquency mark is unknown for small payments get the default."""
-    rows = sample_book.repayments(spark, d).withColumn(
-        "days_late", F.when(F.col("amount_paid") >= 50000, F.col("days_late"))
-    )
-    return enforce_schema(rows, REPAYMENTS)
+    """Repayments without a delinquency mark get the default; the mark is kept for large payments."""
+    rows = sample_book.repayments(spark, d)
+    large, small = rows.filter("amount_paid >= 50000"), rows.filter("coalesce(amount_paid < 50000, true)")
+    return enforce_schema(large, REPAYMENTS).unionByName(enforce_schema(small.drop("days_late"), REPAYMENTS))
 
 
 @query
@@ -337,7 +360,7 @@ def final_model_features(spark, d):
 @query
 def peer_benchmarks_fit_on_train(spark, d):
     """Every loan looked up in the counts of the train split."""
-    base = split.stratified_split(_base(spark, d), "default_flag", "loan_id", method="modular")
+    base = split.hash_split(_base(spark, d), "loan_id", method="modular")
     fitted = features.PeerBenchmarks.fit(base.filter("split = 'train'"))
     return fitted.transform(base).select("loan_id", "split", *features.PEER_COLUMNS)
 
@@ -514,6 +537,23 @@ def scores_with_outcome(spark, d):
     )
 
 
+@query
+def score_preview(spark, d):
+    """The five riskiest loans, ties by id."""
+    order = [F.desc("risk_score"), F.asc("loan_id")]
+    return portfolio.preview(_scores(spark, d), ["loan_id", "risk_score", "recommended_action"], order)
+
+
+@query
+def stamped_scores(spark, d):
+    """Scores stored without a date, and how many carry the current one."""
+    path = f"{shared_folder(spark, 'stamped')}/risk_scores"
+    today = F.current_date()
+    sinks.write_scores(_scores(spark, d), path, "v1")
+    near = F.col("prediction_date").between(F.date_sub(today, 1), today)  # a run may pass midnight
+    return sinks.read_scores(spark, path).agg(F.count("*").alias("n_scores"), F.count_if(near).alias("n_stamped"))
+
+
 @query
 def distinct_purposes(spark, d):
     return portfolio.distinct_sorted(sample_book.loans(spark, d), "purpose")
@@ -624,9 +664,17 @@ def stratified_split(spark, d):
 
 @query
 def stratified_split_exact(spark, d):
-    return split.stratified_split(
-        sample_book.loans(spark, d), "default_flag", "loan_id", method="modular", exact=True
-    ).select("loan_id", "default_flag", "split")
+    """Rows per stratum and split."""
+    loans = sample_book.loans(spark, d)
+    rows = split.stratified_split(loans, "default_flag", "loan_id", method="modular")
+    return rows.groupBy("default_flag", "split").agg(F.count("*").alias("n_loans"))
+
+
+@query
+def hash_split(spark, d):
+    return split.hash_split(sample_book.loans(spark, d), "loan_id", method="modular").select(
+        "loan_id", "default_flag", "split"
+    )
 
 
 # -- decisions and metrics ------------------------------------------------------------------
@@ -717,6 +765,15 @@ def class_weights_of_loans(spark, d):
 # -- stress ------------------------------------------------------------------------------
 
 
+@query
+def macro_from_csv(spark, d):
+    """The monthly series written as a headed CSV and read back."""
+    path = f"{shared_folder(spark, 'macro')}/unrate"
+    series = sample_book.macro(spark, d).select("observation_date", F.col("value").alias("UNRATE"))
+    series.write.option("header", True).csv(path)
+    return rounded(read_macro(spark, path), 6, "value")
+
+
 @query
 def annual_unemployment(spark, d):
     return rounded(stress.annual_mean(sample_book.macro(spark, d)), 6, "unemployment_rate")
@@ -861,7 +918,7 @@ def _split_table(spark, d):
     key = (spark.sparkContext.applicationId, d)
     if key not in _tables:
         cleaned = quality.clean(_model_table(spark, d))[0]
-        rows = split.stratified_split(cleaned, "default_flag", "loan_id", method="modular")
+        rows = split.hash_split(cleaned, "loan_id", method="modular")
         path = f"{shared_folder(spark, 'model-table')}/rows"
         rows.write.parquet(path)
         _tables[key] = path
@@ -893,9 +950,9 @@ def encoded_feature_means(spark, d):
 
 @query
 def shap_additivity(spark, d):
-    """Test loans, and those whose contributions and base value do not add up to the model's log-odds."""
+    """Loans, and those whose contributions and base value do not add up to the model's log-odds."""
     model = _model(spark, d)
-    rows = explain.shap_values(model, score(model, _part(spark, d, "test")))
+    rows = explain.shap_values(model, score(model, _split_table(spark, d)))
     total = F.aggregate("shap", F.col("shap_base"), lambda a, v: a + v)
     odds = F.ln(F.col("raw_probability") / (1 - F.col("raw_probability")))
     return rows.agg(F.count("*").alias("n_loans"), F.count_if(F.abs(total - odds) > 1e-6).alias("n_violations"))
@@ -918,13 +975,13 @@ def calibration_is_monotone(spark, d):
 
 @query
 def saved_model_scores(spark, d):
-    """Test loans, and those a saved and reloaded model scores differently."""
+    """Loans, and those a saved and reloaded model scores differently."""
     model = _model(spark, d)
     path = f"{shared_folder(spark, 'model')}/bundle"
     model.save(path)
-    test = _part(spark, d, "test")
-    before = score(model, test).select("loan_id", F.col("probability_of_default").alias("before"))
-    after = score(RiskModel.load(path), test).select("loan_id", F.col("probability_of_default").alias("after"))
+    rows = _split_table(spark, d)
+    before = score(model, rows).select("loan_id", F.col("probability_of_default").alias("before"))
+    after = score(RiskModel.load(path), rows).select("loan_id", F.col("probability_of_default").alias("after"))
     return before.join(after, "loan_id").agg(
         F.count("*").alias("n_loans"), F.count_if(F.abs(F.col("before") - F.col("after")) > 1e-12).alias("n_violations")
     )
@@ -932,25 +989,71 @@ def saved_model_scores(spark, d):
 
 @query
 def scored_loans(spark, d):
-    """Test loans scored, tiered and explained by the trained model."""
-    model = _model(spark, d)
-    scored = decision.expected_loss(decision.assign_tier(score(model, _part(spark, d, "test"))))
-    explained = explain.top_drivers(explain.shap_values(model, scored), model.names)
-    return explained.select(
+    """All cleaned loans scored, tiered and explained by the trained model."""
+    return _scored(spark, d).select(
         "loan_id", "probability_of_default", "risk_score", "recommended_action", "expected_loss", "top_drivers"
     )
 
 
+def _scored(spark, d):
+    """Scores and drivers of all cleaned loans, stored before cut-offs and losses are read off them."""
+    model = _model(spark, d)
+    explained = explain.top_drivers(explain.shap_values(model, score(model, _split_table(spark, d))), model.names)
+    return decision.expected_loss(decision.assign_tier(materialise(explained.drop("features", "shap"))))
+
+
+@query
+def scored_loans_check(spark, d):
+    """Cleaned loans scored, and those whose loss or tier does not follow from the stored score."""
+    rows = materialise(_scored(spark, d))
+    cuts = decision.tier_cutoffs(rows).scalar()
+    p, s = F.col("probability_of_default"), F.col("risk_score").cast("double")
+    loss = F.round(p * 0.45 * F.col("loan_amount").cast("double"), 2)
+    n_above = sum((s >= cuts[i]).cast("int") for i in range(3))
+    placed = rows.groupBy("recommended_action").agg(F.min(n_above).alias("n_above"), F.max(n_above).alias("most"))
+    mixed = placed.filter("n_above <> most").agg(F.count("*")).scalar()
+    return rows.agg(
+        F.count("*").alias("n_loans"),
+        F.count_if(F.abs(F.col("expected_loss").cast("double") - loss) > 0.011).alias("n_wrong_losses"),
+        mixed.alias("n_mixed_tiers"),
+        F.count_if(F.col("top_drivers").isNull()).alias("n_unexplained"),
+    )
+
+
 @query
 def trained_model_comparison(spark, d):
     """Baseline, raw trees and calibrated trees on the test split."""
     return metrics.compare_models(model_scores(_model(spark, d), _part(spark, d, "test")))
 
 
+@query
+def model_comparison_check(spark, d):
+    """Per model the test loans its four counts add up to, and whether it ranks better than chance."""
+    rows = metrics.compare_models(model_scores(_model(spark, d), _part(spark, d, "test")))
+    return rows.select(
+        "model", F.expr("tn + fp + fn + tp").alias("n_loans"), (F.col("roc_auc") >= 0.5).cast("int").alias("beats_chance")
+    )
+
+
+@query
+def hypothetical_scores_check(spark, d):
+    """Hypothetical loans, those outside their grade's rates, and those whose loss is not PD x LGD x amount."""
+    rows = whatif.score_hypotheticals(
+        sample_book.hypotheticals(spark, d), sample_book.loans(spark, d), _model(spark, d)
+    )
+    loss = F.col("probability_of_default") * 0.45 * F.col("loan_amount").cast("double")
+    return rows.agg(
+        F.count("*").alias("n_rows"),
+        F.sum("out_of_distribution").alias("n_out_of_range"),
+        F.count_if(F.abs(F.col("expected_loss") - loss) > 1e-6).alias("n_wrong_losses"),
+        F.count_if(~F.col("probability_of_default").between(0, 1)).alias("n_wrong_scores"),
+    )
+
+
 @query
 def shap_importance(spark, d):
     model = _model(spark, d)
-    return explain.global_importance(explain.shap_values(model, _part(spark, d, "test")), names=model.names)
+    return explain.global_importance(explain.shap_values(model, _split_table(spark, d)), names=model.names)
 
 
 @query

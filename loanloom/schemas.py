@@ -17,6 +17,7 @@ def _decimal(precision: int, scale: int) -> T.DecimalType:
     return T.DecimalType(precision, scale)
 
 
+# The columns of each table and their types.
 CUSTOMERS = _table(
     ("customer_id", T.LongType(), False),
     ("age", T.IntegerType()),
@@ -108,7 +109,7 @@ DEFAULTS = {
 
 
 def enforce_schema(df: DataFrame, schema: T.StructType, strict: bool = True) -> DataFrame:
-    """Select and cast ``df`` to ``schema``; absent columns become their default or NULL.
+    """Select and cast ``df`` to ``schema``; absent columns become their default or NULL, a given NULL stays one.
 
     A value its column cannot hold stops a strict load and becomes NULL otherwise.
     """
@@ -117,8 +118,8 @@ def enforce_schema(df: DataFrame, schema: T.StructType, strict: bool = True) ->
     def field(f: T.StructField) -> Column:
         value = F.col(f.name) if f.name in present else F.lit(None)
         value = value.cast(f.dataType) if strict else value.try_cast(f.dataType)
-        if f.name in DEFAULTS:
-            value = F.coalesce(value, DEFAULTS[f.name]().cast(f.dataType))
+        if f.name in DEFAULTS and f.name not in present:
+            value = DEFAULTS[f.name]().cast(f.dataType)
         return value.alias(f.name)
 
     return df.select(*[field(f) for f in schema.fields])

@@ -41,10 +41,11 @@ def read_raw_loans(spark: SparkSession, path: str, multi_line: bool = False) ->
 
     No type inference, so the file is read once; the header line alone is
     looked at to place the columns, and unused ones are pruned in the scan.
+    A file whose header differs from that one stops the load.
     ``multi_line`` reads files whose quoted texts contain line breaks, at the
     price of one task per file.
     """
-    options = {"header": True, "quote": '"', "escape": '"', "multiLine": multi_line}
+    options = {"header": True, "quote": '"', "escape": '"', "multiLine": multi_line, "enforceSchema": False}
     header = spark.read.options(**options).csv(path).columns
     missing = [c for c in RAW_COLUMNS if c not in header]
     if missing:

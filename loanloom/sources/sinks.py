@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loanloom.operators.decision import LGD
 from loanloom.schemas import LOANS, REPAYMENTS, RISK_SCORES, enforce_schema
 
 
@@ -34,8 +35,10 @@ def upsert(new: DataFrame, path: str, keys: Sequence[str]) -> None:
     """Write rows keyed by a few distinct values, such as a model version or scenario.
 
     The keys are the table's partitions, so replacing the partitions present
-    in ``new`` is the upsert: nothing is read back, a rerun gives the same
-    table, and a failed job leaves the old rows in place.
+    in ``new`` is the upsert: nothing is read back and a rerun gives the same
+    table. Rows are staged before any partition is exchanged, so a job that
+    fails while computing changes nothing; partitions are exchanged one by one.
+    ``read_keyed`` reads the table.
     """
     (
         new.write.mode("overwrite")
@@ -45,8 +48,9 @@ def upsert(new: DataFrame, path: str, keys: Sequence[str]) -> None:
     )
 
 
-def _by_hash_then_sorted(df: DataFrame, key: str) -> DataFrame:
-    return df.repartition(F.col(key)).sortWithinPartitions(key)
+def read_keyed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A table written by ``upsert``, in the order and types of ``schema``; key texts such as "007" stay texts."""
+    return spark.read.schema(schema).parquet(path).select(*[f.name for f in schema.fields])
 
 
 def write_loans(loans: DataFrame, path: str) -> None:
@@ -92,22 +96,26 @@ def write_scores(
     path: str,
     model_version: str,
     prediction_date: datetime.date | None = None,
-    lgd: float = 0.45,
+    lgd: float = LGD,
 ) -> None:
-    """Store scored loans under their model version; scoring again replaces that version."""
+    """Store scored loans under their model version; scoring again replaces that version.
+
+    A column ``lgd_assumption``, as ``expected_loss`` adds it, is stored; ``lgd`` is for rows without one.
+    Files are ranges of loans, so a lookup by loan reads few row groups.
+    """
     stamp: Column = F.current_date() if prediction_date is None else F.lit(prediction_date)
     rows = scored.withColumns(
         {
             "model_version": F.lit(model_version),
             "prediction_date": stamp,
-            "lgd_assumption": F.lit(lgd).cast(RISK_SCORES["lgd_assumption"].dataType),
+            "lgd_assumption": F.col("lgd_assumption") if "lgd_assumption" in scored.columns else F.lit(lgd),
         }
     )
     typed = enforce_schema(rows, RISK_SCORES)
     extra = [c for c in ("top_drivers",) if c in scored.columns]
     if extra:
         typed = rows.select(*[F.col(f.name).cast(f.dataType) for f in RISK_SCORES.fields], *extra)
-    upsert(_by_hash_then_sorted(typed, "loan_id"), path, ["model_version"])
+    upsert(typed.repartitionByRange("loan_id").sortWithinPartitions("loan_id"), path, ["model_version"])
 
 
 def export_tables(tables: Mapping[str, DataFrame], out_dir: str, fmt: str = "parquet") -> dict[str, str]:
@@ -125,6 +133,4 @@ def export_tables(tables: Mapping[str, DataFrame], out_dir: str, fmt: str = "par
 
 def read_scores(spark: SparkSession, path: str) -> DataFrame:
     """Stored scores with their declared types, the version column included."""
-    fields = [f for f in RISK_SCORES.fields if f.name != "model_version"]
-    layout = T.StructType([*fields, T.StructField("model_version", T.StringType())])
-    return spark.read.schema(layout).parquet(path).select(*[f.name for f in RISK_SCORES.fields])
+    return read_keyed(spark, path, RISK_SCORES)

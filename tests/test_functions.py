@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from loanloom.functions import columns as c
 from loanloom.functions.ordered import exact_quantiles, money_bucket, positions, totals_before
-from loanloom.functions.student_t import t_quantile, t_quantile_column
+from loanloom.functions.student_t import t_quantile
 
 
 def one(spark, column, **values):
@@ -113,11 +113,10 @@ def test_exact_quantile_of_nothing_is_null(spark):
 
 
 @pytest.mark.parametrize("dof, expected", [(1, 12.7062047364), (2, 4.3026527297), (4, 2.7764451052), (9, 2.2621571628)])
-def test_t_quantile_known_values(spark, dof, expected):
+def test_t_quantile_known_values(dof, expected):
     assert t_quantile(0.975, dof) == pytest.approx(expected, abs=1e-9)
-    assert one(spark, t_quantile_column(0.975, F.col("d")), d=dof) == pytest.approx(expected, abs=1e-9)
 
 
-def test_t_quantile_beyond_the_table(spark):
-    assert one(spark, t_quantile_column(0.975, F.col("d")), d=500) == pytest.approx(t_quantile(0.975, 500), abs=1e-8)
-    assert one(spark, t_quantile_column(0.975, F.col("d")), d=0) is None
+@pytest.mark.parametrize("p, dof, expected", [(0.975, 500, 1.96472), (0.995, 120, 2.61742)])
+def test_t_quantile_of_many_degrees(p, dof, expected):
+    assert t_quantile(p, dof) == pytest.approx(expected, abs=1e-5)

@@ -106,8 +106,8 @@ def test_train_score_stress_end_to_end(spark, warehouse):
     for _ in range(2):
         jobs.score_and_explain(spark, warehouse, "v1", run_date=STAMP)
     scores = sinks.read_scores(spark, f"{warehouse}/risk_scores")
-    test = spark.read.parquet(f"{warehouse}/model_table").filter("split = 'test'").count()
-    assert scores.count() == test == scores.select("loan_id").distinct().count()
+    table = spark.read.parquet(f"{warehouse}/model_table")
+    assert scores.count() == table.count() == scores.select("loan_id").distinct().count()
     assert spark.read.parquet(f"{warehouse}/risk_scores").filter("top_drivers is null").count() == 0
     monitoring = spark.read.parquet(f"{warehouse}/model_monitoring").collect()
     assert len(monitoring) == 1 and monitoring[0].trained_date == STAMP
@@ -118,6 +118,37 @@ def test_train_score_stress_end_to_end(spark, warehouse):
     assert {r.scenario for r in rows} == {"baseline", "adverse", "severely_adverse"} and len(rows) == 3
 
 
+def test_the_model_table_is_split_once_and_by_outcome(spark, warehouse):
+    base = spark.read.parquet(f"{warehouse}/base_features")
+    peers = spark.read.parquet(f"{warehouse}/peer_features")
+    for r in peers.groupBy("default_flag").agg(F.count("*").alias("n"), F.count_if("split = 'train'").alias("train")).collect():
+        assert r.train == round(0.6 * r.n)
+    assert peers.count() == base.count()
+
+
+def test_ingest_keeps_every_resolved_row_by_default(spark, tmp_path):
+    rows = sample_book.raw_file_rows(spark, SF).drop("loan_id")
+    rows.write.option("header", True).csv(f"{tmp_path}/loan.csv")
+    jobs.ingest(spark, f"{tmp_path}/loan.csv", f"{tmp_path}/w")
+    resolved = rows.filter(F.col("loan_status").isin(*raw_loans.RESOLVED_STATUSES)).count()
+    assert read_table(spark, f"{tmp_path}/w/loans", LOANS).count() == resolved > 1000
+
+
+def test_a_file_with_other_columns_order_stops_the_load(spark, tmp_path):
+    columns = list(raw_loans.RAW_COLUMNS)
+    (tmp_path / "a.csv").write_text(",".join(columns) + "\n" + ",".join(["1000", *["x"] * 2, "10", *["1"] * 14]) + "\n")
+    columns[0], columns[3] = columns[3], columns[0]
+    (tmp_path / "b.csv").write_text(",".join(columns) + "\n" + ",".join(["10", *["x"] * 2, "1000", *["1"] * 14]) + "\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        raw_loans.read_raw_loans(spark, str(tmp_path)).collect()
+
+
+def test_a_given_null_label_stays_unknown(spark):
+    row = enforce_schema(spark.createDataFrame([(1, None)], "loan_id long, default_flag int"), LOANS).first()
+    assert row.default_flag is None
+    assert enforce_schema(spark.range(1).withColumnRenamed("id", "loan_id"), LOANS).first().default_flag == 0
+
+
 def test_leak_safe_table_differs_from_the_leaky_one(spark, warehouse):
     columns = ["loan_id", "grade_default_rate"]
     leaky = {tuple(r) for r in jobs.build_model_table(spark, warehouse, leak_safe=False).select(*columns).collect()}

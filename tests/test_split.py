@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from loanloom.operators.split import sample_n, stratified_split
+from loanloom.operators.split import hash_split, sample_n, stratified_split
 
 
 def _loans(spark, n=20000):
@@ -31,11 +31,24 @@ def test_split_is_a_partition_with_the_right_shares(spark, exact):
     # Large enough for a one-point band to lie beyond the noise of a hash split.
     n = 200_000
     df = _loans(spark, n)
-    rows = stratified_split(df, "y", "loan_id", exact=exact)
-    again = stratified_split(df.repartition(7), "y", "loan_id", exact=exact)
+    def split(rows):
+        return stratified_split(rows, "y", "loan_id") if exact else hash_split(rows, "loan_id")
+
+    rows, again = split(df), split(df.repartition(7))
     first = {r.loan_id: r.split for r in rows.collect()}
     assert len(first) == n and first == {r.loan_id: r.split for r in again.collect()}
     for r in rows.groupBy("y", "split").agg(F.count("*").alias("n")).collect():
         stratum = n // 5 if r.y else n * 4 // 5
         share = {"train": 0.6, "calibration": 0.2, "test": 0.2}[r.split]
         assert abs(r.n - share * stratum) <= (0.5 if exact else 0.01 * stratum)
+
+
+def test_small_and_unknown_strata_are_split_too(spark):
+    rows = [(i, None if i < 7 else 1 if i == 7 else 0) for i in range(40)]
+    df = spark.createDataFrame(rows, "loan_id long, y int")
+    counts = {(r.y, r.split): r.n for r in stratified_split(df, "y", "loan_id").groupBy("y", "split").agg(F.count("*").alias("n")).collect()}
+    assert counts == {
+        (None, "train"): 4, (None, "calibration"): 2, (None, "test"): 1, (1, "train"): 1,
+        (0, "train"): 19, (0, "calibration"): 7, (0, "test"): 6,
+    }
+    assert stratified_split(df.limit(0), "y", "loan_id").count() == 0

@@ -17,9 +17,6 @@ from pyspark.sql import functions as F
 from ..functions.shared import materialise
 from .common import let, words_of
 
-#: Slots of the weight table that words are hashed to; words that would share a slot with a stronger one are left out.
-SLOTS = 16_384
-
 
 class Classifier(NamedTuple):
     """For each domain the log odds of a text without any known feature, and what each known one adds."""
@@ -27,7 +24,6 @@ class Classifier(NamedTuple):
     domains: tuple[str, ...]
     priors: tuple[float, ...]
     words: tuple[str, ...]
-    slots: tuple[int, ...]
     weights: tuple[tuple[float, ...], ...]
     temperature: float
 
@@ -68,12 +64,8 @@ def features_of(text: Column) -> Column:
     return F.concat(vocabulary_of(text), let(words_of(text), marks))
 
 
-def _slot(word: Column) -> Column:
-    return F.pmod(F.xxhash64(word), F.lit(SLOTS)).cast("int")
-
-
 def fit_classifier(
-    docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000, max_words: int = 1024, min_docs: int = 5, min_score: float = 20.0, min_ratio: float = 3.0
+    docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000, max_words: int = 256, min_docs: int = 5, min_score: float = 20.0, min_ratio: float = 3.0
 ) -> Classifier:
     """Naive Bayes over which of the ``max_words`` features that tell the domains apart best a text has.
 
@@ -91,7 +83,7 @@ def fit_classifier(
     sizes = {r["domain"]: r["n"] for r in read.groupBy("domain").agg(F.count("*").alias("n")).collect()}
     domains = tuple(sorted(sizes))
     if not domains:
-        return Classifier((), (), (), (), (), 1.0)
+        return Classifier((), (), (), (), 1.0)
     total = sum(sizes.values())
     seen = {d: F.count(F.when(F.col("domain") == d, 1)) for d in domains}
     counts = read.select("domain", F.explode("words").alias("word")).groupBy("word").agg(
@@ -116,24 +108,19 @@ def fit_classifier(
         ],
         F.lit(0.0),
     )
-    best = (
+    rows = (
         counts.filter(F.col("n") >= min_docs)
-        .select("word", *[f"n{k}" for k in range(len(domains))], score.alias("score"), ratio.alias("ratio"), _slot(F.col("word")).alias("slot"))
+        .select("word", *[f"n{k}" for k in range(len(domains))], score.alias("score"), ratio.alias("ratio"))
         .filter((F.col("score") >= min_score) & (F.col("ratio") >= min_ratio))
         .orderBy(F.desc("score"), "word")
         .limit(max_words)
         .collect()
     )
-    taken: dict[int, tuple] = {}
-    for row in best:
-        taken.setdefault(row["slot"], row)
-    rows = list(taken.values())
     odds = [[(row[f"n{k}"] + 0.5) / (sizes[d] + 1.0) for row in rows] for k, d in enumerate(domains)]
     model = Classifier(
         domains,
         tuple(log(sizes[d] / total) + sum(log(1 - p) for p in odds[k]) for k, d in enumerate(domains)),
         tuple(r["word"] for r in rows),
-        tuple(r["slot"] for r in rows),
         tuple(tuple(log(p / (1 - p)) for p in own) for own in odds),
         1.0,
     )
@@ -142,38 +129,50 @@ def fit_classifier(
 
 def _best_temperature(read: DataFrame, model: Classifier) -> float:
     choices = (1.0, 2.0, 4.0, 8.0, 16.0)
+    rated = materialise(read.select("domain", _log_odds(F.col("words"), model).alias("odds")))
     loss = []
     for t in choices:
-        p = _posterior(F.col("words"), model._replace(temperature=t))
-        own = sum((F.when(F.col("domain") == d, p[k]).otherwise(0.0) for k, d in enumerate(model.domains)), F.lit(0.0))
+        p = _softmax(F.col("odds"), t)
+        own = F.get(p, F.array_position(F.array(*map(F.lit, model.domains)), F.col("domain")).cast("int") - 1)
         loss.append(F.avg(-F.log(F.greatest(own, F.lit(1e-12)))).alias(f"t{t:g}"))
-    found = read.agg(*loss).first()
-    return min(choices, key=lambda t: found[f"t{t:g}"])
+    found = rated.agg(*loss).first()
+    return min(choices, key=lambda t: found[f"t{t:g}"] or 0.0)
 
 
-def _posterior(words: Column, model: Classifier) -> Column:
-    """Posteriors in the order of ``model.domains``."""
+def _numbers(values: tuple[float, ...]) -> Column:
+    """An array literal, written as one text so that the plan stays short."""
+    return F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>")
 
-    def table(weights: tuple[float, ...]) -> Column:
-        values = ["0"] * SLOTS
-        for slot, weight in zip(model.slots, weights):
-            values[slot] = repr(weight)
-        return F.split(F.lit(",".join(values)), ",").cast("array<double>")  # folded into one literal
 
-    hits = F.filter(words, lambda w: w.isin(*model.words)) if model.words else F.array().cast("array<string>")
+def _log_odds(features: Column, model: Classifier) -> Column:
+    if not model.words:
+        return _numbers(model.priors)
+    # Features are letters and marks, so none holds a separator.
+    places = F.str_to_map(F.lit(";".join(f"{w}={i}" for i, w in enumerate(model.words))), F.lit(";"), F.lit("="))
+    hits = F.filter(features, lambda w: w.isin(*model.words))
 
-    def odds(slots: Column) -> Column:
-        return F.array(*[_summed(slots, prior, table(w)) for prior, w in zip(model.priors, model.weights)])
+    def odds(at: Column) -> Column:
+        return F.array(
+            *[
+                F.aggregate(at, F.lit(prior), lambda s, i: s + F.get(_numbers(weights), i))
+                for prior, weights in zip(model.priors, model.weights)
+            ]
+        )
+
+    return let(F.transform(hits, lambda w: F.try_element_at(places, w).cast("int")), odds)
 
+
+def _softmax(odds: Column, temperature: float) -> Column:
     def softmax(x: Column) -> Column:
-        scaled = F.transform(x, lambda v: F.exp((v - F.array_max(x)) / model.temperature))
+        scaled = F.transform(x, lambda v: F.exp((v - F.array_max(x)) / temperature))
         return let(scaled, lambda e: F.transform(e, lambda v: v / F.aggregate(e, F.lit(0.0), lambda s, y: s + y)))
 
-    return let(let(F.transform(hits, _slot), odds), softmax)
+    return let(odds, softmax)
 
 
-def _summed(slots: Column, prior: float, table: Column) -> Column:
-    return F.aggregate(slots, F.lit(prior), lambda s, i: s + F.get(table, i))
+def _posterior(features: Column, model: Classifier) -> Column:
+    """Posteriors in the order of ``model.domains``."""
+    return _softmax(_log_odds(features, model), model.temperature)
 
 
 def posteriors(docs: DataFrame, model: Classifier, into: str = "posterior") -> DataFrame:
@@ -236,7 +235,9 @@ def fit_mix(
         expected = read.select("posterior", (F.col("tokens") * rate).alias("t")).agg(
             *[F.sum(F.col("t") * p[i]).alias(f"s{i}") for i in range(k)]
         )
-        reached = list(expected.first())
+        before, reached = reached, list(expected.first())
+        if max(abs(a - b) for a, b in zip(before, reached)) <= 0.1 * tolerance * total:
+            break
     return Mix(tuple(steps), tuple(targets), tuple(reached))
 
 

@@ -57,7 +57,9 @@ def main() -> None:
     book = sample_book.book(spark, SF_DIR)
     sinks.overwrite(book.customers, f"{home}/customers")
     sinks.write_loans(book.loans, f"{home}/loans")
-    sinks.write_repayments(book.repayments, f"{home}/repayments")
+    issued = book.loans.select("loan_id", "issue_date")
+    sinks.write_repayments(book.repayments.join(issued, "loan_id", "left"), f"{home}/repayments")
+    sinks.write_repayments(book.repayments, f"{home}/repayments_undated")
     sinks.overwrite(sample_book.formula_scores(spark, SF_DIR), f"{home}/scores")
     macro = sample_book.macro(spark, SF_DIR)
     hypotheticals = sample_book.hypotheticals(spark, SF_DIR)
@@ -112,6 +114,9 @@ def main() -> None:
 
     queries = {
         "payments_seven_days": lambda: payments("1997-03-01", "1997-03-07"),
+        "payments_seven_days_undated": lambda: portfolio.loans_with_payments(
+            tables()[0], read_table(spark, f"{home}/repayments_undated", REPAYMENTS), "1997-03-01", "1997-03-07"
+        ),
         "payments_full_year": lambda: payments("1997-01-01", "1997-12-31"),
         "repayment_lookup": lambda: portfolio.point_lookup(tables()[2], "loan_id", 12345),
         "monthly_default_trend": lambda: portfolio.monthly_default_trend(tables()[0]),

@@ -92,11 +92,11 @@ def loans_with_payments(
 ) -> DataFrame:
     """Loans issued in ``start``..``end`` with their payments; the date range reaches the file scan.
 
-    Loans stored by origination year are also pruned to the years of the range.
+    Tables stored by origination year, loans and repayments alike, are also pruned to the years of the range.
     """
     first, last = F.lit(str(start)).cast("date"), F.lit(str(end)).cast("date")
-    if "origination_year" in loans.columns:
-        loans = loans.filter(F.col("origination_year").between(int(str(start)[:4]), int(str(end)[:4])))
+    years = F.col("origination_year").between(int(str(start)[:4]), int(str(end)[:4]))
+    loans, repayments = (t.filter(years) if "origination_year" in t.columns else t for t in (loans, repayments))
     return (
         loans.filter(F.col("issue_date").between(first, last))
         .select("loan_id", "loan_amount", "issue_date")

@@ -145,19 +145,29 @@ def audit_keys(child: DataFrame, parent: DataFrame, key: str, child_id: str | No
 
     Both sides are counted per key first, so a hot key is one row in the join.
     """
-    references = child.groupBy(F.col(key).alias("key")).agg(F.count("*").alias("n_rows"))
-    keys = parent.groupBy(F.col(key).alias("key")).agg(F.count("*").alias("n_rows"))
-
-    def check(name: str, rows: DataFrame) -> DataFrame:
-        return rows.select(F.lit(name).alias("check"), F.col("key").cast("string").alias("key"), "n_rows")
+    references = child.groupBy(F.col(key).alias("key")).agg(F.count("*").alias("n_references"))
+    keys = parent.groupBy(F.col(key).alias("key")).agg(F.count("*").alias("n_keys"))
+    known, uses, n_keys = F.col("key").isNotNull(), F.col("n_references"), F.col("n_keys")
+    checks = {
+        "missing parent": (known & n_keys.isNull(), uses),
+        "null reference": (~known & uses.isNotNull(), uses),
+        "null key": (~known & n_keys.isNotNull(), n_keys),
+        "duplicate key": (known & (n_keys > 1), n_keys),
+    }
+    rows = F.array_compact(
+        F.array(
+            *[
+                F.when(failed, F.struct(F.lit(name).alias("check"), F.col("key").cast("string").alias("key"), n.alias("n_rows")))
+                for name, (failed, n) in checks.items()
+            ]
+        )
+    )
+    found = references.join(keys, "key", "full_outer").select(F.inline(rows))
 
-    found = check("missing parent", references.filter("key is not null").join(keys, "key", "left_anti"))
-    found = found.unionByName(check("null reference", references.filter("key is null")))
-    found = found.unionByName(check("null key", keys.filter("key is null")))
-    found = found.unionByName(check("duplicate key", keys.filter("key is not null and n_rows > 1")))
     if child_id is not None:
         ids = child.groupBy(F.col(child_id).alias("key")).agg(F.count("*").alias("n_rows"))
-        found = found.unionByName(check("duplicate child", ids.filter("n_rows > 1")))
+        twice = ids.filter("n_rows > 1").select(F.lit("duplicate child").alias("check"), F.col("key").cast("string").alias("key"), "n_rows")
+        found = found.unionByName(twice)
     return found
 
 

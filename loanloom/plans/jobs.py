@@ -31,7 +31,7 @@ def ingest(spark: SparkSession, csv_path: str, warehouse: str, sample_size: int
     if sample_size is not None:
         picked = sample_n(numbered, sample_size, "loan_id").drop("loan_id")
         numbered = assign_ids(stage(picked, f"{warehouse}/staged_sample"))
-    customers, loans, repayments = normalize(numbered)
+    customers, loans, repayments = normalize(numbered, dated=True)
     overwrite(customers, f"{warehouse}/customers")
     write_loans(loans, f"{warehouse}/loans")
     write_repayments(repayments, f"{warehouse}/repayments")

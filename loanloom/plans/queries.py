@@ -426,12 +426,12 @@ def riskiest_regions(spark, d):
 
 @query
 def default_rate_by_grade(spark, d):
-    return portfolio.default_rate_by(_base(spark, d), "grade", digits=6)
+    return portfolio.default_rate_by(sample_book.loans(spark, d), "grade", digits=6)
 
 
 @query
 def purpose_default_rates(spark, d):
-    return portfolio.default_rate_by(_base(spark, d), "purpose", min_count=300, digits=6)
+    return portfolio.default_rate_by(sample_book.loans(spark, d), "purpose", min_count=300, digits=6)
 
 
 @query
@@ -464,7 +464,7 @@ def repayment_lookup(spark, d):
 @query
 def overview_kpis(spark, d):
     return rounded(
-        portfolio.overview_kpis(_base(spark, d), _scores(spark, d)), 6, "default_rate", "avg_risk_score"
+        portfolio.overview_kpis(sample_book.loans(spark, d), _scores(spark, d)), 6, "default_rate", "avg_risk_score"
     )
 
 

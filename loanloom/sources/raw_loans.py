@@ -91,8 +91,11 @@ def assign_ids(staged: DataFrame, id_col: str = "loan_id") -> DataFrame:
     )
 
 
-def normalize(raw: DataFrame, id_col: str = "loan_id") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Split raw records with an id into the three base tables; one customer per loan."""
+def normalize(raw: DataFrame, id_col: str = "loan_id", dated: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Split raw records with an id into the three base tables; one customer per loan.
+
+    ``dated`` repayments carry the ``issue_date`` of their loan, by which they can be stored.
+    """
     loan_id = F.col(id_col)
     customers = raw.select(
         loan_id.alias("customer_id"),
@@ -114,10 +117,17 @@ def normalize(raw: DataFrame, id_col: str = "loan_id") -> tuple[DataFrame, DataF
         month_year_date(F.col("issue_d")).alias("issue_date"),
         F.coalesce(F.col("loan_status").isin(*DEFAULT_STATUSES), F.lit(False)).cast("int").alias("default_flag"),
     )
-    repayments = raw.select(
+    if dated:
+        repayments = raw.select(month_year_date(F.col("issue_d")).alias("issue_date"), *_repayment_columns(loan_id))
+    else:
+        repayments = enforce_schema(raw.select(*_repayment_columns(loan_id)), REPAYMENTS)
+    return enforce_schema(customers, CUSTOMERS), enforce_schema(loans, LOANS), repayments
+
+
+def _repayment_columns(loan_id: Column) -> list[Column]:
+    return [
         loan_id.alias("loan_id"),
         month_year_date(F.col("last_pymnt_d")).alias("payment_date"),
         F.col("last_pymnt_amnt").alias("amount_paid"),
         (F.coalesce(F.col("delinq_2yrs"), F.lit(0.0)) > 0).cast("int").alias("days_late"),
-    )
-    return enforce_schema(customers, CUSTOMERS), enforce_schema(loans, LOANS), enforce_schema(repayments, REPAYMENTS)
+    ]

@@ -72,9 +72,20 @@ def write_loans(loans: DataFrame, path: str) -> None:
 
 
 def write_repayments(repayments: DataFrame, path: str) -> None:
-    """Sorted by loan inside files, so a point lookup reads the row groups of one loan."""
-    ordered = enforce_schema(repayments, REPAYMENTS).repartitionByRange("loan_id").sortWithinPartitions("loan_id")
-    ordered.write.mode("overwrite").parquet(path)
+    """Sorted by loan inside files, so a point lookup reads the row groups of one loan.
+
+    Rows that carry their loan's ``issue_date`` are partitioned by origination year as loans are, so a range of
+    issue dates prunes both tables; the date itself is not stored.
+    """
+    if "issue_date" not in repayments.columns:
+        typed = enforce_schema(repayments, REPAYMENTS)
+        typed.repartitionByRange("loan_id").sortWithinPartitions("loan_id").write.mode("overwrite").parquet(path)
+        return
+    year = F.year("issue_date").alias("origination_year")
+    dated = repayments.select("*", year)
+    typed = dated.select(*[F.col(f.name).cast(f.dataType) for f in REPAYMENTS.fields], "origination_year")
+    ordered = typed.repartitionByRange("origination_year", "loan_id").sortWithinPartitions("origination_year", "loan_id")
+    ordered.write.mode("overwrite").partitionBy("origination_year").parquet(path)
 
 
 def save_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> DataFrame:

@@ -122,8 +122,8 @@ def test_train_score_stress_end_to_end(spark, warehouse):
 def test_the_model_table_is_split_once_and_by_outcome(spark, warehouse):
     base = spark.read.parquet(f"{warehouse}/base_features")
     peers = spark.read.parquet(f"{warehouse}/peer_features")
-    for r in peers.groupBy("default_flag").agg(F.count("*").alias("n"), F.count_if("split = 'train'").alias("train")).collect():
-        assert r.train == round(0.6 * r.n)
+    for r in peers.groupBy("default_flag").agg(F.count("*").alias("n"), F.expr("count_if(split = 'train')").alias("train")).collect():
+        assert abs(r.train - 0.6 * r.n) <= 0.5
     assert peers.count() == base.count()
 
 

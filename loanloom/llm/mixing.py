@@ -8,6 +8,7 @@ one number for each domain and step, and a model of bounded size.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from math import log
 from typing import NamedTuple
 
@@ -36,32 +37,51 @@ class Mix(NamedTuple):
     reached: tuple[float, ...]
 
 
-def vocabulary_of(text: Column) -> Column:
-    """The distinct words of a text in lower case, letters only."""
-    letters = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}]+", " ")
-    return F.array_distinct(words_of(letters))
+def _letter_words(text: Column) -> Column:
+    """The words of a text in lower case, letters only; empty strings may stand at its ends."""
+    return F.split(F.lower(text), r"[^\p{L}]+")
 
 
-def features_of(text: Column) -> Column:
-    """The vocabulary and marks of the text's surface, which start with a sign that no word holds."""
-    text = F.coalesce(text, F.lit(""))
+def _marks(text: Column, words: Column) -> Column:
+    """Marks of the text's surface, which start with a sign that no word holds."""
     size = F.greatest(F.length(text), F.lit(1))
 
     def share(pattern: str) -> Column:
         return F.length(F.regexp_replace(text, pattern, "")) / size
 
-    def marks(words: Column) -> Column:
-        found = {
-            "§empty": F.size(words) == 0,
-            "§short": F.size(words) < 20,
-            "§same": F.size(F.array_distinct(words)) < 0.3 * F.size(words),
-            "§upper": share(r"[^\p{Lu}]+") > 0.4,
-            "§signs": share(r"[\p{L}\p{N}\s.,]+") > 0.05,
-            "§digits": share(r"[^0-9]+") > 0.2,
-        }
-        return F.array_compact(F.array(*[F.when(test, name) for name, test in found.items()]))
+    found = {
+        "§empty": F.size(words) == 0,
+        "§short": F.size(words) < 20,
+        "§same": F.size(F.array_distinct(words)) < 0.3 * F.size(words),
+        "§upper": share(r"[^\p{Lu}]+") > 0.4,
+        "§signs": share(r"[\p{L}\p{N}\s.,]+") > 0.05,
+        "§digits": share(r"[^0-9]+") > 0.2,
+    }
+    return F.array_compact(F.array(*[F.when(test, name) for name, test in found.items()]))
+
+
+def features_of(text: Column) -> Column:
+    """The distinct words of a text and its marks; a null text is empty."""
+    text = F.coalesce(text, F.lit(""))
+    words = F.array_remove(F.array_distinct(_letter_words(text)), "")
+    return F.concat(words, let(words_of(text), lambda w: _marks(text, w)))
+
+
+def _read(text: Column, model: Classifier) -> Column:
+    """``tokens`` and ``posterior`` of a text, its words looked up before they are made distinct."""
+    text = F.coalesce(text, F.lit(""))
+    if model.words:
+        known = F.array_distinct(F.filter(_letter_words(text), lambda w: w.isin(*model.words)))
+    else:
+        known = F.array().cast("array<string>")
+
+    def of(words: Column) -> Column:
+        return F.struct(
+            F.size(words).cast("long").alias("tokens"),
+            _posterior(F.concat(known, _marks(text, words)), model).alias("posterior"),
+        )
 
-    return F.concat(vocabulary_of(text), let(words_of(text), marks))
+    return let(words_of(text), of)
 
 
 def fit_classifier(
@@ -175,11 +195,6 @@ def _posterior(features: Column, model: Classifier) -> Column:
     return _softmax(_log_odds(features, model), model.temperature)
 
 
-def posteriors(docs: DataFrame, model: Classifier, into: str = "posterior") -> DataFrame:
-    """``docs`` with an array of posteriors; a text without known words has what that says."""
-    return docs.withColumn(into, _posterior(features_of(F.col("text")), model))
-
-
 def _rate(posterior: Column, steps: tuple[tuple[float, ...], ...], max_rate: float) -> Column:
     """A document's rate after the given steps: each moves it against the gradient and projects it to [0, max]."""
     if not steps:
@@ -242,56 +257,64 @@ def fit_mix(
 
 
 def mixed_rates(
-    docs: DataFrame, labels: DataFrame, weights: dict[str, float], max_rate: float = 4.0, max_labelled: int = 20_000
+    docs: DataFrame,
+    labels: DataFrame,
+    weights: dict[str, float],
+    max_rate: float = 4.0,
+    max_labelled: int = 20_000,
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
-    """``docs`` with a struct ``mix``: ``tokens`` (words), ``domain`` (the likeliest), ``posterior`` (a map),
-    ``rate`` and ``copies``.
+    """The columns ``keep`` of ``docs`` (all by default) with a struct ``mix``: ``tokens`` (words), ``domain`` (the
+    likeliest), ``posterior`` (a map), ``rate`` and ``copies``.
 
     ``copies`` is the rate, rounded up with the probability of its fraction by a hash of the id, and at least one
     for documents whose likeliest domain has a positive weight, so that mixing drops none of those. Null and
-    empty texts have no tokens and the prior as posterior; null labels and labels of unknown documents count
-    for nothing, of repeated labels one counts; without any label every rate is 1. Repeated rows get equal rates;
-    an empty table gives an empty result. No shuffle of texts beyond the labelled sample.
+    empty texts have no tokens and whatever posterior an empty text has; null labels and labels of unknown
+    documents count for nothing, of repeated labels one counts; without any label every rate is 1. Repeated rows
+    get equal rates; an empty table gives an empty result. A column ``mix`` of ``docs`` is replaced.
+
+    Texts are judged in one pass, whose result is stored with the columns kept; the fit reads posteriors and tokens
+    alone. Only the labelled sample is shuffled with its texts.
     """
+    kept = [c for c in (docs.columns if keep is None else keep) if c != "mix"]
     model = fit_classifier(docs, labels, max_labelled)
-    words = F.size(words_of(F.col("text"))).cast("long")
     if not model.domains:
         none = F.create_map().cast("map<string,double>")
-        return docs.withColumn(
-            "mix",
-            F.struct(
-                words.alias("tokens"), F.lit(None).cast("string").alias("domain"), none.alias("posterior"),
-                F.lit(1.0).alias("rate"), F.lit(1).alias("copies"),
-            ),
-        )
-    read = materialise(posteriors(docs, model).select("posterior", words.alias("tokens")))
-    fitted = fit_mix(read, model.domains, weights, max_rate=max_rate)
-    wanted = [weights.get(d, 0.0) > 0 for d in model.domains]
-    names = F.array(*map(F.lit, model.domains))
-    chance = F.pmod(F.xxhash64("doc_id", F.lit("copies")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-
-    def outcome(p: Column) -> Column:
-        best = F.array_position(p, F.array_max(p)).cast("int")
-        keep = F.when(F.get(F.array(*map(F.lit, wanted)), best - 1), 1).otherwise(0)
-        return let(
-            _rate(p, fitted.steps, max_rate),
-            lambda rate: F.struct(
-                words.alias("tokens"),
-                F.get(names, best - 1).alias("domain"),
-                F.map_from_arrays(names, p).alias("posterior"),
-                rate.alias("rate"),
-                F.greatest(keep, F.floor(rate + chance).cast("int")).alias("copies"),
-            ),
+        mix = F.struct(
+            F.size(words_of(F.col("text"))).cast("long").alias("tokens"),
+            F.lit(None).cast("string").alias("domain"),
+            none.alias("posterior"),
+            F.lit(1.0).alias("rate"),
+            F.lit(1).alias("copies"),
         )
-
-    return docs.withColumn("mix", let(_posterior(features_of(F.col("text")), model), outcome))
+        return docs.select(*[F.col(f"`{c}`") for c in kept], mix.alias("mix"))
+    row = F.struct("doc_id", *[F.col(f"`{c}`") for c in kept if c != "doc_id"]).alias("row")
+    judged = docs.select(row, _read(F.col("text"), model).alias("read"))
+    read = materialise(judged.select("row", "read.tokens", "read.posterior"))
+    fitted = fit_mix(read.select("posterior", "tokens"), model.domains, weights, max_rate=max_rate)
+    wanted = F.array(*[F.lit(weights.get(d, 0.0) > 0) for d in model.domains])
+    names, p = F.array(*map(F.lit, model.domains)), F.col("posterior")
+    chance = F.pmod(F.xxhash64("row.doc_id", F.lit("copies")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    best = F.array_position(p, F.array_max(p)).cast("int") - 1
+    keep_one = F.when(F.get(wanted, best), 1).otherwise(0)
+    mix = let(
+        _rate(p, fitted.steps, max_rate),
+        lambda rate: F.struct(
+            F.col("tokens"),
+            F.get(names, best).alias("domain"),
+            F.map_from_arrays(names, p).alias("posterior"),
+            rate.alias("rate"),
+            F.greatest(keep_one, F.floor(rate + chance).cast("int")).alias("copies"),
+        ),
+    )
+    return read.select(*[F.col("row")[c].alias(c) for c in kept], mix.alias("mix"))
 
 
 def repeated(docs: DataFrame, labels: DataFrame, weights: dict[str, float], **how: float) -> DataFrame:
     """The rows of ``docs`` as often as their ``copies`` say, with their own columns."""
-    plain = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", "text")
-    mixed = mixed_rates(plain, labels, weights, **how)
-    return mixed.select("row", F.explode(F.array_repeat(F.lit(0), F.col("mix")["copies"]))).select("row.*")
+    plain = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("source_row"))
+    mixed = mixed_rates(plain, labels, weights, keep=["doc_id", "source_row"], **how)
+    return mixed.select("source_row", F.explode(F.array_repeat(F.lit(0), F.col("mix")["copies"]))).select("source_row.*")
 
 
 def label_domains(labels: DataFrame) -> DataFrame:

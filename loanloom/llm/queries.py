@@ -30,7 +30,7 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = mixing.label_domains(table(spark, sf_dir, "labels"))
-    mixed = mixing.mixed_rates(table(spark, sf_dir, "documents").select("doc_id", "text"), labels, MIX)
+    mixed = mixing.mixed_rates(table(spark, sf_dir, "documents"), labels, MIX, keep=["doc_id"])
     m, p = F.col("mix"), F.col("mix")["posterior"]
     return mixed.select(
         "doc_id", m["tokens"].alias("n_tokens"), m["domain"].alias("domain"),

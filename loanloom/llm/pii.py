@@ -25,6 +25,8 @@ _DIGITS = {
     "zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4",
     "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9",
 }
+# Endings by which "x at y dot z" without brackets is told from prose.
+_ENDINGS = "com|org|net|edu|gov|info|biz|io|dev|app|co|eu|uk|us|ca|au|de|fr|es|it|nl|ch|at|be|se|pl|pt|br|mx|jp|cn|in|ru"
 # Other signs for at and full stop, and characters without width.
 _AT_SIGNS, _STOPS, _NO_WIDTH = "﹫＠", "․﹒．。｡", "\u00ad\u200b\u200c\u200d\u2060\ufeff"
 
@@ -90,7 +92,7 @@ _RULES = re.compile(
         |\b(?:{_DIGIT})(?=[ \t]dot[ \t])|(?<=[ \t]dot[ \t])(?:{_DIGIT})\b))
     |(?P<at>[ \t]{{0,3}}[\[({{<][ \t]{{0,3}}(?i:at)[ \t]{{0,3}}[\])}}>][ \t]{{0,3}})
     |(?P<dot>[ \t]{{0,3}}[\[({{<][ \t]{{0,3}}(?i:dot|\.)[ \t]{{0,3}}[\])}}>][ \t]{{0,3}})
-    |(?P<address>[ \t](?i:at)[ \t](?=[A-Za-z0-9-]{{1,63}}(?:[ \t](?i:dot)[ \t][A-Za-z0-9-]{{1,63}})+\b))
+    |(?P<address>[ \t](?i:at)[ \t](?=[A-Za-z0-9-]{{1,63}}(?:[ \t](?i:dot)[ \t][A-Za-z0-9-]{{1,63}})*[ \t](?i:dot)[ \t](?i:{_ENDINGS})\b))
     |(?P<plain>(?<=[A-Za-z0-9])[ \t](?i:dot)[ \t](?=[A-Za-z0-9]))
     |(?P<plus>\b(?i:plus)[ \t](?=(?i:{_DIGIT}|[0-9])))
     |(?P<width>[{_NO_WIDTH}]+)
@@ -116,22 +118,26 @@ def _single(char: str) -> str:
     return char.translate(_ALIKE)
 
 
+#: How a segment of a normalised text came about.
+COPIED, CHARACTERS, WORDS = 0, 1, 2
+
+
 class Normalised(NamedTuple):
     """A normalised text and, segment by segment, where it comes from."""
 
     text: str
     starts: list[int]
-    sources: list[tuple[int, int, bool]]
+    sources: list[tuple[int, int, int]]
 
-    def source(self, start: int, end: int) -> tuple[int, int, bool]:
-        """The source span of a normalised one, and whether it holds rewritten characters. A rewritten segment
-        counts whole; copied characters map one to one."""
+    def source(self, start: int, end: int) -> tuple[int, int, int]:
+        """The source span of a normalised one, and the most that was rewritten in it: nothing, characters or
+        words. A rewritten segment counts whole; copied characters map one to one."""
         first, last = bisect_right(self.starts, start) - 1, bisect_right(self.starts, end - 1) - 1
         a, _, changed = self.sources[first]
         begin = a if changed else a + start - self.starts[first]
         a, b, changed = self.sources[last]
         finish = b if changed else a + end - self.starts[last]
-        return begin, finish, any(s[2] for s in self.sources[first : last + 1])
+        return begin, finish, max(s[2] for s in self.sources[first : last + 1])
 
 
 def normalise(text: str) -> Normalised | None:
@@ -140,7 +146,7 @@ def normalise(text: str) -> Normalised | None:
         return None
     parts, starts, sources, at, length, changed = [], [], [], 0, 0, False
 
-    def put(piece: str, a: int, b: int, rewritten: bool) -> None:
+    def put(piece: str, a: int, b: int, rewritten: int) -> None:
         nonlocal length
         if piece:
             parts.append(piece)
@@ -164,12 +170,12 @@ def normalise(text: str) -> Normalised | None:
             new = _single(piece)
             if new == piece:
                 continue
-        put(text[at : m.start()], at, m.start(), False)
-        put(new, m.start(), m.end(), True)
+        put(text[at : m.start()], at, m.start(), COPIED)
+        put(new, m.start(), m.end(), CHARACTERS if kind in ("width", "sign", "alike") else WORDS)
         at, changed = m.end(), True
     if not changed:
         return None
-    put(text[at:], at, len(text), False)
+    put(text[at:], at, len(text), COPIED)
     return Normalised("".join(parts), starts, sources)
 
 
@@ -182,9 +188,10 @@ def _trimmed(text: str, start: int, end: int) -> tuple[int, int]:
 
 
 def find(text: str) -> tuple[list[Span], list[Span]]:
-    """The base spans and those that only the normalised text shows, which overlap no base span of their kind.
+    """The base spans and those that only the normalised text shows.
 
-    A disguised span starts and ends at characters of the source; where characters without width were dropped
+    These overlap no base span of their kind, but for spans without rewritten words, which may hold one (a mail
+    address whose first letters only are disguised). A disguised span starts and ends at characters of the source; where characters without width were dropped
     inside of it, it covers them.
     """
     base = detect(text)
@@ -196,8 +203,13 @@ def find(text: str) -> tuple[list[Span], list[Span]]:
         a, b, rewritten = plain.source(start, end)
         dropped = b - a != end - start
         a, b = _trimmed(text, a, b)
-        clear = all(s.kind != kind or s.end <= a or s.start >= b for s in base)
-        if (rewritten or dropped) and clear:
+        whole = rewritten != WORDS
+
+        def clear(s: Span) -> bool:
+            inside = whole and a <= s.start and s.end <= b and b - a > s.end - s.start
+            return s.kind != kind or s.end <= a or s.start >= b or inside
+
+        if (rewritten or dropped) and all(map(clear, base)):
             added.append(Span(kind, a, b))
     return base, added
 

@@ -131,7 +131,7 @@ def test_disguises_are_mapped_back(text, kind, part):
     assert part in {text[s.start : s.end] for s in spans}
 
 
-@pytest.mark.parametrize("text", ["we met at home dot we left", "one of two", "plus one", "Привет мир", "at 10 dot 5", prose(200, 2)])
+@pytest.mark.parametrize("text", ["we met at home dot we left", "one of two", "plus one", "Привет мир", "at 10 dot 5", "write to a@b.com dot well", prose(200, 2)])
 def test_plain_prose_adds_nothing(text):
     assert pii.find(text)[1] == []
 

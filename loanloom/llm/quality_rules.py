@@ -146,25 +146,28 @@ def passes(m: Column, rules: tuple[Rule, ...]) -> Column:
     return reduce(lambda a, b: a & b, map(one, rules), F.lit(True))
 
 
+def verdict(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
+    """The counts of a text with ``base_failed`` and ``kept``, as one expression that counts once wherever it ends up
+    in a plan, in a filter too."""
+    rest = tuple(r for r in rules if r not in BASE_RULES)
+
+    def judged(m: Column) -> Column:
+        # In whole numbers, so that a ratio of exactly a fifth passes.
+        failed = (m["n_words"] < 10) | (100 * m["n_repeat_words"] > 20 * m["n_words"])
+        return m.withField("base_failed", failed).withField("kept", ~failed & passes(m, rest))
+
+    return let(measures(text), judged)
+
+
 def assess(docs: DataFrame, rules: tuple[Rule, ...] = RULES, into: str = "quality") -> DataFrame:
     """``docs`` with a struct column ``into``: the counts, ``base_failed`` and ``kept``.
 
     A projection: no shuffle and no user function. A null or empty text has no words, fails the length rule and so
     is not kept; repeated rows are judged alike. A column of the name ``into`` is replaced.
     """
-    measured = docs.withColumn(into, measures(F.col("text")))
-    m = F.col(into)
-    # In whole numbers, so that a ratio of exactly a fifth passes.
-    failed = (m["n_words"] < 10) | (100 * m["n_repeat_words"] > 20 * m["n_words"])
-    rest = tuple(r for r in rules if r not in BASE_RULES)
-    return measured.withColumn(
-        into, m.withField("base_failed", failed).withField("kept", ~failed & passes(m, rest))
-    )
+    return docs.withColumn(into, verdict(F.col("text"), rules))
 
 
 def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows of ``docs`` that pass, with their own columns."""
-    name = "_quality"
-    while name in docs.columns:
-        name = f"_{name}"
-    return assess(docs, rules, name).filter(F.col(name)["kept"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.filter(verdict(F.col("text"), rules)["kept"])

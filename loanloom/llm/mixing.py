@@ -8,7 +8,9 @@ one number for each domain and step, and a model of bounded size.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
+from itertools import accumulate
 from math import log
 from typing import NamedTuple
 
@@ -25,6 +27,7 @@ class Classifier(NamedTuple):
     domains: tuple[str, ...]
     priors: tuple[float, ...]
     words: tuple[str, ...]
+    hashes: tuple[int, ...]
     weights: tuple[tuple[float, ...], ...]
     temperature: float
 
@@ -85,15 +88,15 @@ def _read(text: Column, model: Classifier) -> Column:
 
 
 def fit_classifier(
-    docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000, max_words: int = 256, min_docs: int = 5, min_score: float = 20.0, min_ratio: float = 3.0
+    docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000, min_docs: int = 5, min_score: float = 20.0, min_ratio: float = 3.0
 ) -> Classifier:
-    """Naive Bayes over which of the ``max_words`` features that tell the domains apart best a text has.
+    """Naive Bayes over which of the features that tell the domains apart a text has.
 
     ``labels`` has ``doc_id, domain``. Of more than ``max_labelled`` labelled rows a share of about that many is
-    used, drawn by a hash of the id. Features (words and marks of the surface) are ranked by the G statistic of
-    their counts, which has to be ``min_score`` at least, among those of ``min_docs`` documents or more that are ``min_ratio``
-    times as frequent in one domain as in the others (frequent words that only tell long texts from short ones
-    are not). The temperature that divides the log odds is the best of a few on the same
+    used, drawn by a hash of the id. Features are all words and marks of the surface that ``min_docs`` documents or
+    more have, whose counts have a G statistic of ``min_score`` at least, and that are ``min_ratio`` times as
+    frequent in one domain as in the others (frequent words that only tell long texts from short ones are not);
+    their number is bounded by the labelled sample alone. The temperature that divides the log odds is the best of a few on the same
     rows, so that posteriors of long texts don't all come out as 0 or 1.
     """
     known = labels.filter("doc_id IS NOT NULL AND domain IS NOT NULL").select("doc_id", "domain").dropDuplicates(["doc_id"])
@@ -103,7 +106,7 @@ def fit_classifier(
     sizes = {r["domain"]: r["n"] for r in read.groupBy("domain").agg(F.count("*").alias("n")).collect()}
     domains = tuple(sorted(sizes))
     if not domains:
-        return Classifier((), (), (), (), 1.0)
+        return Classifier((), (), (), (), (), 1.0)
     total = sum(sizes.values())
     seen = {d: F.count(F.when(F.col("domain") == d, 1)) for d in domains}
     counts = read.select("domain", F.explode("words").alias("word")).groupBy("word").agg(
@@ -130,10 +133,9 @@ def fit_classifier(
     )
     rows = (
         counts.filter(F.col("n") >= min_docs)
-        .select("word", *[f"n{k}" for k in range(len(domains))], score.alias("score"), ratio.alias("ratio"))
+        .select("word", *[f"n{k}" for k in range(len(domains))], score.alias("score"), ratio.alias("ratio"), F.xxhash64("word").alias("hash"))
         .filter((F.col("score") >= min_score) & (F.col("ratio") >= min_ratio))
         .orderBy(F.desc("score"), "word")
-        .limit(max_words)
         .collect()
     )
     odds = [[(row[f"n{k}"] + 0.5) / (sizes[d] + 1.0) for row in rows] for k, d in enumerate(domains)]
@@ -141,6 +143,7 @@ def fit_classifier(
         domains,
         tuple(log(sizes[d] / total) + sum(log(1 - p) for p in odds[k]) for k, d in enumerate(domains)),
         tuple(r["word"] for r in rows),
+        tuple(r["hash"] for r in rows),
         tuple(tuple(log(p / (1 - p)) for p in own) for own in odds),
         1.0,
     )
@@ -167,19 +170,30 @@ def _numbers(values: tuple[float, ...]) -> Column:
 def _log_odds(features: Column, model: Classifier) -> Column:
     if not model.words:
         return _numbers(model.priors)
-    # Features are letters and marks, so none holds a separator.
-    places = F.str_to_map(F.lit(";".join(f"{w}={i}" for i, w in enumerate(model.words))), F.lit(";"), F.lit("="))
-    hits = F.filter(features, lambda w: w.isin(*model.words))
+    # The words lie in order of their hash slots, so that a look-up compares with the few of one slot. Words are
+    # letters and marks, so none holds a separator.
+    slots = 1 << (2 * len(model.words)).bit_length()
+    order = sorted(range(len(model.words)), key=lambda i: model.hashes[i] % slots)
+    filled = Counter(h % slots for h in model.hashes)
+    starts = F.split(F.lit(",".join(map(str, accumulate((filled[s] for s in range(slots)), initial=0)))), ",").cast("array<int>")
+    words = F.split(F.lit(",".join(model.words[i] for i in order)), ",")
+
+    def place(word: Column) -> Column:
+        def of(slot: Column) -> Column:
+            here = F.sequence(F.get(starts, slot), F.get(starts, slot + 1) - 1)
+            return F.get(F.filter(here, lambda i: F.get(words, i) == word), F.lit(0))
+
+        return let(F.pmod(F.xxhash64(word), F.lit(slots)).cast("int"), of)
 
     def odds(at: Column) -> Column:
         return F.array(
             *[
-                F.aggregate(at, F.lit(prior), lambda s, i: s + F.get(_numbers(weights), i))
+                F.aggregate(at, F.lit(prior), lambda s, i: s + F.get(_numbers(tuple(weights[j] for j in order)), i))
                 for prior, weights in zip(model.priors, model.weights)
             ]
         )
 
-    return let(F.transform(hits, lambda w: F.try_element_at(places, w).cast("int")), odds)
+    return let(F.array_compact(F.transform(features, place)), odds)
 
 
 def _softmax(odds: Column, temperature: float) -> Column:

@@ -56,6 +56,30 @@ def test_rates_reach_given_totals(spark):
     assert mixing.fit_mix(read.limit(0), ("a", "b"), {"a": 1.0}).steps == ()
 
 
+def test_every_word_that_passes_the_thresholds_counts(spark):
+    draw = random.Random(3)
+    own = {d: ["".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(9)) for _ in range(200)] for d in ("high", "toxic")}
+    docs, labels = [], []
+    for i in range(600):
+        d = ("high", "toxic")[i % 2]
+        docs.append((i, " ".join(draw.sample(own[d], 30) + [f"w{draw.randint(0, 9)}"] * 30), "en", "a", 1))
+        labels.append((i, d))
+    docs += [(1000 + k, w, "en", "a", 1) for k, w in enumerate(own["toxic"])]
+    table, known = table_of(spark, docs), spark.createDataFrame(labels, "doc_id long, domain string")
+    model = mixing.fit_classifier(table, known)
+    assert {*own["high"], *own["toxic"]} <= {*model.words}
+    mixed = mixing.mixed_rates(table, known, {"high": 1.0}).filter("doc_id >= 1000")
+    plain = mixing.mixed_rates(table_of(spark, [*docs, (2000, "unknown", "en", "a", 1)]), known, {"high": 1.0}).filter("doc_id = 2000")
+    least = plain.first()["mix"]["posterior"]["toxic"]
+    assert all(r["mix"]["posterior"]["toxic"] > least for r in mixed.collect())
+    # The look-up equals the sum over the words that a text has.
+    text = " ".join(own["toxic"][:3] + own["high"][:2])
+    row = spark.createDataFrame([(text.split(),)], "words array<string>")
+    got = row.select(mixing._log_odds(F.col("words"), model)).first()[0]
+    at = [model.words.index(w) for w in text.split()]
+    assert got == pytest.approx([p + sum(w[i] for i in at) for p, w in zip(model.priors, model.weights)])
+
+
 def test_mixing_of_awkward_rows(spark):
     docs = clashing(table_of(spark, awkward_rows()))
     none = mixing.mixed_rates(docs, spark.createDataFrame([], "doc_id long, domain string"), MIX)

@@ -3,23 +3,27 @@
 A classifier fitted on labelled rows gives every document a posterior over domains. Nonnegative document rates are
 then fitted by projected gradient on the least squares between the expected tokens of each domain,
 ``sum_d rate_d * tokens_d * posterior_dk``, and its target. Sums over documents are aggregations; the driver sees
-one number for each domain and step, and a model of bounded size.
+a few numbers for each pair of domains and pass, and a model of bounded size.
 """
 
 from __future__ import annotations
 
+import logging
 from collections import Counter
 from collections.abc import Sequence
 from itertools import accumulate
 from math import log
 from typing import NamedTuple
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.shared import materialise
 from .common import let, words_of
 
+log_of_fit = logging.getLogger(__name__)
+
 
 class Classifier(NamedTuple):
     """For each domain the log odds of a text without any known feature, and what each known one adds."""
@@ -209,15 +213,15 @@ def _posterior(features: Column, model: Classifier) -> Column:
     return _softmax(_log_odds(features, model), model.temperature)
 
 
-def _rate(posterior: Column, steps: tuple[tuple[float, ...], ...], max_rate: float) -> Column:
-    """A document's rate after the given steps: each moves it against the gradient and projects it to [0, max]."""
+def _rate(posterior: Column, steps: tuple[tuple[float, ...], ...]) -> Column:
+    """A document's rate after the given steps: each moves it against the gradient and projects it to 0 or more."""
     if not steps:
         return F.lit(1.0)
     moves = F.split(F.lit(";".join(",".join(map(repr, s)) for s in steps)), ";")
 
     def step(rate: Column, move: Column) -> Column:
         pull = F.aggregate(F.zip_with(move, posterior, lambda g, p: g * p), F.lit(0.0), lambda s, x: s + x)
-        return F.least(F.lit(max_rate), F.greatest(F.lit(0.0), rate - pull))
+        return F.greatest(F.lit(0.0), rate - pull)
 
     return F.aggregate(F.transform(moves, lambda m: F.split(m, ",").cast("array<double>")), F.lit(1.0), step)
 
@@ -227,16 +231,18 @@ def fit_mix(
     domains: tuple[str, ...],
     weights: dict[str, float],
     total: float | None = None,
-    max_rate: float = 4.0,
-    max_steps: int = 40,
     tolerance: float = 1e-4,
+    length: float = 1e4,
 ) -> Mix:
     """Rates for documents ``posterior, tokens`` whose expected domain tokens meet ``weights`` times ``total``.
 
     The default total is the least at which no domain of positive weight has to shrink. In the metric of token
     counts the gradient of a document depends on its posterior alone; a domain's squared error is weighted by the
-    inverse of its own curvature, which makes domains of any size converge alike. Ends when all domains are
-    within ``tolerance`` of the total, or at the box 0 <= rate <= ``max_rate`` after ``max_steps``.
+    inverse of its own curvature, which makes domains of any size converge alike. A step is a projected gradient step
+    of ``length`` with the gradient taken at its end, so that it may be long: Newton's method finds the multipliers
+    of the posteriors that it moves by. Ends when all domains are within ``tolerance`` of the total, or when the
+    projected gradient is below ``tolerance``, which is the least squares of targets that no nonnegative rates meet.
+    What is reached is logged, as a warning if a target is missed.
     """
     k = len(domains)
     p = [F.col("posterior")[i] for i in range(k)]
@@ -254,27 +260,59 @@ def fit_mix(
     targets = [w * total for w in share]
     curve = [[moments[f"m{i}_{j}"] / tokens for j in range(k)] for i in range(k)]
     weight = [1.0 / (curve[i][i] + 1e-3) for i in range(k)]
-    # Row sums bound the largest eigenvalue of weight^1/2 * curve * weight^1/2.
-    bound = max(sum((weight[i] * weight[j]) ** 0.5 * curve[i][j] for j in range(k)) for i in range(k))
-    steps: list[tuple[float, ...]] = []
-    reached = native
-    while len(steps) < max_steps and max(abs(r - t) for r, t in zip(reached, targets)) > tolerance * total:
-        steps.append(tuple(weight[i] * (reached[i] - targets[i]) / tokens / bound for i in range(k)))
-        rate = _rate(F.col("posterior"), tuple(steps), max_rate)
-        expected = read.select("posterior", (F.col("tokens") * rate).alias("t")).agg(
-            *[F.sum(F.col("t") * p[i]).alias(f"s{i}") for i in range(k)]
-        )
-        before, reached = reached, list(expected.first())
-        if max(abs(a - b) for a, b in zip(before, reached)) <= 0.1 * tolerance * total:
+    target, scale = np.array(targets), np.array(weight)
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+    posterior, rate, move = F.col("posterior"), F.col("rate"), F.col("move")
+
+    def at(steps: tuple[tuple[float, ...], ...], nu: np.ndarray) -> tuple[float, np.ndarray, np.ndarray, np.ndarray, float]:
+        """After a step by ``nu``: what Newton's method makes least, its gradient and curvature, the domain tokens
+        and the projected gradient."""
+        pull = F.aggregate(F.zip_with(_numbers(tuple(map(float, nu))), posterior, lambda g, x: g * x), F.lit(0.0), lambda a, x: a + x)
+        moved = read.select("posterior", "tokens", _rate(posterior, (*steps, tuple(map(float, nu)))).alias("rate"), pull.alias("move"))
+        t, moves = F.col("tokens"), (rate > 0) | (move < 0)
+        sums = moved.agg(
+            F.sum(t * rate * rate), F.sum(F.when(moves, t * move * move)),
+            *[F.sum(t * rate * p[i]) for i in range(k)], *[F.sum(F.when(rate > 0, t * p[i] * p[j])) for i, j in pairs],
+        ).first()
+        square, gradient, *rest = [float(x or 0.0) for x in sums]
+        reached, curvature = np.array(rest[:k]), np.diag(1 / scale / length)
+        for (i, j), x in zip(pairs, rest[k:]):
+            curvature[i, j] += x / tokens
+            curvature[j, i] = curvature[i, j]
+        value = (nu**2 / scale).sum() / (2 * length) + nu @ target / tokens + square / (2 * tokens)
+        return value, nu / scale / length + (target - reached) / tokens, curvature, reached, (gradient / tokens) ** 0.5 / length
+
+    steps: tuple[tuple[float, ...], ...] = ()
+    reached, optimal, before = np.array(native), False, float("inf")
+    while not optimal and np.abs(reached - target).max() > tolerance * total:
+        nu = np.zeros(k)
+        value, slope, curvature, reached, pulled = at(steps, nu)
+        while (slope**2 * scale).sum() ** 0.5 > tolerance / 100:
+            newton, part = -np.linalg.solve(curvature, slope), 1.0
+            found = at(steps, nu + newton)
+            while found[0] > value + 1e-4 * part * (slope @ newton) + 1e-12 * abs(value) and part > 1e-6:
+                part /= 2
+                found = at(steps, nu + part * newton)
+            if part <= 1e-6:
+                break
+            nu = nu + part * newton
+            value, slope, curvature, reached, pulled = found
+        steps = (*steps, tuple(map(float, nu)))
+        optimal = pulled <= tolerance
+        if not optimal and pulled >= before:
+            log_of_fit.warning("the fit of the mix ended at a projected gradient of %g", pulled)
             break
-    return Mix(tuple(steps), tuple(targets), tuple(reached))
+        before = pulled
+    missed = np.abs(reached - target).max() > tolerance * total
+    told = ", ".join(f"{d} {r:.0f} of {t:.0f}" for d, r, t in zip(domains, reached, targets))
+    log_of_fit.log(logging.WARNING if missed else logging.INFO, "tokens reached of target: %s", told)
+    return Mix(steps, tuple(targets), tuple(map(float, reached)))
 
 
 def mixed_rates(
     docs: DataFrame,
     labels: DataFrame,
     weights: dict[str, float],
-    max_rate: float = 4.0,
     max_labelled: int = 20_000,
     keep: Sequence[str] | None = None,
 ) -> DataFrame:
@@ -305,14 +343,14 @@ def mixed_rates(
     row = F.struct("doc_id", *[F.col(f"`{c}`") for c in kept if c != "doc_id"]).alias("row")
     judged = docs.select(row, _read(F.col("text"), model).alias("read"))
     read = materialise(judged.select("row", "read.tokens", "read.posterior"))
-    fitted = fit_mix(read.select("posterior", "tokens"), model.domains, weights, max_rate=max_rate)
+    fitted = fit_mix(read.select("posterior", "tokens"), model.domains, weights)
     wanted = F.array(*[F.lit(weights.get(d, 0.0) > 0) for d in model.domains])
     names, p = F.array(*map(F.lit, model.domains)), F.col("posterior")
     chance = F.pmod(F.xxhash64("row.doc_id", F.lit("copies")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     best = F.array_position(p, F.array_max(p)).cast("int") - 1
     keep_one = F.when(F.get(wanted, best), 1).otherwise(0)
     mix = let(
-        _rate(p, fitted.steps, max_rate),
+        _rate(p, fitted.steps),
         lambda rate: F.struct(
             F.col("tokens"),
             F.get(names, best).alias("domain"),

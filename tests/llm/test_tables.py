@@ -56,6 +56,20 @@ def test_rates_reach_given_totals(spark):
     assert mixing.fit_mix(read.limit(0), ("a", "b"), {"a": 1.0}).steps == ()
 
 
+def test_rates_have_no_upper_bound_and_unmet_targets_show(spark, caplog):
+    schema = "posterior array<double>, tokens long"
+    rare = spark.createDataFrame([([0.97, 0.02, 0.01], 100)] * 95 + [([0.1, 0.88, 0.02], 100)] * 2 + [([0.2, 0.0, 0.8], 100)] * 3, schema)
+    fit = mixing.fit_mix(rare, ("high", "low", "toxic"), MIX)
+    assert all(abs(r - t) < 0.02 * sum(fit.targets) for r, t in zip(fit.reached, fit.targets)), fit
+    assert abs(fit.reached[1] - fit.targets[1]) < 1e-3 * sum(fit.targets)
+    assert rare.select(F.max(mixing._rate(F.col("posterior"), fit.steps))).first()[0] > 4
+    assert "toxic" in caplog.text  # no document is quite free of it
+    # Posteriors that hardly tell the domains apart converge all the same.
+    flat = spark.createDataFrame([([0.5 + x / 1000, 0.5 - x / 1000], 100) for x in range(-50, 51)], schema)
+    fit = mixing.fit_mix(flat, ("a", "b"), {"a": 0.54, "b": 0.46}, total=10_100.0)
+    assert all(abs(r - t) < 2e-3 * sum(fit.targets) for r, t in zip(fit.reached, fit.targets)), fit
+
+
 def test_every_word_that_passes_the_thresholds_counts(spark):
     draw = random.Random(3)
     own = {d: ["".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(9)) for _ in range(200)] for d in ("high", "toxic")}

@@ -45,8 +45,8 @@ from loanloom.sources.tables import TableCache, read_macro
 
 # The sample tables start in 1995, so later years stand in for the crisis window.
 SAMPLE_CRISIS_YEARS = (1997, 1998, 1999)
-# Boosting rounds of the registered model queries; the jobs default to 200.
-QUERY_ROUNDS = 10
+# Boosting rounds of the registered model queries, as specified and as the jobs default to.
+QUERY_ROUNDS = 200
 STAMP = datetime.date(2024, 1, 31)
 
 Query = Callable[[SparkSession, str], DataFrame]

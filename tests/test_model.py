@@ -174,3 +174,12 @@ def test_driver_text_without_a_rising_feature(spark):
     assert [(d.driver, d.direction, round(d.percent_of_max)) for d in got.parts] == [
         ("Debt-to-income ratio", "Decreases risk", 100), ("Credit grade", "Decreases risk", 20),
     ]
+
+
+def test_registered_queries_boost_the_rounds_of_the_training_job(spark):
+    import inspect
+
+    from loanloom.plans import jobs, queries
+
+    rounds = inspect.signature(jobs.train).parameters["rounds"].default
+    assert rounds == 200 and queries._model(spark, "/root/testdata/sf0.001").trees.getNumTrees == rounds

@@ -25,8 +25,19 @@ _DIGITS = {
     "zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4",
     "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9",
 }
-# Endings by which "x at y dot z" without brackets is told from prose.
+# Endings by which "x at y.z" is told from prose, and words before its at that are prose all the same.
 _ENDINGS = "com|org|net|edu|gov|info|biz|io|dev|app|co|eu|uk|us|ca|au|de|fr|es|it|nl|ch|at|be|se|pl|pt|br|mx|jp|cn|in|ru"
+_PROSE_AT = frozenset(
+    """look looks looked looking us me you it them him her here there found find available online more info information
+    visit see site website page blog store shop is are was were be been am read learn live hosted posted published listed
+    join meet located sold seen and or start starts work works worked working stay buy not only""".split()
+)
+# Frequent words, none of them an ending, behind which "y dot z" is prose.
+_PROSE = (
+    "a|an|the|this|that|these|those|he|she|we|they|them|their|its|his|her|our|your|of|on|or|if|up|go|and|but|for|not|nor|"
+    "was|were|are|has|had|have|will|would|could|should|can|with|from|into|than|then|there|when|where|while|what|which|"
+    "who|why|well|also|just|very|after|before|because|only|some|even|still|again|too|yet|over|however|please|thanks"
+)
 # Other signs for at and full stop, and characters without width.
 _AT_SIGNS, _STOPS, _NO_WIDTH = "﹫＠", "․﹒．。｡", "\u00ad\u200b\u200c\u200d\u2060\ufeff"
 
@@ -85,15 +96,27 @@ def detect(text: str) -> list[Span]:
 
 _DIGIT = "|".join(_DIGITS)
 _GAP = r"[ \t-]{1,3}"
-#: What the transducer rewrites, in order of preference. A spelled number has two digits or
-#: more, or stands beside a spelled dot.
+_LABEL = r"[A-Za-z0-9-]{1,63}"
+_SPELLED_DOT = r"(?:[ \t](?i:dot)[ \t]|[ \t]{0,3}[\[({<][ \t]{0,3}(?i:dot|\.)[ \t]{0,3}[\])}>][ \t]{0,3})"
+#: What makes a spelled at part of an address: a domain with a spelled dot, real ones mixed in, and any ending that is
+#: not prose; or, behind a word that is not prose, one with real dots alone and a known ending.
+_DOTTED = (
+    rf"{_LABEL}(?:\.{_LABEL}){{0,8}}{_SPELLED_DOT}(?:{_LABEL}(?:\.|{_SPELLED_DOT})){{0,8}}(?!(?i:{_PROSE})\b)[A-Za-z]{{2,24}}(?![A-Za-z0-9])"
+)
+_SITE = rf"{_LABEL}(?:\.{_LABEL}){{0,8}}\.(?i:{_ENDINGS})(?![A-Za-z0-9-]|\.[A-Za-z0-9])"
+#: What the transducer rewrites, in order of preference. A spelled number has two digits or more, or stands beside
+#: a spelled dot, a digit or a plus.
 _RULES = re.compile(
     rf"""(?P<spelled>(?i:\b(?:{_DIGIT})(?:{_GAP}(?:{_DIGIT}))+\b
-        |\b(?:{_DIGIT})(?=[ \t]dot[ \t])|(?<=[ \t]dot[ \t])(?:{_DIGIT})\b))
+        |\b(?:{_DIGIT})(?=[ \t]dot[ \t])|(?<=[ \t]dot[ \t])(?:{_DIGIT})\b
+        |\b(?:{_DIGIT})(?={_GAP}[0-9])|(?:(?<=[0-9][ \t-])|(?<=[0-9][ \t-]{{2}})|(?<=[0-9][ \t-]{{3}}))(?:{_DIGIT})\b
+        |(?:(?<=\+)|(?<=\+[ \t])|(?<=\bplus[ \t]))(?:{_DIGIT})\b))
     |(?P<at>[ \t]{{0,3}}[\[({{<][ \t]{{0,3}}(?i:at)[ \t]{{0,3}}[\])}}>][ \t]{{0,3}})
     |(?P<dot>[ \t]{{0,3}}[\[({{<][ \t]{{0,3}}(?i:dot|\.)[ \t]{{0,3}}[\])}}>][ \t]{{0,3}})
-    |(?P<address>[ \t](?i:at)[ \t](?=[A-Za-z0-9-]{{1,63}}(?:[ \t](?i:dot)[ \t][A-Za-z0-9-]{{1,63}})*[ \t](?i:dot)[ \t](?i:{_ENDINGS})\b))
-    |(?P<plain>(?<=[A-Za-z0-9])[ \t](?i:dot)[ \t](?=[A-Za-z0-9]))
+    |(?P<address>[ \t](?i:at)[ \t](?={_DOTTED}))
+    |(?P<site>[ \t](?i:at)[ \t](?={_SITE}))
+    |(?P<plain>(?<=[A-Za-z0-9])[ \t](?i:dot)[ \t](?=[A-Za-z0-9])
+        (?!(?i:{_PROSE})\b(?!\.[A-Za-z0-9]|@|{_SPELLED_DOT}|[ \t]?[\[({{<]|[ \t](?i:at)[ \t])))
     |(?P<plus>\b(?i:plus)[ \t](?=(?i:{_DIGIT}|[0-9])))
     |(?P<width>[{_NO_WIDTH}]+)
     |(?P<sign>[{_AT_SIGNS}{_STOPS}])
@@ -103,11 +126,15 @@ _RULES = re.compile(
 #: No rule applies to a text in which this finds nothing; far cheaper than trying every rule at every character.
 _HINT = re.compile(
     rf"[{_NO_WIDTH}{_AT_SIGNS}{_STOPS}\u0370-\u03ff\u0400-\u052f\uff01-\uff5e]"
-    rf"|[\[({{<][ \t]{{0,3}}(?i:at|dot|\.)[ \t]{{0,3}}[\])}}>]|[ \t](?i:dot)[ \t]"
-    rf"|\b(?i:{_DIGIT}){_GAP}(?i:{_DIGIT})\b|\b(?i:plus)[ \t](?i:{_DIGIT}|[0-9])"
+    rf"|[\[({{<][ \t]{{0,3}}(?i:at|dot|\.)[ \t]{{0,3}}[\])}}>]|[ \t](?i:dot)[ \t]|[ \t](?i:at)[ \t]{_LABEL}\.[A-Za-z0-9]"
+    rf"|\b(?i:{_DIGIT}){_GAP}(?i:{_DIGIT}|[0-9])|[0-9]{_GAP}(?i:{_DIGIT})\b|\+[ \t]?(?i:{_DIGIT})\b"
+    rf"|\b(?i:plus)[ \t](?i:{_DIGIT}|[0-9])"
 )
 
 
+_WORD_BEFORE = re.compile(r"[A-Za-z0-9._%+-]+$")
+
+
 def _single(char: str) -> str:
     if char in _AT_SIGNS:
         return "@"
@@ -158,7 +185,9 @@ def normalise(text: str) -> Normalised | None:
         kind, piece = m.lastgroup, m[0]
         if kind == "spelled":
             new = "".join(_DIGITS[w] for w in re.split(_GAP, piece.lower()))
-        elif kind in ("at", "address"):
+        elif kind == "site" and (before := _WORD_BEFORE.search(text, max(0, m.start() - 64), m.start())) and before[0].lower() in _PROSE_AT:
+            continue
+        elif kind in ("at", "address", "site"):
             new = "@"
         elif kind in ("dot", "plain"):
             new = "."
@@ -190,8 +219,8 @@ def _trimmed(text: str, start: int, end: int) -> tuple[int, int]:
 def find(text: str) -> tuple[list[Span], list[Span]]:
     """The base spans and those that only the normalised text shows.
 
-    These overlap no base span of their kind, but for spans without rewritten words, which may hold one (a mail
-    address whose first letters only are disguised). A disguised span starts and ends at characters of the source; where characters without width were dropped
+    These overlap no base span of their kind, but for one that they wholly hold (a mail address whose first letters
+    or words only are disguised). A disguised span starts and ends at characters of the source; where characters without width were dropped
     inside of it, it covers them.
     """
     base = detect(text)
@@ -203,10 +232,9 @@ def find(text: str) -> tuple[list[Span], list[Span]]:
         a, b, rewritten = plain.source(start, end)
         dropped = b - a != end - start
         a, b = _trimmed(text, a, b)
-        whole = rewritten != WORDS
 
         def clear(s: Span) -> bool:
-            inside = whole and a <= s.start and s.end <= b and b - a > s.end - s.start
+            inside = a <= s.start and s.end <= b and b - a > s.end - s.start
             return s.kind != kind or s.end <= a or s.start >= b or inside
 
         if (rewritten or dropped) and all(map(clear, base)):

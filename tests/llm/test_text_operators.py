@@ -136,6 +136,35 @@ def test_plain_prose_adds_nothing(text):
     assert pii.find(text)[1] == []
 
 
+@pytest.mark.parametrize(
+    "text,kind,part",
+    [
+        ("write jane at example.com now", "email", "jane at example.com"),
+        ("so jane at mail.example dot com it is", "email", "jane at mail.example dot com"),
+        ("so jane at mail dot example.com it is", "email", "jane at mail dot example.com"),
+        ("ask john dot smith@example.com ok", "email", "john dot smith@example.com"),
+        ("ask john [dot] smith@example.com ok", "email", "john [dot] smith@example.com"),
+        ("is jane at example dot me, yes", "email", "jane at example dot me"),
+        ("is jane at example dot xyz, yes", "email", "jane at example dot xyz"),
+        ("is jane at example dot co dot online.", "email", "jane at example dot co dot online"),
+        ("call plus one 555 123 4567 ok", "phone", "plus one 555 123 4567"),
+        ("call +one 555 123 4567 ok", "phone", "+one 555 123 4567"),
+        ("call plus 1 five 5 five 1 two 3 four 5 six 7 ok", "phone", "plus 1 five 5 five 1 two 3 four 5 six 7"),
+        ("card 4 " + "one 1 " * 7 + "one end", "card", "4 " + "one 1 " * 7 + "one"),
+    ],
+)
+def test_mixed_disguises_are_found_whole_and_masked(spark, text, kind, part):
+    base, added = pii.find(text)
+    assert [text[s.start : s.end] for s in added if s.kind == kind] == [part]
+    row = table_of(spark, [(1, text, "en", "a", 1)])
+    assert pii.mask_pii(row).first()["text"] == text.replace(part, f"<{kind}>")
+
+
+@pytest.mark.parametrize("text", ["look at example.com today", "visit us at example.com", "sat at home dot The end", "a@b.com dot then", "one 5 gallon tank", "he sat at the.end"])
+def test_prose_with_real_dots_adds_nothing(text):
+    assert pii.find(text)[1] == []
+
+
 def test_pii_of_awkward_rows(spark):
     rows = awkward_rows() + [(50, "mail a@b.co, +1 555 010 99 99 and 10.0.0.1", "en", "a", 1)]
     docs = clashing(table_of(spark, rows))

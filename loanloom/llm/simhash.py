@@ -172,6 +172,15 @@ def near_duplicates(docs: DataFrame, radius: int = 3, shingle: int = 3, seed: in
 
 
 def one_of_each(docs: DataFrame, **how: int) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its component; a group without any id goes whole."""
-    found = near_duplicates(docs.select("doc_id", "text"), **how).filter("doc_id = component_id")
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_semi").select(*docs.columns)
+    """One row of each group of near copies: that of the smallest id, of several rows with it the first stored one.
+
+    A null id comes after all others, so a group without any id keeps one row as well. Rows are stored with a
+    number, by which they are kept.
+    """
+    stored = materialise(
+        docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("source"), F.monotonically_increasing_id().alias("row"))
+    )
+    place = F.struct(F.col("source.doc_id").isNull().alias("unknown"), F.col("source.doc_id").alias("id"), "row")
+    found = near_duplicates(stored.select(place.alias("doc_id"), F.col("source.text").alias("text")), **how)
+    kept = found.filter("doc_id.row = component_id.row").select("doc_id.row")
+    return stored.join(kept, "row", "left_semi").select(*[F.col("source")[c].alias(c) for c in docs.columns])

@@ -160,3 +160,13 @@ def test_repeated_phrases_against_brute_force(spark):
     got = phrases.deduplicate(clashing(table_of(spark, rows)))
     assert rows_of(got.withColumn("kept", F.sha2("kept", 256))) == brute_cut(rows)
     assert phrases.deduplicate(table_of(spark, [])).count() == 0
+
+
+def test_one_row_of_each_group_stays_whatever_its_id(spark):
+    texts = [prose(60, 500 + k) for k in range(4)]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (7, texts[2]), (7, texts[2]), (9, texts[2]), (None, texts[3]), (3, texts[3])]
+    docs = table_of(spark, [(i, t, "en", "a", k) for k, (i, t) in enumerate(rows)])
+    kept = simhash.one_of_each(docs.repartition(3))
+    assert kept.columns == docs.columns
+    got = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=repr)
+    assert got == sorted([(None, texts[0]), (None, texts[1]), (7, texts[2]), (3, texts[3])], key=repr)

@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding_join, mixing, packing, phrases, pii, quality_rules, sharding, simhash, token_count, url_templates
+from . import (
+    decontamination,
+    embedding_join,
+    merkle,
+    mixing,
+    packing,
+    phrases,
+    pii,
+    quality_rules,
+    sharding,
+    simhash,
+    spelling,
+    token_count,
+    url_templates,
+)
 from .common import table
 
 SHARD_BYTES = 2 << 20
@@ -85,6 +99,22 @@ def op10_repeated_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
+def op13_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -98,5 +128,8 @@ QUERIES = {
         op8_url_templates,
         op9_extendible_shards,
         op10_repeated_phrases,
+        op11_spelling_variants,
+        op12_merkle_manifest,
+        op13_benchmark_decontamination,
     )
 }

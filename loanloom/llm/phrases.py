@@ -2,10 +2,11 @@
 
 A window of ``window`` words is removed where its word sequence also starts earlier. Phrases of ``phrase`` words are
 drawn from every text by winnowing (the one of the least hash in each window), so that equal windows draw equal
-phrases wherever they stand. Phrases that recur in other texts, or in their own, are confirmed by counting; each
-shard of documents compiles the ones of its documents into an Aho-Corasick automaton and streams the documents
-through it. Windows around the located phrases are the only ones that can recur; the first start of each is a
-minimum over their digests, and every other start is removed.
+phrases wherever they stand. A phrase is told by its pattern, a symbol of a small alphabet for each word. Patterns
+that recur in other texts, or in their own, are confirmed by counting; each shard of documents compiles the ones of
+its documents into an Aho-Corasick automaton and streams the documents through it, which tells where they stand.
+Windows around the located phrases are the only ones that can recur; the first start of each is a minimum over
+their digests, and every other start is removed.
 """
 
 from __future__ import annotations
@@ -16,23 +17,32 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.shared import materialise
 
 #: Characters of text whose documents share one automaton.
 SHARD_CHARS = 4_000_000
-#: A document without an id comes after all others.
-LAST = (1 << 63) - 1
+#: What tells documents apart: the id, or the number of a row that has none.
+KEY = ["unknown", "key"]
 
 _MULTIPLIERS = (np.uint64(6364136223846793005), np.uint64(2862933555777941757))
+_DIGEST = np.dtype([("one", np.int64), ("two", np.int64)])
 
 
 class Sizes(NamedTuple):
+    """Words of a window and of a phrase."""
+
     window: int = 20
     phrase: int = 8
 
+    @property
+    def bits(self) -> int:
+        """Bits of a word's symbol: a pattern is one number. Two words may share a symbol; a phrase is then
+        confirmed or located once too often, which no result depends on. Few symbols keep the automaton narrow."""
+        return min(16, 64 // self.phrase)
+
 
 def _rolled(codes: np.ndarray, width: int, multiplier: np.uint64) -> np.ndarray:
     """A 64-bit hash of each run of ``width`` codes, in wrapping arithmetic."""
@@ -57,21 +67,34 @@ class Text:
         digest = hashlib.blake2b(self.codes.tobytes(), digest_size=16).digest()
         return tuple(int(x) for x in np.frombuffer(digest, "<i8"))
 
-    def drawn(self, sizes: Sizes) -> tuple[np.ndarray, np.ndarray]:
-        """Where the drawn phrases start, and their hashes."""
+    def drawn(self, sizes: Sizes) -> np.ndarray:
+        """The patterns of the drawn phrases, each as one number, in order."""
         grams = _rolled(self.codes, sizes.phrase, _MULTIPLIERS[0])
         reach = sizes.window - sizes.phrase + 1
         if len(grams) < reach:
-            return np.empty(0, np.int64), np.empty(0, np.uint64)
+            return np.empty(0, np.int64)
         least = np.lib.stride_tricks.sliding_window_view(grams, reach).argmin(axis=1)
         starts = np.unique(least + np.arange(len(least)))
-        return starts, grams[starts]
+        symbols, packed = self.codes >> np.uint64(64 - sizes.bits), np.zeros(len(starts), np.uint64)
+        for k in range(sizes.phrase):
+            packed = packed << np.uint64(sizes.bits) | symbols[starts + k]
+        return packed.view(np.int64)
+
+    def symbols(self, sizes: Sizes) -> str:
+        """One character per word, from the upper bits of its hash."""
+        return _characters(self.codes >> np.uint64(64 - sizes.bits))
+
+
+def _characters(symbols: np.ndarray) -> str:
+    return (symbols.astype(np.uint32) + np.uint32(0x10000)).tobytes().decode("utf-32-le")
 
-    def symbols(self) -> str:
-        """One character per word, from the upper bits of its hash. Two words may share one: a phrase is then
-        located once too often, which no result depends on."""
-        points = (self.codes >> np.uint64(44)).astype(np.uint32) + np.uint32(0x10000)
-        return points.tobytes().decode("utf-32-le")
+
+def _patterns(packed: np.ndarray, sizes: Sizes) -> set[str]:
+    """The strings of symbols that numbers made by ``drawn`` stand for."""
+    shifts = np.arange(sizes.phrase - 1, -1, -1, dtype=np.uint64) * np.uint64(sizes.bits)
+    symbols = (packed.view(np.uint64)[:, None] >> shifts) & np.uint64((1 << sizes.bits) - 1)
+    every = _characters(symbols.ravel())
+    return {every[i : i + sizes.phrase] for i in range(0, len(every), sizes.phrase)}
 
 
 def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
@@ -93,8 +116,22 @@ def _numbers(scalar: pa.ListScalar) -> np.ndarray:
     return scalar.values.to_numpy() if scalar.is_valid else np.empty(0, np.int64)
 
 
-def _locate(shard: list[dict], sizes: Sizes, digests: int) -> Iterator[tuple[dict, Text, np.ndarray, list[np.ndarray]]]:
-    """Per document: the starts of the windows that hold one of its confirmed phrases, and digests of each.
+def _structs(scalar: pa.ListScalar) -> np.ndarray:
+    """A list of digests as an array of them."""
+    if not scalar.is_valid or not len(scalar):
+        return np.empty(0, _DIGEST)
+    out = np.empty(len(scalar), _DIGEST)
+    for name in _DIGEST.names:
+        out[name] = scalar.values.field(name).to_numpy()
+    return out
+
+
+def _pairs(scalar: pa.ListScalar) -> set[tuple[int, int]]:
+    return {(int(a), int(b)) for a, b in _structs(scalar)}
+
+
+def _locate(shard: list[dict], sizes: Sizes) -> Iterator[tuple[dict, Text, np.ndarray, np.ndarray]]:
+    """Per document: the starts of the windows that hold one of its confirmed phrases, and the digests of each.
 
     A document counts the phrases it has drawn itself and no others that its shard knows, so the windows of a
     document are the same in whatever company it is streamed.
@@ -103,29 +140,28 @@ def _locate(shard: list[dict], sizes: Sizes, digests: int) -> Iterator[tuple[dic
 
     automaton, texts = ahocorasick.Automaton(ahocorasick.STORE_LENGTH), []
     for row in shard:
-        text, confirmed = Text(row["text"]), _numbers(row["phrases"])
-        symbols, own = text.symbols() if len(confirmed) else "", set()
-        if len(confirmed):
-            starts, hashes = text.drawn(sizes)
-            own = {symbols[s : s + sizes.phrase] for s in starts[np.isin(hashes.view(np.int64), confirmed)]}
-            for word in own:
-                automaton.add_word(word)
-        texts.append((row, text, symbols, own))
+        own = _patterns(_numbers(row["phrases"]), sizes)
+        for pattern in own:
+            automaton.add_word(pattern)
+        texts.append((row, Text(row["text"]), own))
     if len(automaton):
         automaton.make_automaton()
-    for row, text, symbols, own in texts:
+    for row, text, own in texts:
         n = len(text.words) - sizes.window + 1
-        if not symbols or n <= 0:
-            none = np.empty(0, np.int64)
-            yield row, text, none, [none] * digests
+        if not own or n <= 0:
+            yield row, text, np.empty(0, np.int64), np.empty(0, _DIGEST)
             continue
+        symbols = text.symbols(sizes)
         found = (end for end, _ in automaton.iter(symbols) if symbols[end + 1 - sizes.phrase : end + 1] in own)
         ends = np.fromiter(found, np.int64)
         marks = np.zeros(n + 1, np.int64)
         np.add.at(marks, np.clip(ends + 1 - sizes.window, 0, n), 1)
         np.add.at(marks, np.clip(ends + 2 - sizes.phrase, 0, n), -1)
         at = np.flatnonzero(np.cumsum(marks[:n]) > 0)
-        yield row, text, at, [_rolled(text.codes, sizes.window, m)[at].view(np.int64) for m in _MULTIPLIERS[:digests]]
+        digests = np.empty(len(at), _DIGEST)
+        for name, m in zip(_DIGEST.names, _MULTIPLIERS):
+            digests[name] = _rolled(text.codes, sizes.window, m)[at].view(np.int64)
+        yield row, text, at, digests
 
 
 def _draw(docs: DataFrame, sizes: Sizes) -> DataFrame:
@@ -133,58 +169,78 @@ def _draw(docs: DataFrame, sizes: Sizes) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard in _shards(batches):
-            keys, ones, twos, lengths, phrases, often = [], [], [], [], [], []
+            unknown, keys, ones, twos, phrases, often = [], [], [], [], [], []
             for row in shard:
                 text = Text(row["text"])
-                found, count = np.unique(text.drawn(sizes)[1].view(np.int64), return_counts=True)
+                found, count = np.unique(text.drawn(sizes), return_counts=True)
                 one, two = text.identity()
+                unknown.append(row["unknown"].as_py())
                 keys.append(row["key"].as_py())
                 ones.append(one)
                 twos.append(two)
-                lengths.append(len(text.words))
                 phrases.append(found)
                 often.append(count > 1)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(keys, pa.int64()), pa.array(ones, pa.int64()), pa.array(twos, pa.int64()),
-                    pa.array(phrases, pa.list_(pa.int64())), pa.array(often, pa.list_(pa.bool_())),
+                    pa.array(unknown, pa.bool_()), pa.array(keys, pa.int64()), pa.array(ones, pa.int64()),
+                    pa.array(twos, pa.int64()), pa.array(phrases, pa.list_(pa.int64())),
+                    pa.array(often, pa.list_(pa.bool_())),
                 ],
-                ["key", "one", "two", "phrase", "often"],
+                [*KEY, "one", "two", "phrase", "often"],
             )
 
-    schema = "key long, one long, two long, phrase array<long>, often array<boolean>"
-    return docs.select("key", "text").mapInArrow(run, schema)
+    schema = "unknown boolean, key long, one long, two long, phrase array<long>, often array<boolean>"
+    return docs.select(*KEY, "text").mapInArrow(run, schema)
 
 
 def confirmed_phrases(drawn: DataFrame) -> DataFrame:
-    """``key, phrases, copies``: the recurring phrases of each document that is the first of its word sequence,
-    and the identities under which a document is a copy of an earlier one.
+    """``unknown, key, phrases, copies``: the recurring phrases of each document that is the first of its word
+    sequence, and the identities under which a document is a copy of an earlier one.
 
     A phrase recurs if texts of different identity have it or one text has it twice, so that copies of a whole
     document confirm nothing. Minima, maxima and marks have partial sums; a phrase in every third document is one
     row for each task.
     """
-    sequences = materialise(drawn.groupBy("one", "two").agg(F.min("key").alias("first")))
+    sequences = materialise(drawn.groupBy("one", "two").agg(*_least_key()).select("one", "two", *_first_key()))
+    leads = (F.col("first_unknown") == F.col("unknown")) & (F.col("first") == F.col("key"))
     placed = materialise(
-        drawn.select("key", "one", "two")
+        drawn.select(*KEY, "one", "two")
         .join(sequences, ["one", "two"])
-        .groupBy("key")
-        .agg(
-            F.collect_set(F.when(F.col("first") < F.col("key"), F.col("one"))).alias("copies"),
-            F.max(F.col("first") == F.col("key")).alias("leads"),
-        )
+        .groupBy(*KEY)
+        .agg(F.collect_set(F.when(~leads, F.struct("one", "two"))).alias("copies"), F.max(leads).alias("leads"))
     )
-    exploded = drawn.select("key", "one", F.inline(F.arrays_zip("phrase", "often")))
+    exploded = drawn.select(*KEY, "one", F.inline(F.arrays_zip("phrase", "often")))
     recurring = materialise(
         exploded.groupBy("phrase")
         .agg(F.min("one").alias("low"), F.max("one").alias("high"), F.max("often").alias("often"))
         .filter("low <> high OR often")
         .select("phrase")
     )
-    by_doc = exploded.select("key", "phrase").join(recurring, "phrase")
-    leading = by_doc.join(placed.filter("leads").select("key"), "key", "left_semi")
-    phrases = leading.groupBy("key").agg(F.collect_set("phrase").alias("phrases"))
-    return placed.select("key", "copies").join(phrases, "key", "left").filter("phrases IS NOT NULL OR size(copies) > 0")
+    by_doc = exploded.select(*KEY, "phrase").join(recurring, "phrase")
+    leading = by_doc.join(placed.filter("leads").select(*KEY), KEY, "left_semi")
+    phrases = leading.groupBy(*KEY).agg(F.collect_set("phrase").alias("phrases"))
+    return placed.select(*KEY, "copies").join(phrases, KEY, "left").filter("phrases IS NOT NULL OR size(copies) > 0")
+
+
+def _least_key() -> list[Column]:
+    """The least id, and the least number of the rows that have none."""
+    return [F.min(F.when(~F.col("unknown"), F.col("key"))).alias("least_id"), F.min(F.when(F.col("unknown"), F.col("key"))).alias("least_row")]
+
+
+def _first_key() -> list[Column]:
+    return [F.col("least_id").isNull().alias("first_unknown"), F.coalesce("least_id", "least_row").alias("first")]
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``unknown, key, doc_id, text``; rows without an id, if there are any, are stored with a number first."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    known = rows.select(F.lit(False).alias("unknown"), F.col("doc_id").alias("key"), "doc_id", "text").filter("doc_id IS NOT NULL")
+    nameless = rows.filter("doc_id IS NULL")
+    if nameless.isEmpty():
+        return known
+    return known.union(
+        materialise(nameless.select(F.lit(True).alias("unknown"), F.monotonically_increasing_id().alias("key"), "doc_id", "text"))
+    )
 
 
 def deduplicate(docs: DataFrame, window: int = 20, phrase: int = 8) -> DataFrame:
@@ -192,45 +248,49 @@ def deduplicate(docs: DataFrame, window: int = 20, phrase: int = 8) -> DataFrame
 
     A word goes if a window that covers it has a word sequence that starts earlier: in a smaller doc_id, or
     before in the same document. Windows are judged on the whole input. Documents of fewer words than a window
-    keep everything. A null text has no words; documents without an id come after all others; rows of one
-    doc_id are one document (none is earlier than the other); an empty table gives an empty result.
+    keep everything. A null text has no words; rows without an id are documents of their own that come after all
+    others, in the order in which they are stored; rows of one doc_id are one document (none is earlier than the
+    other); an empty table gives an empty result.
     """
     sizes = Sizes(window, phrase)
-    id_col = F.col("doc_id").cast("long")
-    texts = docs.select(id_col.alias("doc_id"), F.coalesce(id_col, F.lit(LAST)).alias("key"), "text")
+    texts = _keyed(docs)
     drawn = materialise(_draw(texts, sizes))
     info = materialise(confirmed_phrases(drawn))
-    joined = texts.join(info, "key", "left")
+    joined = texts.join(info, KEY, "left")
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard in _shards(batches):
-            keys, ones, twos = [], [], []
-            for row, text, at, (one, two) in _locate(shard, sizes, 2):
-                if len(at) and text.identity()[0] not in _numbers(row["copies"]):
-                    first = np.unique(one, return_index=True)[1]
-                    keys.append(np.full(len(first), row["key"].as_py()))
-                    ones.append(one[first])
-                    twos.append(two[first])
+            unknown, keys, found = [], [], []
+            for row, text, at, digests in _locate(shard, sizes):
+                if len(at) and text.identity() not in _pairs(row["copies"]):
+                    found.append(np.unique(digests))
+                    keys.append(np.full(len(found[-1]), row["key"].as_py()))
+                    unknown.append(np.full(len(found[-1]), row["unknown"].as_py()))
             if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (keys, ones, twos)], ["key", "one", "two"])
+                every = np.concatenate(found)
+                columns = [np.concatenate(unknown), np.concatenate(keys), every["one"].copy(), every["two"].copy()]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], [*KEY, "one", "two"])
 
     # The same columns as below, so that both passes read one shuffle of the texts.
-    found = joined.select("key", "doc_id", "text", "phrases", "copies").mapInArrow(windows, "key long, one long, two long")
-    firsts = found.groupBy("one", "two").agg(F.min("key").alias("key")).groupBy("key").agg(F.collect_list("one").alias("firsts"))
+    found = joined.select(*KEY, "doc_id", "text", "phrases", "copies").mapInArrow(windows, "unknown boolean, key long, one long, two long")
+    owned = found.groupBy("one", "two").agg(*_least_key()).select("one", "two", *_first_key())
+    firsts = owned.groupBy(F.col("first_unknown").alias("unknown"), F.col("first").alias("key")).agg(
+        F.collect_list(F.struct("one", "two")).alias("firsts")
+    )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard in _shards(batches):
             rows = []
-            for row, text, at, (one,) in _locate(shard, sizes, 1):
+            for row, text, at, digests in _locate(shard, sizes):
                 n = len(text.words)
                 gone = np.zeros(n, bool)
-                copies = _numbers(row["copies"])
-                if n >= window and len(copies) and text.identity()[0] in copies:
+                if n >= window and text.identity() in _pairs(row["copies"]):
                     gone[:] = True
                 elif len(at):
+                    different, first_at, which = np.unique(digests, return_index=True, return_inverse=True)
                     first = np.zeros(len(at), bool)
-                    first[np.unique(one, return_index=True)[1]] = True
-                    again = at[~(first & np.isin(one, _numbers(row["firsts"])))]
+                    first[first_at] = True
+                    again = at[~(first & np.isin(different, _structs(row["firsts"]))[which])]
                     marks = np.zeros(n + 1, np.int64)
                     marks[again] += 1
                     marks[again + window] -= 1
@@ -241,5 +301,5 @@ def deduplicate(docs: DataFrame, window: int = 20, phrase: int = 8) -> DataFrame
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["doc_id", "n_words", "n_removed", "kept"])
 
-    located = joined.join(firsts, "key", "left").select("key", "doc_id", "text", "phrases", "copies", "firsts")
+    located = joined.join(firsts, KEY, "left").select(*KEY, "doc_id", "text", "phrases", "copies", "firsts")
     return located.mapInArrow(cut, "doc_id long, n_words long, n_removed long, kept string")

@@ -162,6 +162,26 @@ def test_repeated_phrases_against_brute_force(spark):
     assert phrases.deduplicate(table_of(spark, [])).count() == 0
 
 
+def test_rows_without_id_are_documents_of_their_own(spark):
+    texts = [prose(50, 800 + k) for k in range(5)]
+    rows = [(None, texts[k % 5], "en", "a", 1) for k in range(100)] + [(7, texts[0] + " " + prose(30, 850), "en", "a", 1)]
+    got = phrases.deduplicate(table_of(spark, rows).repartition(4)).collect()
+    whole = [r for r in got if r["doc_id"] is None and r["n_removed"] == 0]
+    assert sorted(r["kept"] for r in whole) == sorted(texts[1:])  # the first one stands in a document with an id
+    assert all(r["n_removed"] in (0, 50) for r in got) and sum(r["n_removed"] for r in got) == 96 * 50
+
+
+@pytest.mark.parametrize("phrase", [3, 8, 13])
+def test_patterns_are_what_the_automaton_reads(phrase):
+    sizes = phrases.Sizes(20, phrase)
+    text = phrases.Text(prose(300, 31))
+    drawn, symbols = text.drawn(sizes), text.symbols(sizes)
+    own = phrases._patterns(np.unique(drawn), sizes)
+    assert len(symbols) == 300 and len(own) == len(set(drawn.tolist())) and all(p in symbols for p in own)
+    reach = 20 - phrase + 1
+    assert all(any(symbols[i + k : i + k + phrase] in own for k in range(reach)) for i in range(300 - 20 + 1))
+
+
 def test_one_row_of_each_group_stays_whatever_its_id(spark):
     texts = [prose(60, 500 + k) for k in range(4)]
     rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (7, texts[2]), (7, texts[2]), (9, texts[2]), (None, texts[3]), (3, texts[3])]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import heapq
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -106,8 +107,38 @@ def _encoder(ranks_file: str, pattern: str, specials: tuple[tuple[str, int], ...
     )
 
 
+@lru_cache(maxsize=2)
+def _tokenizer(tokenizer_file: str):
+    import tokenizers
+
+    return tokenizers.Tokenizer.from_file(tokenizer_file)
+
+
+class Encoder:
+    """Token ids of whole texts, those of ``tokenizer_file``.
+
+    ``ranks_file`` holds the same vocabulary for a library that is several times faster, but whose pattern gives
+    up on blank runs of some hundred thousand characters; texts with such runs go to the tokenizer itself.
+    """
+
+    #: Blanks in a row that the fast library surely takes.
+    BLANKS = 100_000
+    _BLANK_RUN = re.compile(r"\s{%d}" % BLANKS)
+
+    def __init__(self, tokenizer_file: str, ranks_file: str, pattern: str, specials: dict[str, int]):
+        self._file, self._allowed = tokenizer_file, set(specials)
+        self._fast = _encoder(ranks_file, pattern, tuple(specials.items()))
+
+    def ids(self, text: str) -> np.ndarray:
+        if len(text) >= self.BLANKS and self._BLANK_RUN.search(text):
+            return np.array(_tokenizer(self._file).encode(text, add_special_tokens=False).ids, np.uint32)
+        ids = self._fast.encode_to_numpy(text, allowed_special=self._allowed, disallowed_special=())
+        return ids.astype(np.uint32, copy=False)
+
+
 def pack(
     docs: DataFrame,
+    tokenizer_file: str,
     ranks_file: str,
     pattern: str,
     specials: dict[str, int],
@@ -125,7 +156,6 @@ def pack(
     A null or empty text is the end id alone, null ids and repeated rows are packed like any other, other columns
     are left out, an empty table gives an empty result.
     """
-    allowed = set(specials)
     kinds = pa.schema(
         [
             ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()),
@@ -134,7 +164,7 @@ def pack(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(ranks_file, pattern, tuple(specials.items()))
+        encoder = Encoder(tokenizer_file, ranks_file, pattern, specials)
         packer = Packer(TaskContext.get().partitionId() << 36, capacity, grain, block, fill)
         end = np.array([end_id], np.uint32)
 
@@ -145,9 +175,7 @@ def pack(
 
         for batch in batches:
             for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"]):
-                text = text.as_py() or ""
-                ids = encoder.encode_to_numpy(text, allowed_special=allowed, disallowed_special=())
-                packer.add(doc_id, np.concatenate((ids.astype(np.uint32, copy=False), end)))
+                packer.add(doc_id, np.concatenate((encoder.ids(text.as_py() or ""), end)))
                 if len(packer.rows) >= 4096:
                     yield taken()
         packer.flush()

@@ -217,6 +217,21 @@ def test_packing_round_trip(spark):
     assert packed(table_of(spark, [])).count() == 0
 
 
+def test_packing_of_long_runs(spark):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    runs = [" ", "\n", "x", "\u3000", " \n\t", "7", "!"]
+    rows = [(i, f"head {run * (1_000_000 // len(run))} tail", "en", "a", 1) for i, run in enumerate(runs)]
+    rows.append((20, " " * 99_999 + "a" + "\t" * 100_000, "en", "a", 1))
+    by_doc = defaultdict(list)
+    for r in packed(table_of(spark, rows).repartition(8)).collect():
+        by_doc[r["doc_id"]].append((r["start"], np.frombuffer(r["ids"], "<u4")))
+    for doc_id, text, *_ in rows:
+        ids = np.concatenate([p for _, p in sorted(by_doc[doc_id], key=lambda p: p[0])])
+        assert (ids == tokenizer.encode(text, add_special_tokens=False).ids + [0]).all()
+
+
 def test_packing_repeats_rows_and_null_ids(spark):
     rows = [(None, "a b c", "en", "a", 1)] * 3 + [(1, None, None, None, None)] * 2
     out = packed(table_of(spark, rows)).collect()

@@ -19,12 +19,16 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
 
     Only a local session without that setting gets a temporary folder.
     """
+    return f"{_own_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def _own_folder(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = _local_root()
-    return f"{root.rstrip('/')}/loanloom/{spark.sparkContext.applicationId}/{purpose}-{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/loanloom/{spark.sparkContext.applicationId}"
 
 
 def materialise(df: DataFrame) -> DataFrame:
@@ -37,3 +41,13 @@ def materialise(df: DataFrame) -> DataFrame:
     path = shared_folder(df.sparkSession, "aggregate")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(df: DataFrame) -> None:
+    """Delete what ``materialise`` has written for ``df``, once nothing reads it any more; other tables stay."""
+    spark = df.sparkSession
+    own = f"/loanloom/{spark.sparkContext.applicationId}/"
+    for folder in {name.rpartition("/")[0] for name in df.inputFiles()}:
+        if own in folder:
+            where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

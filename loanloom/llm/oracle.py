@@ -11,10 +11,9 @@ WITH rows AS (
            ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15))::BIGINT AS h
     FROM documents
 ),
-start AS (SELECT greatest(0, ceil(log2(greatest(1, sum(n_bytes) / 2097152.0))))::INT AS d FROM rows),
 levels AS (
     SELECT doc_id, n_bytes, h, l.depth, h >> (60 - l.depth) AS prefix
-    FROM rows, start, (SELECT unnest(range(0, 61))::INT AS depth) l WHERE l.depth BETWEEN start.d AND start.d + 20
+    FROM rows, (SELECT unnest(range(0, 61))::INT AS depth) l
 ),
 sums AS (
     SELECT *, sum(n_bytes) OVER w AS shard_bytes, count(*) OVER w AS shard_rows

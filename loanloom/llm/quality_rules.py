@@ -148,13 +148,10 @@ def passes(m: Column, rules: tuple[Rule, ...]) -> Column:
 
 def verdict(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
     """The counts of a text with ``base_failed`` and ``kept``, as one expression that counts once wherever it ends up
-    in a plan, in a filter too."""
-    rest = tuple(r for r in rules if r not in BASE_RULES)
+    in a plan, in a filter too. ``kept`` is up to the given table alone."""
 
     def judged(m: Column) -> Column:
-        # In whole numbers, so that a ratio of exactly a fifth passes.
-        failed = (m["n_words"] < 10) | (100 * m["n_repeat_words"] > 20 * m["n_words"])
-        return m.withField("base_failed", failed).withField("kept", ~failed & passes(m, rest))
+        return m.withField("base_failed", ~passes(m, BASE_RULES)).withField("kept", passes(m, rules))
 
     return let(measures(text), judged)
 
@@ -162,12 +159,17 @@ def verdict(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
 def assess(docs: DataFrame, rules: tuple[Rule, ...] = RULES, into: str = "quality") -> DataFrame:
     """``docs`` with a struct column ``into``: the counts, ``base_failed`` and ``kept``.
 
-    A projection: no shuffle and no user function. A null or empty text has no words, fails the length rule and so
-    is not kept; repeated rows are judged alike. A column of the name ``into`` is replaced.
+    A projection: no shuffle and no user function. A null or empty text has no words, fails a rule on their number
+    and so is not kept by the production table; repeated rows are judged alike. A column of the name ``into`` is
+    replaced; an empty table gives an empty result.
     """
     return docs.withColumn(into, verdict(F.col("text"), rules))
 
 
 def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """The rows of ``docs`` that pass, with their own columns."""
+    """The rows of ``docs`` that pass, with their own columns, clashing names included.
+
+    A null or empty text has no words and goes, if the table asks for words; repeated rows pass or go together; an
+    empty table stays empty.
+    """
     return docs.filter(verdict(F.col("text"), rules)["kept"])

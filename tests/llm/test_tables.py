@@ -131,6 +131,24 @@ def test_directory_and_written_shards(spark, tmp_path):
     assert back.groupBy("shard").agg(F.sum(F.octet_length("text")).alias("n")).agg(F.max("n")).first()[0] <= 500
 
 
+def test_no_two_sibling_shards_fit_together(spark):
+    rows = [(i, "h" * 10_000, "en", "a", 1) for i in range(4)] + [(10 + i, "s" * 5, "en", "a", 1) for i in range(400)]
+    shards = {r["shard"]: r for r in sharding.assign_shards(table_of(spark, rows), 2_000).collect()}
+    for name, r in shards.items():
+        other = shards.get(name[:-1] + "10"[int(name[-1])])
+        assert other is None or r["shard_bytes"] + other["shard_bytes"] > 2_000
+    assert sum(r["over_limit"] for r in shards.values()) == 4
+    one = sharding.assign_shards(table_of(spark, rows), 1 << 30).select("shard", "depth").distinct().collect()
+    assert [tuple(r) for r in one] == [("", 0)]
+
+
+def test_written_shards_keep_null_and_repeated_ids(spark, tmp_path):
+    rows = [(None, "n" * 40, "en", "a", 1), (5, "r" * 30, "en", "a", 2), (5, "r" * 30, "en", "a", 2), (6, None, None, None, None)]
+    sharding.write_shards(clashing(table_of(spark, rows)), str(tmp_path / "out"), 60)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert rows_of(back.select(*table_of(spark, rows).columns)) == sorted(rows, key=repr)
+
+
 @pytest.mark.parametrize(
     "url,host,path,rule,verdict",
     [

@@ -75,6 +75,14 @@ def test_quality_counts_against_brute_force(spark):
     assert quality_rules.keep_good(docs.limit(0)).count() == 0
 
 
+def test_the_given_table_decides(spark):
+    docs = table_of(spark, [(1, "one two three four five six", "en", "a", 1), (2, "one two", "en", "a", 1)])
+    own = (quality_rules.Rule("n_words", low=3),)
+    assert [r["doc_id"] for r in quality_rules.keep_good(docs, own).collect()] == [1]
+    judged = quality_rules.assess(docs, own).select("quality.base_failed", "quality.kept").collect()
+    assert sorted(map(tuple, judged)) == [(True, False), (True, True)]
+
+
 def test_quality_keeps_clean_prose_and_rejects_by_each_threshold(spark):
     clean = " ".join(["the river and the stone"] * 0 + [f"the river{i} of stone{i}" for i in range(30)])
     rows = [

@@ -126,8 +126,22 @@ def _structs(scalar: pa.ListScalar) -> np.ndarray:
     return out
 
 
-def _pairs(scalar: pa.ListScalar) -> set[tuple[int, int]]:
-    return {(int(a), int(b)) for a, b in _structs(scalar)}
+def _alike(digests: np.ndarray) -> np.ndarray:
+    """A number for each digest, the same for equal ones."""
+    if not len(digests):
+        return np.empty(0, np.int64)
+    order = np.lexsort((digests["two"], digests["one"]))
+    ordered = digests[order]
+    new = (ordered["one"][1:] != ordered["one"][:-1]) | (ordered["two"][1:] != ordered["two"][:-1])
+    out = np.empty(len(digests), np.int64)
+    out[order] = np.concatenate(([0], np.cumsum(new)))
+    return out
+
+
+def _is_copy(row: dict, text: Text) -> bool:
+    """Whether the whole document is one of its earlier copies, by identity."""
+    copies = _structs(row["copies"])
+    return len(copies) > 0 and text.identity() in {(int(a), int(b)) for a, b in copies}
 
 
 def _locate(shard: list[dict], sizes: Sizes) -> Iterator[tuple[dict, Text, np.ndarray, np.ndarray]]:
@@ -262,8 +276,8 @@ def deduplicate(docs: DataFrame, window: int = 20, phrase: int = 8) -> DataFrame
         for shard in _shards(batches):
             unknown, keys, found = [], [], []
             for row, text, at, digests in _locate(shard, sizes):
-                if len(at) and text.identity() not in _pairs(row["copies"]):
-                    found.append(np.unique(digests))
+                if len(at) and not _is_copy(row, text):
+                    found.append(digests[np.unique(_alike(digests), return_index=True)[1]])
                     keys.append(np.full(len(found[-1]), row["key"].as_py()))
                     unknown.append(np.full(len(found[-1]), row["unknown"].as_py()))
             if keys:
@@ -284,13 +298,15 @@ def deduplicate(docs: DataFrame, window: int = 20, phrase: int = 8) -> DataFrame
             for row, text, at, digests in _locate(shard, sizes):
                 n = len(text.words)
                 gone = np.zeros(n, bool)
-                if n >= window and text.identity() in _pairs(row["copies"]):
+                if n >= window and _is_copy(row, text):
                     gone[:] = True
                 elif len(at):
-                    different, first_at, which = np.unique(digests, return_index=True, return_inverse=True)
+                    firsts = _structs(row["firsts"])
+                    alike = _alike(np.concatenate((firsts, digests)))
+                    own, here = alike[: len(firsts)], alike[len(firsts) :]
                     first = np.zeros(len(at), bool)
-                    first[first_at] = True
-                    again = at[~(first & np.isin(different, _structs(row["firsts"]))[which])]
+                    first[np.unique(here, return_index=True)[1]] = True
+                    again = at[~(first & np.isin(here, own))]
                     marks = np.zeros(n + 1, np.int64)
                     marks[again] += 1
                     marks[again + window] -= 1

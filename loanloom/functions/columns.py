@@ -62,13 +62,8 @@ def position_in(value: Column, ordered: Sequence[str]) -> Column:
 
 
 def by_magnitude(pairs: Column) -> Column:
-    """Sort ``array<struct<name, value>>`` by \\|value\\| descending, earlier position first on ties."""
+    """Sort an array of structs with a ``value`` by \\|value\\| descending, earlier position first on ties."""
     keyed = F.transform(
-        pairs,
-        lambda p, i: F.struct(
-            (-F.abs(p["value"])).alias("rank"), i.alias("pos"), p["name"].alias("name"), p["value"].alias("value")
-        ),
-    )
-    return F.transform(
-        F.array_sort(keyed), lambda k: F.struct(k["name"].alias("name"), k["value"].alias("value"))
+        pairs, lambda p, i: F.struct((-F.abs(p["value"])).alias("rank"), i.alias("pos"), p.alias("pair"))
     )
+    return F.transform(F.array_sort(keyed), lambda k: k["pair"])

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import itertools
-import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -14,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanloom.functions.columns import by_magnitude, ratio_or_zero
-from loanloom.functions.shared import shared_folder
+from loanloom.operators import tree_shap
 from loanloom.operators.model import FEATURES, RiskModel
 
 # Plain-language names of the model inputs, in lookup order.
@@ -41,100 +39,34 @@ NO_DRIVER = "No single factor stands out — risk is driven by a broad combinati
 RAISES, LOWERS = "Increases risk", "Decreases risk"
 
 
-# -- leaf rules ---------------------------------------------------------------
+# -- contributions --------------------------------------------------------------
 
 
-def _tree_nodes(spark: SparkSession, trees: GBTClassificationModel) -> DataFrame:
-    folder = shared_folder(spark, "tree-nodes")
-    trees.write().overwrite().save(folder)
-    return spark.read.parquet(f"{folder}/data").select(
-        "treeID",
-        F.col("nodeData.id").alias("id"),
-        F.col("nodeData.prediction").alias("value"),
-        F.col("nodeData.impurityStats")[0].alias("cover"),
-        F.col("nodeData.leftChild").alias("left"),
-        F.col("nodeData.rightChild").alias("right"),
-        F.col("nodeData.split.featureIndex").alias("feature"),
-        F.try_element_at("nodeData.split.leftCategoriesOrThreshold", F.lit(1)).alias("threshold"),
-    )
+def leaf_rules(spark: SparkSession, trees: GBTClassificationModel) -> list[tree_shap.Leaf]:
+    """The leaves of a model, for several calls of ``shap_values``."""
+    return tree_shap.leaves(spark, trees)
 
 
-def leaf_rules(spark: SparkSession, trees: GBTClassificationModel) -> list[tuple]:
-    """One (features, lower, upper, contributions, mean) per leaf, in log-odds units.
+_tree_nodes = tree_shap.tree_nodes
+base_value = tree_shap.mean_value
 
-    A leaf is reached when lower < x <= upper for each of its few features. The
-    contribution table holds the exact Shapley value of each of them for every
-    pattern of satisfied conditions, weighting absent features by training cover.
-    The size is bounded by the model: rounds x 2^depth leaves.
-    """
-    weights = trees.treeWeights
-    nodes = {(r.treeID, r.id): r for r in _tree_nodes(spark, trees).collect()}
-    rules = []
-    for tree, weight in enumerate(weights):
-        stack = [(0, {})]
-        while stack:
-            node_id, path = stack.pop()
-            node = nodes[(tree, node_id)]
-            if node.left < 0:
-                # P(default) is the logistic of twice the margin.
-                rules.append(_leaf_rule(path, 2.0 * weight * node.value))
-                continue
-            for child_id, goes_left in ((node.left, True), (node.right, False)):
-                lo, hi, share = path.get(node.feature, (-np.inf, np.inf, 1.0))
-                lo, hi = (lo, min(hi, node.threshold)) if goes_left else (max(lo, node.threshold), hi)
-                share *= nodes[(tree, child_id)].cover / node.cover
-                stack.append((child_id, {**path, node.feature: (lo, hi, share)}))
-    return rules
-
-
-def _leaf_rule(path: dict, value: float) -> tuple:
-    features = list(path)
-    m = len(features)
-    absent = np.array([path[f][2] for f in features])
-    table = np.zeros((2**m, m))
-    for pattern, j in itertools.product(range(2**m), range(m)):
-        met = np.array([(pattern >> k) & 1 for k in range(m)], dtype=float)
-        others = [k for k in range(m) if k != j]
-        total = 0.0
-        for size in range(m):
-            share = math.factorial(size) * math.factorial(m - size - 1) / math.factorial(m)
-            for chosen in itertools.combinations(others, size):
-                total += share * np.prod([met[k] if k in chosen else absent[k] for k in others])
-        table[pattern, j] = value * (met[j] - absent[j]) * total
-    lower = np.array([path[f][0] for f in features])
-    upper = np.array([path[f][1] for f in features])
-    return np.array(features, dtype=int), lower, upper, table, value * float(np.prod(absent))
-
-
-def _contributions(x: np.ndarray, rules: list[tuple]) -> np.ndarray:
-    out = np.zeros_like(x)
-    for features, lower, upper, table, _ in rules:
-        if len(features):
-            met = (x[:, features] > lower) & (x[:, features] <= upper)
-            out[:, features] += table[met @ (1 << np.arange(len(features)))]
-    return out
-
-
-def base_value(rules: list[tuple]) -> float:
-    """Mean log-odds of the model over its training cover."""
-    return float(sum(r[4] for r in rules))
-
-
-def shap_values(model: RiskModel, df: DataFrame, rules: list[tuple] | None = None) -> DataFrame:
+
+def shap_values(model: RiskModel, df: DataFrame, rules: list[tree_shap.Leaf] | None = None) -> DataFrame:
     """Add ``shap``, one log-odds contribution per feature, and ``shap_base`` to prepared or plain rows.
 
-    The only Python work of the library: Arrow batches against broadcast leaf rules.
+    The only Python work of the library: Arrow batches against the broadcast paths of the leaves, whose size is
+    bounded by the model (rounds x 2^depth x depth x 28 bytes). Missing entries of a vector go where the trees send them.
     """
     spark = df.sparkSession
     rules = leaf_rules(spark, model.trees) if rules is None else rules
-    shared = spark.sparkContext.broadcast(rules)
+    shared = spark.sparkContext.broadcast(tree_shap.pack(rules))
     width = len(model.names)
 
     @F.pandas_udf("array<double>")
     def explain(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for rows in batches:
             x = np.stack(rows.to_numpy()) if len(rows) else np.zeros((0, width))
-            yield pd.Series(list(_contributions(x, shared.value)))
+            yield pd.Series(list(tree_shap.contributions(x, shared.value)))
 
     prepared = df if FEATURES in df.columns else model.prepare(df)
     return prepared.withColumn("shap", explain(vector_to_array(FEATURES))).withColumn(
@@ -145,12 +77,22 @@ def shap_values(model: RiskModel, df: DataFrame, rules: list[tuple] | None = Non
 # -- reading the contributions --------------------------------------------------
 
 
+def plain_label(name: str) -> str:
+    """The label of one encoded feature name, by the rule of ``feature_label``."""
+    plain = name.replace("num__", "").replace("cat__", "").replace("_", " ")
+    prefixes = [label for key, label in FEATURE_LABELS.items() if plain.startswith(key)]
+    return FEATURE_LABELS.get(plain) or (prefixes[0] if prefixes else plain)
+
+
 def named_values(values: Column, names: Sequence[str]) -> Column:
-    """array<double> -> array<struct<name, value>>."""
-    labels = F.array(*[F.lit(n) for n in names])
-    return F.transform(
-        values, lambda v, i: F.struct(F.element_at(labels, i + 1).alias("name"), v.cast("double").alias("value"))
-    )
+    """array<double> -> array<struct<name, label, value>>. Labels are looked up here, once for all rows."""
+    known = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(plain_label(n)).alias("label")) for n in names])
+
+    def named(v: Column, i: Column) -> Column:
+        own = F.element_at(known, i + 1)
+        return F.struct(own["name"].alias("name"), own["label"].alias("label"), v.cast("double").alias("value"))
+
+    return F.transform(values, named)
 
 
 def global_importance(df: DataFrame, values: str = "shap", names: Sequence[str] | None = None) -> DataFrame:
@@ -189,7 +131,7 @@ def driver_text(pairs: Column, n: int = 3) -> Column:
 def increasing_drivers(pairs: Column, n: int = 3) -> Column:
     """Labels of the n largest risk-raising contributions; a fixed sentence when there is none."""
     rising = F.slice(F.filter(by_magnitude(pairs), lambda d: d["value"] > 0), 1, n)
-    labels = F.transform(rising, lambda d: feature_label(d["name"]))
+    labels = F.transform(rising, lambda d: d["label"])
     return F.when(F.size(rising) > 0, labels).otherwise(F.array(F.lit(NO_DRIVER)))
 
 
@@ -200,7 +142,7 @@ def driver_breakdown(pairs: Column, n: int = 5) -> Column:
     return F.transform(
         top,
         lambda d: F.struct(
-            feature_label(d["name"]).alias("driver"),
+            d["label"].alias("driver"),
             F.when(d["value"] > 0, RAISES).otherwise(LOWERS).alias("direction"),
             (ratio_or_zero(F.abs(d["value"]), largest) * 100).alias("percent_of_max"),
         ),

@@ -11,7 +11,7 @@ from pyspark.ml.classification import (
     LogisticRegression,
     LogisticRegressionModel,
 )
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame
@@ -25,16 +25,41 @@ FEATURES = "features"
 
 
 def model_input(df: DataFrame) -> DataFrame:
-    """Numeric inputs as doubles; no repayment snapshot means no known delinquency."""
-    doubles = {c: F.col(c).cast("double") for c in NUMERIC_FEATURES}
+    """Numeric inputs as doubles, NaN as NULL; no repayment snapshot means no known delinquency."""
+    doubles = {c: F.nullif(F.col(c).cast("double"), F.lit(float("nan"))) for c in NUMERIC_FEATURES}
     doubles["had_delinquency"] = F.coalesce(doubles["had_delinquency"], F.lit(0.0))
     return df.withColumns(doubles)
 
 
-def preprocessor() -> Pipeline:
-    """One-hot categories, in which an unknown category is all zeros, followed by standardised numerics."""
+_SCALED, _MISSING = "__scaled_", "__missing_"
+
+
+def _scaled_sql(column: str, mean: float | None, deviation: float | None) -> str:
+    """A value in standard deviations from the mean of the known ones; a missing one counts as the mean."""
+    if not deviation:
+        return f"0.0D AS {_SCALED}{column}"
+    return f"coalesce((`{column}` - {mean!r}D) / {deviation!r}D, 0.0D) AS {_SCALED}{column}"
+
+
+def fit_preprocessor(train: DataFrame) -> PipelineModel:
+    """One-hot categories, in which an unknown category is all zeros, followed by standardised numerics.
+
+    Moments leave NULLs out. A NULL counts as the mean, so it touches its own row only; a column that has NULLs in
+    ``train`` gets one more entry that is 1 where the value is missing. Both rules are stored with the model.
+    """
+
+    def known(c: str) -> Column:
+        return F.struct(
+            F.avg(c).alias("mean"), F.stddev_samp(c).alias("deviation"), F.count_if(F.col(c).isNull()).alias("n_null")
+        ).alias(c)
+
+    moments = train.agg(*[known(c) for c in NUMERIC_FEATURES]).first()
+    gaps = [c for c in NUMERIC_FEATURES if moments[c].n_null]
+    parts = [_scaled_sql(c, moments[c].mean, moments[c].deviation) for c in NUMERIC_FEATURES]
+    parts += [f"CAST(`{c}` IS NULL AS DOUBLE) AS {_MISSING}{c}" for c in gaps]
     indexed = [f"__{c}_index" for c in CATEGORICAL_FEATURES]
     hot = [f"__{c}_hot" for c in CATEGORICAL_FEATURES]
+    numeric = [f"{_SCALED}{c}" for c in NUMERIC_FEATURES] + [f"{_MISSING}{c}" for c in gaps]
     return Pipeline(
         stages=[
             StringIndexer(
@@ -44,18 +69,20 @@ def preprocessor() -> Pipeline:
                 stringOrderType="alphabetAsc",
             ),
             OneHotEncoder(inputCols=indexed, outputCols=hot, dropLast=True),
-            VectorAssembler(inputCols=NUMERIC_FEATURES, outputCol="__numeric", handleInvalid="keep"),
-            StandardScaler(inputCol="__numeric", outputCol="__scaled", withMean=True, withStd=True),
-            VectorAssembler(inputCols=[*hot, "__scaled"], outputCol=FEATURES, handleInvalid="keep"),
+            SQLTransformer(statement=f"SELECT *, {', '.join(parts)} FROM __THIS__"),
+            VectorAssembler(inputCols=[*hot, *numeric], outputCol=FEATURES, handleInvalid="error"),
         ]
-    )
+    ).fit(train)
 
 
 def feature_names(preprocess: PipelineModel) -> list[str]:
-    """Names of the vector's entries, in order: cat__<column>_<category>, then num__<column>."""
+    """Names of the vector's entries, in order: cat__<column>_<category>, num__<column>, num__<column>_missing."""
     labels = preprocess.stages[0].labelsArray
     names = [f"cat__{c}_{v}" for c, values in zip(CATEGORICAL_FEATURES, labels) for v in values]
-    return names + [f"num__{c}" for c in NUMERIC_FEATURES]
+    numeric = preprocess.stages[-1].getInputCols()[len(CATEGORICAL_FEATURES) :]
+    for c in numeric:
+        names.append(f"num__{c[len(_SCALED):]}" if c.startswith(_SCALED) else f"num__{c[len(_MISSING):]}_missing")
+    return names
 
 
 def class_weights(train: DataFrame, label: str = LABEL) -> DataFrame:
@@ -155,7 +182,7 @@ class RiskModel:
 
 def train_model(train: DataFrame, calib: DataFrame, rounds: int = 200, depth: int = 4, rate: float = 0.1) -> RiskModel:
     """Fit everything on ``train`` but the isotonic map, which sees only ``calib``."""
-    preprocess = preprocessor().fit(model_input(train))
+    preprocess = fit_preprocessor(model_input(train))
     prepared = preprocess.transform(model_input(train)).select(FEATURES, LABEL).persist()
     baseline = fit_baseline(prepared)
     trees = fit_trees(prepared, rounds, depth, rate)

@@ -24,9 +24,9 @@ from loanloom.operators.model import (
     FEATURES,
     RiskModel,
     class_weights,
+    fit_preprocessor,
     model_input,
     model_scores,
-    preprocessor,
     score,
     train_model,
     feature_names,
@@ -940,7 +940,7 @@ def _model(spark, d) -> RiskModel:
 def encoded_feature_means(spark, d):
     """Mean of every encoded feature over the train split: category shares, and 0 for standardised numerics."""
     train = model_input(_part(spark, d, "train"))
-    fitted = preprocessor().fit(train)
+    fitted = fit_preprocessor(train)
     names = F.array(*[F.lit(n) for n in feature_names(fitted)])
     means = fitted.transform(train).agg(Summarizer.mean(F.col(FEATURES)).alias("m"))
     rows = means.select(F.posexplode(vector_to_array("m")).alias("i", "mean"))
@@ -958,6 +958,45 @@ def shap_additivity(spark, d):
     return rows.agg(F.count("*").alias("n_loans"), F.count_if(F.abs(total - odds) > 1e-6).alias("n_violations"))
 
 
+def _with_gaps(spark, d):
+    """The cleaned rows with NULLs where the source book has none: rates, and what a loan alone in its grade lacks."""
+    gaps = {
+        "interest_rate": F.when(F.col("loan_id") % 13 != 0, F.col("interest_rate")),
+        "grade_default_rate": F.when(F.col("loan_id") % 29 != 0, F.col("grade_default_rate")),
+        "purpose": F.when(F.col("loan_id") % 31 != 0, F.col("purpose")),
+    }
+    return _split_table(spark, d).withColumns(gaps)
+
+
+@query
+def encoded_features_with_gaps(spark, d):
+    """Mean and mean square of the encoded numerics over train rows that miss values, and of the entries that say so."""
+    train = model_input(_with_gaps(spark, d).filter("split = 'train'"))
+    fitted = fit_preprocessor(train)
+    names = feature_names(fitted)
+    encoded = fitted.transform(train).select(vector_to_array(FEATURES).alias("x"))
+    numeric = [(i, n) for i, n in enumerate(names) if n.startswith("num__")]
+    sums = encoded.agg(*[F.struct(F.avg(F.col("x")[i]).alias("mean"), F.avg(F.col("x")[i] ** 2).alias("mean_square")).alias(n) for i, n in numeric])
+    rows = F.array(*[F.struct(F.lit(n).alias("feature"), F.col(n)["mean"].alias("mean"), F.col(n)["mean_square"].alias("mean_square")) for _, n in numeric])
+    told = sums.select(F.inline(rows))
+    return told.select("feature", *[(F.round(c, 6) + 0.0).alias(c) for c in ("mean", "mean_square")])
+
+
+@query
+def shap_additivity_with_gaps(spark, d):
+    """The same as ``shap_additivity`` for rows that miss values, and how many of them do."""
+    model = _model(spark, d)
+    rows = explain.shap_values(model, score(model, _with_gaps(spark, d)))
+    total = F.aggregate("shap", F.col("shap_base"), lambda a, v: a + v)
+    odds = F.ln(F.col("raw_probability") / (1 - F.col("raw_probability")))
+    wrong = ~F.coalesce(F.abs(total - odds) <= 1e-6, F.lit(False))
+    return rows.agg(
+        F.count("*").alias("n_loans"),
+        F.count_if(F.col("interest_rate").isNull() | F.col("grade_default_rate").isNull()).alias("n_with_gaps"),
+        F.count_if(wrong).alias("n_violations"),
+    )
+
+
 @query
 def calibration_is_monotone(spark, d):
     """Calibration loans, and neighbouring raw scores whose calibrated probability falls."""

@@ -8,10 +8,20 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from loanloom.operators import explain
+from loanloom.operators import explain, tree_shap
 from loanloom.operators.calibration import apply_isotonic, fit_isotonic
 from loanloom.operators.features import CATEGORICAL_FEATURES, NUMERIC_FEATURES
-from loanloom.operators.model import FEATURES, RiskModel, class_weights, raw_score, score, train_model
+from loanloom.operators.model import (
+    FEATURES,
+    RiskModel,
+    class_weights,
+    feature_names,
+    fit_preprocessor,
+    model_input,
+    raw_score,
+    score,
+    train_model,
+)
 from loanloom.operators.split import stratified_split
 from loanloom.operators.whatif import score_hypotheticals
 from loanloom.sources import sample_book
@@ -183,3 +193,105 @@ def test_registered_queries_boost_the_rounds_of_the_training_job(spark):
 
     rounds = inspect.signature(jobs.train).parameters["rounds"].default
     assert rounds == 200 and queries._model(spark, "/root/testdata/sf0.001").trees.getNumTrees == rounds
+
+
+def _with_null(rows, n, *columns):
+    return rows.withColumns({c: F.when(F.col("loan_id") % n != 0, F.col(c)) for c in columns})
+
+
+def test_one_missing_value_touches_its_own_row_only(spark):
+    whole = _rows(spark, 400)
+    gap = whole.withColumn("interest_rate", F.when(F.col("loan_id") != 7, F.col("interest_rate")))
+    parts = [fit_preprocessor(model_input(d)).transform(model_input(d)) for d in (whole, gap)]
+    a, b = ({r.loan_id: np.array(r.x) for r in p.select("loan_id", vector_to_array(FEATURES).alias("x")).collect()} for p in parts)
+    names = feature_names(fit_preprocessor(model_input(gap)))
+    at, flag = names.index("num__interest_rate"), names.index("num__interest_rate_missing")
+    assert not any(np.isnan(x).any() for x in b.values()) and len(b[0]) == len(a[0]) + 1
+    assert b[7][at] == 0 and b[7][flag] == 1 and sum(x[flag] for x in b.values()) == 1
+    known = np.array([r[0] for r in gap.filter("loan_id <> 7").select("interest_rate").collect()], float)
+    for i in (0, 8, 399):
+        value = float(whole.filter(F.col("loan_id") == i).first().interest_rate)
+        assert b[i][at] == pytest.approx((value - known.mean()) / known.std(ddof=1))
+        others = [k for k in range(len(a[0])) if k != at]
+        assert b[i][others] == pytest.approx(a[i][others])
+
+
+def test_columns_without_known_values_or_without_spread(spark):
+    rows = _rows(spark, 50).withColumn("dti", F.lit(None).cast("double")).withColumn("term_months", F.lit(36))
+    rows = rows.withColumn("annual_income", F.when(F.col("loan_id") == 3, F.lit(float("nan"))).otherwise(F.col("annual_income")))
+    fitted = fit_preprocessor(model_input(rows))
+    names = feature_names(fitted)
+    x = np.array([r[0] for r in fitted.transform(model_input(rows)).select(vector_to_array(FEATURES)).collect()])
+    assert not np.isnan(x).any() and not x[:, names.index("num__term_months")].any()
+    assert x[:, names.index("num__dti_missing")].all() and x[:, names.index("num__annual_income_missing")].sum() == 1
+
+
+def test_models_fit_and_explain_rows_with_gaps(spark, tmp_path):
+    rows = _with_null(stratified_split(_rows(spark, 1500), "default_flag", "loan_id"), 5, "interest_rate", "dti", "grade")
+    parts = {s: rows.filter(F.col("split") == s) for s in ("train", "calibration", "test")}
+    model = train_model(parts["train"], parts["calibration"], rounds=4, depth=3)
+    assert "num__interest_rate_missing" in model.names and "num__loan_amount_missing" not in model.names
+    model.save(str(tmp_path / "gaps"))
+    model = RiskModel.load(str(tmp_path / "gaps"))
+    later = _with_null(parts["test"], 3, "loan_amount", "annual_income")  # gaps that training has not seen
+    for r in explain.shap_values(model, score(model, later)).select("shap", "shap_base", "raw_probability").collect():
+        assert sum(r.shap) + r.shap_base == pytest.approx(math.log(r.raw_probability / (1 - r.raw_probability)), abs=1e-6)
+
+
+def _random_tree(draw, depth, n_features):
+    """Nodes of a random tree: (feature, threshold, left, right) or a value, with covers."""
+    if depth == 0 or draw.random() < 0.1:
+        return draw.random() - 0.5, draw.random() + 0.1
+    left, right = _random_tree(draw, depth - 1, n_features), _random_tree(draw, depth - 1, n_features)
+    return (draw.randrange(n_features), draw.choice((-1.0, 0.0, 1.0)), left, right), left[1] + right[1]
+
+
+def _leaves_of(node, path=()):
+    body, cover = node
+    if not isinstance(body, tuple):
+        known = {}
+        for f, low, high, share in path:
+            a, b, c = known.get(f, (-np.inf, np.inf, 1.0))
+            known[f] = (max(a, low), min(b, high), c * share)
+        sides = np.array(list(known.values()), float).reshape(-1, 3).T
+        return [tree_shap.Leaf(np.array(list(known), int), *sides, body)]
+    f, t, left, right = body
+    return _leaves_of(left, (*path, (f, -np.inf, t, left[1] / cover))) + _leaves_of(right, (*path, (f, t, np.inf, right[1] / cover)))
+
+
+def _expected(node, x, known):
+    body, cover = node
+    if not isinstance(body, tuple):
+        return body
+    f, t, left, right = body
+    if f in known:
+        return _expected(left if x[f] <= t else right, x, known)  # a missing value is below no threshold
+    return (left[1] * _expected(left, x, known) + right[1] * _expected(right, x, known)) / cover
+
+
+@pytest.mark.parametrize("depth,n_features", [(1, 2), (4, 6), (8, 7)])
+def test_shares_of_random_trees_equal_brute_force(depth, n_features):
+    import random
+
+    draw = random.Random(depth)
+    trees = [_random_tree(draw, depth, n_features) for _ in range(3)]
+    paths = tree_shap.pack([leaf for t in trees for leaf in _leaves_of(t)])
+    x = np.array([[draw.choice((-2.0, -1.0, 0.5, 1.0, 2.0, np.nan)) for _ in range(n_features)] for _ in range(12)])
+    got = tree_shap.contributions(x, paths)
+    every = range(n_features)
+    for row, own in zip(x, got):
+        worth = {c: sum(_expected(t, row, set(c)) for t in trees) for k in range(n_features + 1) for c in itertools.combinations(every, k)}
+        for j in every:
+            total = 0.0
+            for c, v in worth.items():
+                if j not in c:
+                    share = math.factorial(len(c)) * math.factorial(n_features - len(c) - 1) / math.factorial(n_features)
+                    total += share * (worth[tuple(sorted((*c, j)))] - v)
+            assert own[j] == pytest.approx(total, abs=1e-9)
+        assert own.sum() + worth[()] == pytest.approx(worth[tuple(every)], abs=1e-9)
+
+
+def test_labels_of_names_follow_the_label_table(spark):
+    names = ["num__dti", "num__dti_missing", "cat__grade_A", "num__loan_amount_rank_in_grade", "cat__purpose_car", "signal_3", "grade_default_rate"]
+    rows = explain.label_features(spark.createDataFrame([(n,) for n in names], "feature string")).collect()
+    assert {r.feature: r.label for r in rows} == {n: explain.plain_label(n) for n in names}

@@ -19,9 +19,17 @@ from loanloom.operators.quality import clean
 from loanloom.operators.split import sample_n, stratified_split
 from loanloom.operators.stress import fit_sensitivity, stress_el, stress_rows
 from loanloom.schemas import CUSTOMERS, LOANS, REPAYMENTS, STRESS_TEST_RESULTS
-from loanloom.sources.raw_loans import assign_ids, filter_resolved, normalize, read_raw_loans, stage
+from loanloom.sources.raw_loans import (
+    assign_ids,
+    filter_resolved,
+    normalize,
+    read_checked_loans,
+    read_raw_loans,
+    stage,
+)
 from loanloom.sources.sinks import overwrite, read_keyed, read_scores, upsert, write_loans, write_repayments, write_scores
 from loanloom.sources.tables import SCENARIOS, Scenario, read_table
+from loanloom.sources.versions import claim_ids
 
 
 def ingest(spark: SparkSession, csv_path: str, warehouse: str, sample_size: int | None = None) -> None:
@@ -37,6 +45,27 @@ def ingest(spark: SparkSession, csv_path: str, warehouse: str, sample_size: int
     write_repayments(repayments, f"{warehouse}/repayments")
 
 
+def append_load(spark: SparkSession, csv_path: str, warehouse: str, load: str) -> dict[str, int]:
+    """Add a raw file to the tables below ``warehouse`` as the load named ``load``; returns counts of its records.
+
+    Each load is a partition ``load=<name>`` of every table and of ``rejects``, and ids go on where earlier loads ended.
+    A load that is run again, after a crash at any point, claims the same ids and replaces its own partitions. A
+    warehouse is filled either by ``ingest`` or by loads.
+    """
+    rows, rejects = read_checked_loans(spark, csv_path)
+    overwrite(rejects, f"{warehouse}/rejects/load={load}")
+    staged = stage(rows, f"{warehouse}/staged_loads/load={load}/all")
+    resolved = stage(filter_resolved(staged), f"{warehouse}/staged_loads/load={load}/resolved")
+    counts = {"n_read": staged.count(), "n_rejected": spark.read.parquet(f"{warehouse}/rejects/load={load}").count()}
+    counts |= {"n_records": counts["n_read"] + counts["n_rejected"], "n_loans": resolved.count()}
+    after = claim_ids(spark, f"{warehouse}/loads", load, counts["n_loans"])
+    customers, loans, repayments = normalize(assign_ids(resolved, after=after), dated=True)
+    overwrite(customers, f"{warehouse}/customers/load={load}")
+    write_loans(loans, f"{warehouse}/loans/load={load}")
+    write_repayments(repayments, f"{warehouse}/repayments/load={load}")
+    return counts | {"first_id": after + 1}
+
+
 def _tables(spark: SparkSession, warehouse: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     return (
         read_table(spark, f"{warehouse}/loans", LOANS),

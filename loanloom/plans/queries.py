@@ -10,6 +10,7 @@ import datetime
 from collections.abc import Callable
 from functools import wraps
 
+from pyspark.errors import PySparkException
 from pyspark.ml.stat import Summarizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -31,17 +32,19 @@ from loanloom.operators.model import (
     train_model,
     feature_names,
 )
+from loanloom.plans.jobs import append_load
 from loanloom.plans.views import VIEW_NAMES, register_views
 from loanloom.schemas import (
     EXPECTED_LOSS_COLUMNS,
     MODEL_MONITORING,
     REPAYMENTS,
     STRESS_TEST_RESULTS,
+    TABLES,
     add_columns,
     enforce_schema,
 )
-from loanloom.sources import raw_loans, sample_book, sinks
-from loanloom.sources.tables import TableCache, read_macro
+from loanloom.sources import key_index, raw_loans, sample_book, sinks
+from loanloom.sources.tables import TableCache, read_macro, read_table
 
 # The sample tables start in 1995, so later years stand in for the crisis window.
 SAMPLE_CRISIS_YEARS = (1997, 1998, 1999)
@@ -294,6 +297,76 @@ def column_defaults(spark, d):
     return enforce_schema(large, REPAYMENTS).unionByName(enforce_schema(small.drop("days_late"), REPAYMENTS))
 
 
+@query
+def failed_upsert_changes_nothing(spark, d):
+    """Stress rows stored by scenario; a second job that dies at its last scenario leaves them, a third replaces one."""
+    path = f"{shared_folder(spark, 'versions')}/stress_test_results"
+    rows = materialise(stress.stress_rows(*_stress(spark, d), STAMP))
+    sinks.upsert(rows, path, ["scenario"])
+    last = rows.agg(F.max("scenario")).scalar()
+    dies = F.when(F.col("scenario") == last, F.raise_error(F.lit("the job dies"))).otherwise(F.lit(0.0))
+    try:
+        sinks.upsert(rows.withColumn("portfolio_el", dies.cast(rows.schema["portfolio_el"].dataType)), path, ["scenario"])
+    except PySparkException as e:
+        if "the job dies" not in str(e):
+            raise
+    doubled = rows.filter("scenario = 'baseline'").withColumn("portfolio_el", (F.col("portfolio_el") * 2).cast(rows.schema["portfolio_el"].dataType))
+    sinks.upsert(doubled, path, ["scenario"])
+    return sinks.read_keyed(spark, path, STRESS_TEST_RESULTS)
+
+
+@query
+def indexed_repayment_lookup(spark, d):
+    """Repayments found through the key index of a stored table, and the files that each look-up opens."""
+    path = f"{shared_folder(spark, 'indexed')}/repayments"
+    sinks.write_repayments(sample_book.repayments(spark, d), path)
+    out = None
+    for loan in (1234, 1, -5, 999_999_999_999):
+        n_files = len(key_index.files_with(spark, path, loan))
+        found = key_index.indexed_lookup(spark, path, "loan_id", loan, REPAYMENTS)
+        row = found.agg(F.lit(loan).cast("long").alias("loan_id"), F.count("*").alias("n_rows"), F.sum("amount_paid").alias("amount_paid"), F.lit(n_files).alias("n_files"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query
+def appended_loads(spark, d):
+    """Two raw files loaded one after the other, the second twice: ids, sums and violations as of one load."""
+    folder = shared_folder(spark, "loads")
+    raw = sample_book.raw_file_rows(spark, d)
+    for name, part in (("first", "loan_id % 3 = 0"), ("second", "loan_id % 3 <> 0")):
+        raw.filter(part).select(*raw_loans.RAW_COLUMNS).write.option("header", True).csv(f"{folder}/{name}.csv")
+    for name in ("first", "second", "second"):
+        append_load(spark, f"{folder}/{name}.csv", f"{folder}/w", name)
+    customers, loans, repayments = (read_table(spark, f"{folder}/w/{n}", TABLES[n]) for n in ("customers", "loans", "repayments"))
+    broken = quality.audit_keys(loans, customers, "customer_id", "loan_id").unionByName(quality.audit_keys(repayments, loans, "loan_id"))
+    per_load = loans.groupBy("load").agg(F.min("loan_id").alias("first_id"), F.max("loan_id").alias("last_id"), F.count("*").alias("n_loans"), F.count_distinct("loan_id").alias("n_ids"), F.sum("loan_amount").alias("loan_amount"), F.sum("default_flag").alias("n_defaults"))
+    return per_load.withColumn("n_violations", materialise(broken.agg(F.count("*").alias("n"))).scalar())
+
+
+@query
+def rejected_records(spark, d):
+    """A raw file with broken records, read with its errors: records, rows and rejects by reason."""
+    folder = shared_folder(spark, "rejects")
+    raw = sample_book.raw_file_rows(spark, d)
+    kind = F.expr("case when loan_id % 97 = 0 then 'short' when loan_id % 89 = 0 then 'quote' when loan_id % 83 = 0 then 'number' when loan_id % 79 = 0 then 'rate' else 'good' end")
+    fields = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in raw_loans.RAW_COLUMNS}
+    fields["annual_inc"] = F.when(F.col("kind").isin("number"), F.lit("fifty thousand")).otherwise(fields["annual_inc"])
+    fields["int_rate"] = F.when(F.col("kind") == "rate", F.lit("twelve%")).otherwise(fields["int_rate"])
+    fields["purpose"] = F.when(F.col("kind") == "quote", F.concat(F.lit('"'), fields["purpose"])).otherwise(fields["purpose"])
+    whole = F.concat_ws(",", *fields.values())
+    short = F.concat_ws(",", *list(fields.values())[:7])
+    lines = raw.withColumn("kind", kind).select(F.when(F.col("kind") == "short", short).otherwise(whole).alias("value"))
+    header = spark.range(1).select(F.lit(",".join(raw_loans.RAW_COLUMNS)).alias("value"))
+    # One file, whose first line is the header.
+    numbered = header.withColumn("n", F.lit(0)).unionByName(lines.withColumn("n", F.lit(1)))
+    numbered.repartitionByRange(1, "n").sortWithinPartitions("n").select("value").write.text(f"{folder}/loan.csv")
+    good, rejects = raw_loans.read_checked_loans(spark, f"{folder}/loan.csv")
+    counts = raw_loans.reject_counts(rejects)
+    read = good.agg(F.lit("none").alias("reason"), F.count("*").alias("n_records"), F.sum(F.col("annual_inc").cast("decimal(12,2)")).alias("annual_inc"))
+    return read.unionByName(counts, allowMissingColumns=True)
+
+
 @query
 def key_audit(spark, d):
     """Loans of customers without income count as orphans; line items repeat their order's key."""

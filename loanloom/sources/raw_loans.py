@@ -61,6 +61,51 @@ def read_raw_loans(spark: SparkSession, path: str, multi_line: bool = False) ->
     return rows.select(*[field(c) for c in RAW_COLUMNS])
 
 
+_CORRUPT = "__record"
+
+
+def read_checked_loans(spark: SparkSession, path: str, multi_line: bool = False) -> tuple[DataFrame, DataFrame]:
+    """``read_raw_loans`` with its errors made visible: (good rows, rejects).
+
+    A record with too few or too many fields, or with a quote that is never closed, and one whose number is no
+    number are rejected whole: one row of ``record`` (the text as it stands, or its used fields), ``reasons`` and
+    ``file``. Texts that stand for a missing value are no errors, nor are dates that cannot be read. Every record is
+    in one of the two. Both are plans over the same file; store them side by side.
+    """
+    options = {"header": True, "quote": '"', "escape": '"', "multiLine": multi_line, "enforceSchema": False}
+    header = spark.read.options(**options).csv(path).columns
+    missing = [c for c in RAW_COLUMNS if c not in header]
+    if missing:
+        raise ValueError(f"raw loan file lacks columns: {missing}")
+    layout = T.StructType([T.StructField(c, T.StringType()) for c in [*header, _CORRUPT]])
+    # Without pruning every field of a record is counted.
+    options |= {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT, "columnPruning": False}
+    texts = spark.read.schema(layout).options(**options).csv(path)
+
+    def known(c: str) -> Column:
+        return F.when(~F.trim(c).isin(*MISSING_TEXTS), F.col(c))
+
+    numbers = {c: known(c).try_cast("double") for c in _NUMBERS}
+    readings = numbers | {"int_rate": percent_number(known("int_rate")), "term": first_number(known("term"))}
+    wrong = [
+        F.when(known(c).isNotNull() & readings[c].isNull(), F.lit(f"{c}: no number")) for c in RAW_COLUMNS if c in readings
+    ]
+    reasons = F.when(F.col(_CORRUPT).isNotNull(), F.array(F.lit("malformed record"))).otherwise(F.array_compact(F.array(*wrong)))
+    judged = texts.withColumn("__reasons", reasons)
+    good = judged.filter(F.size("__reasons") == 0).select(*[numbers.get(c, known(c)).alias(c) for c in RAW_COLUMNS])
+    rejects = judged.filter(F.size("__reasons") > 0).select(
+        F.coalesce(_CORRUPT, F.to_csv(F.struct(*RAW_COLUMNS))).alias("record"),
+        F.col("__reasons").alias("reasons"),
+        F.col("_metadata.file_path").alias("file"),
+    )
+    return good, rejects
+
+
+def reject_counts(rejects: DataFrame) -> DataFrame:
+    """``reason, n_records``; a record with two wrong fields counts for both."""
+    return rejects.select(F.explode("reasons").alias("reason")).groupBy("reason").agg(F.count("*").alias("n_records"))
+
+
 def filter_resolved(raw: DataFrame, statuses: Sequence[str] = tuple(RESOLVED_STATUSES)) -> DataFrame:
     return raw.filter(F.col("loan_status").isin(*statuses))
 
@@ -71,8 +116,8 @@ def stage(raw: DataFrame, path: str) -> DataFrame:
     return raw.sparkSession.read.parquet(path)
 
 
-def assign_ids(staged: DataFrame, id_col: str = "loan_id") -> DataFrame:
-    """Dense ids 1..n for a DataFrame read from Parquet files.
+def assign_ids(staged: DataFrame, id_col: str = "loan_id", after: int = 0) -> DataFrame:
+    """Dense ids ``after`` + 1..``after`` + n for a DataFrame read from Parquet files.
 
     A row's id is its position in its file plus the rows of all earlier files,
     so no row moves between tasks, and the ids are the same on every re-read,
@@ -86,7 +131,7 @@ def assign_ids(staged: DataFrame, id_col: str = "loan_id") -> DataFrame:
     offsets = per_file.select("__file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__offset"))
     return (
         located.join(materialise(offsets), "__file")
-        .withColumn(id_col, F.col("__offset") + F.col("__row") + 1)
+        .withColumn(id_col, F.col("__offset") + F.col("__row") + 1 + after)
         .drop("__file", "__row", "__offset")
     )
 

@@ -7,10 +7,11 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from loanloom.operators.decision import LGD
 from loanloom.schemas import LOANS, REPAYMENTS, RISK_SCORES, enforce_schema
+from loanloom.sources.key_index import build_key_index
+from loanloom.sources.versions import read_keyed, upsert
 
 
 def append(df: DataFrame, path: str) -> None:
@@ -31,28 +32,6 @@ def merge_rows(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> Data
     return existing.join(new.select(*keys), list(keys), "left_anti").unionByName(new)
 
 
-def upsert(new: DataFrame, path: str, keys: Sequence[str]) -> None:
-    """Write rows keyed by a few distinct values, such as a model version or scenario.
-
-    The keys are the table's partitions, so replacing the partitions present
-    in ``new`` is the upsert: nothing is read back and a rerun gives the same
-    table. Rows are staged before any partition is exchanged, so a job that
-    fails while computing changes nothing; partitions are exchanged one by one.
-    ``read_keyed`` reads the table.
-    """
-    (
-        new.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*keys)
-        .parquet(path)
-    )
-
-
-def read_keyed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A table written by ``upsert``, in the order and types of ``schema``; key texts such as "007" stay texts."""
-    return spark.read.schema(schema).parquet(path).select(*[f.name for f in schema.fields])
-
-
 def write_loans(loans: DataFrame, path: str) -> None:
     """Partition by origination year and sort by date inside, so date ranges skip files and row groups.
 
@@ -71,21 +50,28 @@ def write_loans(loans: DataFrame, path: str) -> None:
     )
 
 
+_BLOOM = {"parquet.bloom.filter.enabled#loan_id": "true"}
+
+
 def write_repayments(repayments: DataFrame, path: str) -> None:
     """Sorted by loan inside files, so a point lookup reads the row groups of one loan.
 
     Rows that carry their loan's ``issue_date`` are partitioned by origination year as loans are, so a range of
-    issue dates prunes both tables; the date itself is not stored.
+    issue dates prunes both tables; the date itself is not stored. A key index and Bloom filters on ``loan_id`` go with
+    the files, for ``indexed_lookup`` and for plain filters.
     """
     if "issue_date" not in repayments.columns:
         typed = enforce_schema(repayments, REPAYMENTS)
-        typed.repartitionByRange("loan_id").sortWithinPartitions("loan_id").write.mode("overwrite").parquet(path)
+        ordered = typed.repartitionByRange("loan_id").sortWithinPartitions("loan_id")
+        ordered.write.mode("overwrite").options(**_BLOOM).parquet(path)
+        build_key_index(repayments.sparkSession, path, "loan_id", REPAYMENTS)
         return
     year = F.year("issue_date").alias("origination_year")
     dated = repayments.select("*", year)
     typed = dated.select(*[F.col(f.name).cast(f.dataType) for f in REPAYMENTS.fields], "origination_year")
     ordered = typed.repartitionByRange("origination_year", "loan_id").sortWithinPartitions("origination_year", "loan_id")
-    ordered.write.mode("overwrite").partitionBy("origination_year").parquet(path)
+    ordered.write.mode("overwrite").options(**_BLOOM).partitionBy("origination_year").parquet(path)
+    build_key_index(repayments.sparkSession, path, "loan_id", REPAYMENTS)
 
 
 def save_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> DataFrame:

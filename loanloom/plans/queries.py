@@ -33,6 +33,7 @@ from loanloom.operators.model import (
     feature_names,
 )
 from loanloom.plans.jobs import append_load
+from loanloom.plans.sql_views import create_views
 from loanloom.plans.views import VIEW_NAMES, register_views
 from loanloom.schemas import (
     EXPECTED_LOSS_COLUMNS,
@@ -412,6 +413,39 @@ def registered_views(spark, d):
     return spark.sql(" union all ".join(parts))
 
 
+def _views_after_append(spark, d):
+    """Views over stored tables with half of the loans; the other half is appended once they have been read."""
+    b, folder = sample_book.book(spark, d), shared_folder(spark, "views")
+    tables = {n: f"{folder}/{n}" for n in ("loans", "customers", "repayments")}
+    early = F.col("loan_id") % 2 == 0
+    sinks.append(b.customers, tables["customers"])
+    sinks.append(b.loans.filter(early), tables["loans"])
+    sinks.append(b.repayments.filter(early), tables["repayments"])
+    create_views(spark, tables, SAMPLE_CRISIS_YEARS)
+    for view in VIEW_NAMES:
+        spark.table(view).limit(1).collect()
+    sinks.append(b.loans.filter(~early), tables["loans"])
+    sinks.append(b.repayments.filter(~early), tables["repayments"])
+
+
+@query
+def peer_view_after_append(spark, d):
+    _views_after_append(spark, d)
+    return spark.sql("select * from loan_peer_benchmark_features")
+
+
+@query
+def model_view_after_append(spark, d):
+    _views_after_append(spark, d)
+    return spark.sql("select * from final_model_features")
+
+
+@query
+def vintage_view_after_append(spark, d):
+    _views_after_append(spark, d)
+    return spark.sql("select * from vintage_analysis")
+
+
 # -- features -------------------------------------------------------------------
 
 

@@ -43,11 +43,27 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _own_folders(df: DataFrame) -> list[str]:
+    own = f"/loanloom/{df.sparkSession.sparkContext.applicationId}/"
+    return sorted({folder for name in df.inputFiles() if own in (folder := name.rpartition("/")[0])})
+
+
+def _filesystem(spark: SparkSession, folder: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def will_broadcast(df: DataFrame) -> bool:
+    """Whether a table that ``materialise`` has written is small enough for Spark to broadcast it by itself."""
+    spark, size = df.sparkSession, 0
+    for folder in _own_folders(df):
+        files, where = _filesystem(spark, folder)
+        size += files.getContentSummary(where).getLength()
+    return size <= spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+
+
 def release(df: DataFrame) -> None:
     """Delete what ``materialise`` has written for ``df``, once nothing reads it any more; other tables stay."""
-    spark = df.sparkSession
-    own = f"/loanloom/{spark.sparkContext.applicationId}/"
-    for folder in {name.rpartition("/")[0] for name in df.inputFiles()}:
-        if own in folder:
-            where = spark._jvm.org.apache.hadoop.fs.Path(folder)
-            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    for folder in _own_folders(df):
+        files, where = _filesystem(df.sparkSession, folder)
+        files.delete(where, True)

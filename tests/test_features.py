@@ -3,6 +3,10 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from loanloom.functions.lookup import PIECES, hot_keys, salted_lookup
+from loanloom.functions.ordered import null_safe_join
+from loanloom.functions.shared import materialise
+
 from loanloom.operators.features import (
     PeerBenchmarks,
     final_model_features,
@@ -123,3 +127,45 @@ def test_benchmarks_join_by_broadcast_when_small_and_by_shuffle_when_not(spark,
         assert joins() == (0, 3)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def _lookup_case(spark, n=40_000):
+    """Half of the loans have one amount, half of the rest none."""
+    amount = F.when(F.col("loan_id") % 2 == 0, 5000.0).when(F.col("loan_id") % 8 > 4, 1000.0 + F.col("loan_id") % 3000)
+    return spark.range(n).withColumnRenamed("id", "loan_id").select(
+        "loan_id", F.lit("A").alias("grade"), amount.cast("decimal(12,2)").alias("loan_amount"), F.expr("concat('text ', loan_id)").alias("text")
+    )
+
+
+def test_hot_keys_are_dealt_out_without_adaptive_execution(spark):
+    rows, keys = _lookup_case(spark), ["grade", "loan_amount"]
+    counts = materialise(rows.groupBy(*keys).agg(F.count("*").alias("n")))
+    small = materialise(counts.select(*keys, (F.col("n") * 2).alias("twice")))
+    hot = hot_keys(counts, keys, F.lit(rows.count()))
+    salts = {r[0]: r[1] for r in counts.select("loan_amount", hot).collect()}
+    assert salts[5000] == PIECES * 4 and salts[None] == PIECES * 2 and {v for k, v in salts.items() if k not in (5000, None)} == {1}
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        joined = salted_lookup(rows, small, keys, hot_keys(counts, keys, F.lit(40_000)))
+        assert joined.columns == [*rows.columns, "twice"]
+        per_task = sorted(r["count"] for r in joined.groupBy(F.spark_partition_id().alias("task")).count().collect())
+        assert len(per_task) == 16 and per_task[-1] <= 2 * per_task[len(per_task) // 2], per_task
+        plain = null_safe_join(rows, small, keys, "left")
+        uneven = sorted(r["count"] for r in plain.groupBy(F.spark_partition_id().alias("task")).count().collect())
+        assert uneven[-1] > 20_000  # what the same join does without salts
+        assert sorted(map(tuple, joined.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_lookup_of_no_rows_and_without_hot_keys(spark):
+    rows, keys = _lookup_case(spark, 50).filter("loan_id % 2 = 1"), ["grade", "loan_amount"]
+    counts = materialise(rows.groupBy(*keys).agg(F.count("*").alias("n")))
+    hot = hot_keys(counts, keys, F.lit(10_000_000))
+    assert hot is None
+    assert salted_lookup(rows, counts, keys, hot).agg(F.sum("n")).first()[0] == 12 + 13 * 13
+    assert salted_lookup(rows.limit(0), counts, keys, hot).count() == 0

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import logging
 from collections import Counter
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from itertools import accumulate
 from math import log
 from typing import NamedTuple
@@ -226,31 +226,74 @@ def _rate(posterior: Column, steps: tuple[tuple[float, ...], ...]) -> Column:
     return F.aggregate(F.transform(moves, lambda m: F.split(m, ",").cast("array<double>")), F.lit(1.0), step)
 
 
+#: What a step's sums are: squared rates, domain tokens, and products of posteriors over documents of positive rate.
+Sums = Callable[[tuple[tuple[float, ...], ...], np.ndarray], tuple[float, np.ndarray, np.ndarray]]
+
+
+def descend(
+    sums: Sums,
+    target: np.ndarray,
+    tokens: float,
+    tolerance: float = 1e-4,
+    length: float = 1e6,
+    most_steps: int = 12,
+    most_newton: int = 60,
+) -> tuple[tuple[tuple[float, ...], ...], np.ndarray]:
+    """Projected gradient steps to the least squares of domain tokens against ``target``; (steps, tokens reached).
+
+    ``sums`` are taken over all documents, after the given steps and one more by ``nu``. A step has its gradient
+    taken at its end, so that it may be of any ``length``: the multipliers of the posteriors that it moves by make a
+    convex function of as many variables as there are domains least, which Newton's method does. Ends when the
+    targets are met within ``tolerance`` of their total, when a step changes nothing, or after ``most_steps``.
+    """
+    size = tolerance * target.sum()
+
+    def at(nu: np.ndarray) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
+        square, reached, products = sums(steps, nu)
+        value = nu @ nu / (2 * length) + nu @ target / tokens + square / (2 * tokens)
+        return value, nu / length + (target - reached) / tokens, np.eye(len(nu)) / length + products / tokens, reached
+
+    steps: tuple[tuple[float, ...], ...] = ()
+    before = None
+    while True:
+        nu = np.zeros(len(target))
+        value, slope, curvature, reached = at(nu)
+        still = before is not None and np.abs(reached - before).max() <= size / 10
+        if np.abs(reached - target).max() <= size or still or len(steps) >= most_steps:
+            return steps, reached
+        before = reached
+        for _ in range(most_newton):
+            if np.abs(slope).max() <= tolerance * 1e-4:
+                break
+            newton, part = -np.linalg.solve(curvature, slope), 1.0
+            found = at(newton + nu)
+            while found[0] > value + 1e-4 * part * (slope @ newton) and part > 1e-6:
+                part /= 2
+                found = at(nu + part * newton)
+            if part <= 1e-6:  # as near as rounding lets it come
+                break
+            nu = nu + part * newton
+            value, slope, curvature, _ = found
+        steps = (*steps, tuple(map(float, nu)))
+
+
 def fit_mix(
     read: DataFrame,
     domains: tuple[str, ...],
     weights: dict[str, float],
     total: float | None = None,
     tolerance: float = 1e-4,
-    length: float = 1e4,
 ) -> Mix:
-    """Rates for documents ``posterior, tokens`` whose expected domain tokens meet ``weights`` times ``total``.
-
-    The default total is the least at which no domain of positive weight has to shrink. In the metric of token
-    counts the gradient of a document depends on its posterior alone; a domain's squared error is weighted by the
-    inverse of its own curvature, which makes domains of any size converge alike. A step is a projected gradient step
-    of ``length`` with the gradient taken at its end, so that it may be long: Newton's method finds the multipliers
-    of the posteriors that it moves by. Ends when all domains are within ``tolerance`` of the total, or when the
-    projected gradient is below ``tolerance``, which is the least squares of targets that no nonnegative rates meet.
-    What is reached is logged, as a warning if a target is missed.
+    """Nonnegative rates for documents ``posterior, tokens`` whose expected domain tokens come nearest, by least
+    squares, to ``weights`` times ``total``.
+
+    The default total is the least at which no domain of positive weight has to shrink. Targets that no rates meet
+    end at the nearest reachable totals, which are no further off than no mix at all; what is reached is returned,
+    and logged as a warning if a target is missed.
     """
     k = len(domains)
     p = [F.col("posterior")[i] for i in range(k)]
-    moments = read.agg(
-        *[F.sum(F.col("tokens") * p[i]).alias(f"s{i}") for i in range(k)],
-        *[F.sum(F.col("tokens") * p[i] * p[j]).alias(f"m{i}_{j}") for i in range(k) for j in range(k)],
-    ).first() if k else None
-    native = [moments[f"s{i}"] or 0.0 for i in range(k)] if k else []
+    native = [x or 0.0 for x in read.agg(*[F.sum(F.col("tokens") * p[i]) for i in range(k)]).first()] if k else []
     tokens = sum(native)
     if not tokens:
         return Mix((), (0.0,) * k, (0.0,) * k)
@@ -258,52 +301,23 @@ def fit_mix(
     share = [w / sum(share) for w in share] if sum(share) else [n / tokens for n in native]
     total = total or max(n / w for n, w in zip(native, share) if w > 0)
     targets = [w * total for w in share]
-    curve = [[moments[f"m{i}_{j}"] / tokens for j in range(k)] for i in range(k)]
-    weight = [1.0 / (curve[i][i] + 1e-3) for i in range(k)]
-    target, scale = np.array(targets), np.array(weight)
     pairs = [(i, j) for i in range(k) for j in range(i, k)]
-    posterior, rate, move = F.col("posterior"), F.col("rate"), F.col("move")
-
-    def at(steps: tuple[tuple[float, ...], ...], nu: np.ndarray) -> tuple[float, np.ndarray, np.ndarray, np.ndarray, float]:
-        """After a step by ``nu``: what Newton's method makes least, its gradient and curvature, the domain tokens
-        and the projected gradient."""
-        pull = F.aggregate(F.zip_with(_numbers(tuple(map(float, nu))), posterior, lambda g, x: g * x), F.lit(0.0), lambda a, x: a + x)
-        moved = read.select("posterior", "tokens", _rate(posterior, (*steps, tuple(map(float, nu)))).alias("rate"), pull.alias("move"))
-        t, moves = F.col("tokens"), (rate > 0) | (move < 0)
-        sums = moved.agg(
-            F.sum(t * rate * rate), F.sum(F.when(moves, t * move * move)),
-            *[F.sum(t * rate * p[i]) for i in range(k)], *[F.sum(F.when(rate > 0, t * p[i] * p[j])) for i, j in pairs],
+
+    def sums(steps: tuple[tuple[float, ...], ...], nu: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        rate, t = F.col("rate"), F.col("tokens")
+        moved = read.select("posterior", "tokens", _rate(F.col("posterior"), (*steps, tuple(map(float, nu)))).alias("rate"))
+        square, *rest = moved.agg(
+            F.sum(t * rate * rate), *[F.sum(t * rate * p[i]) for i in range(k)],
+            *[F.sum(F.when(rate > 0, t * p[i] * p[j])) for i, j in pairs],
         ).first()
-        square, gradient, *rest = [float(x or 0.0) for x in sums]
-        reached, curvature = np.array(rest[:k]), np.diag(1 / scale / length)
+        rest = [float(x or 0.0) for x in rest]
+        products = np.zeros((k, k))
         for (i, j), x in zip(pairs, rest[k:]):
-            curvature[i, j] += x / tokens
-            curvature[j, i] = curvature[i, j]
-        value = (nu**2 / scale).sum() / (2 * length) + nu @ target / tokens + square / (2 * tokens)
-        return value, nu / scale / length + (target - reached) / tokens, curvature, reached, (gradient / tokens) ** 0.5 / length
+            products[i, j] = products[j, i] = x
+        return float(square or 0.0), np.array(rest[:k]), products
 
-    steps: tuple[tuple[float, ...], ...] = ()
-    reached, optimal, before = np.array(native), False, float("inf")
-    while not optimal and np.abs(reached - target).max() > tolerance * total:
-        nu = np.zeros(k)
-        value, slope, curvature, reached, pulled = at(steps, nu)
-        while (slope**2 * scale).sum() ** 0.5 > tolerance / 100:
-            newton, part = -np.linalg.solve(curvature, slope), 1.0
-            found = at(steps, nu + newton)
-            while found[0] > value + 1e-4 * part * (slope @ newton) + 1e-12 * abs(value) and part > 1e-6:
-                part /= 2
-                found = at(steps, nu + part * newton)
-            if part <= 1e-6:
-                break
-            nu = nu + part * newton
-            value, slope, curvature, reached, pulled = found
-        steps = (*steps, tuple(map(float, nu)))
-        optimal = pulled <= tolerance
-        if not optimal and pulled >= before:
-            log_of_fit.warning("the fit of the mix ended at a projected gradient of %g", pulled)
-            break
-        before = pulled
-    missed = np.abs(reached - target).max() > tolerance * total
+    steps, reached = descend(sums, np.array(targets), tokens, tolerance)
+    missed = np.abs(reached - targets).max() > tolerance * total
     told = ", ".join(f"{d} {r:.0f} of {t:.0f}" for d, r, t in zip(domains, reached, targets))
     log_of_fit.log(logging.WARNING if missed else logging.INFO, "tokens reached of target: %s", told)
     return Mix(steps, tuple(targets), tuple(map(float, reached)))
@@ -317,7 +331,8 @@ def mixed_rates(
     keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """The columns ``keep`` of ``docs`` (all by default) with a struct ``mix``: ``tokens`` (words), ``domain`` (the
-    likeliest), ``posterior`` (a map), ``rate`` and ``copies``.
+    likeliest), ``posterior`` (a map), ``rate``, ``copies``, and ``target`` and ``reached``, the expected tokens of
+    that domain in the whole mix as they are wanted and as the rates give them.
 
     ``copies`` is the rate, rounded up with the probability of its fraction by a hash of the id, and at least one
     for documents whose likeliest domain has a positive weight, so that mixing drops none of those. Null and
@@ -338,6 +353,8 @@ def mixed_rates(
             none.alias("posterior"),
             F.lit(1.0).alias("rate"),
             F.lit(1).alias("copies"),
+            F.lit(None).cast("double").alias("target"),
+            F.lit(None).cast("double").alias("reached"),
         )
         return docs.select(*[F.col(f"`{c}`") for c in kept], mix.alias("mix"))
     row = F.struct("doc_id", *[F.col(f"`{c}`") for c in kept if c != "doc_id"]).alias("row")
@@ -357,13 +374,19 @@ def mixed_rates(
             F.map_from_arrays(names, p).alias("posterior"),
             rate.alias("rate"),
             F.greatest(keep_one, F.floor(rate + chance).cast("int")).alias("copies"),
+            F.get(_numbers(fitted.targets), best).alias("target"),
+            F.get(_numbers(fitted.reached), best).alias("reached"),
         ),
     )
     return read.select(*[F.col("row")[c].alias(c) for c in kept], mix.alias("mix"))
 
 
 def repeated(docs: DataFrame, labels: DataFrame, weights: dict[str, float], **how: float) -> DataFrame:
-    """The rows of ``docs`` as often as their ``copies`` say, with their own columns."""
+    """The rows of ``docs`` as often as their ``copies`` say, with their own columns.
+
+    Nulls and empty texts are treated as ``mixed_rates`` says; repeated rows, being equal, are repeated alike; an empty
+    table stays empty. Targets that cannot be met give the nearest mix, never more than a corpus of about their total.
+    """
     plain = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("source_row"))
     mixed = mixed_rates(plain, labels, weights, keep=["doc_id", "source_row"], **how)
     return mixed.select("source_row", F.explode(F.array_repeat(F.lit(0), F.col("mix")["copies"]))).select("source_row.*")

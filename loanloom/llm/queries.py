@@ -50,6 +50,7 @@ def op3_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", m["tokens"].alias("n_tokens"), m["domain"].alias("domain"),
         *[F.coalesce(p[d], F.lit(0.0)).alias(f"p_{d}") for d in MIX],
         m["rate"].alias("rate"), m["copies"].alias("copies"),
+        m["target"].alias("domain_target"), m["reached"].alias("domain_reached"),
     )
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -56,6 +57,83 @@ def test_rates_reach_given_totals(spark):
     assert mixing.fit_mix(read.limit(0), ("a", "b"), {"a": 1.0}).steps == ()
 
 
+def nonnegative_least_squares(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The active-set method: variables enter by their gradient and leave where they would turn negative."""
+    x, free = np.zeros(a.shape[1]), np.zeros(a.shape[1], bool)
+    while True:
+        gradient = a.T @ (b - a @ x)
+        gradient[free] = -np.inf
+        if free.all() or gradient.max() <= 1e-12 * np.abs(a.T @ b).max():
+            return x
+        free[gradient.argmax()] = True
+        while True:
+            z = np.zeros_like(x)
+            z[free] = np.linalg.lstsq(a[:, free], b, rcond=None)[0]
+            if (z[free] > 1e-14).all():
+                x = z
+                break
+            low = free & (z <= 1e-14)
+            x = x + min(x[low] / (x[low] - z[low])) * (z - x)
+            free &= x > 1e-14
+
+
+def mixing_case(draw: random.Random) -> tuple[list[list[float]], list[int], list[float], float]:
+    """Posteriors, tokens, wanted shares and total; some domains are rare, some wanted beyond reach."""
+    k, n = draw.choice((2, 3)), draw.randint(2, 9)
+    sharp, rare = draw.choice((0.3, 1, 3)), [1.0, 1.0, draw.choice((0.01, 0.2, 1))]
+    raw = [[rare[d] * draw.random() ** sharp + 1e-3 for d in range(k)] for _ in range(n)]
+    share = [draw.random() if draw.random() < 0.8 else 0.0 for _ in range(k)]
+    share[0] += 0.01
+    return [[x / sum(r) for x in r] for r in raw], [draw.randint(1, 400) for _ in range(n)], [x / sum(share) for x in share], draw.choice((200.0, 1000.0, 5000.0))
+
+
+def test_steps_lead_to_nonnegative_least_squares():
+    draw, unmet = random.Random(8), 0
+    for _ in range(200):
+        posterior, tokens, share, total = mixing_case(draw)
+        p, t, target = np.array(posterior), np.array(tokens, float), np.array(share) * total
+
+        def sums(steps, nu):
+            rate = np.ones(len(t))
+            for step in (*steps, nu):
+                rate = np.maximum(0.0, rate - p @ np.array(step))
+            on = rate > 0
+            return (t * rate**2).sum(), (t * rate) @ p, (p[on] * t[on, None]).T @ p[on]
+
+        _, reached = mixing.descend(sums, target, t.sum())
+        a = (p * t[:, None]).T
+        best = a @ nonnegative_least_squares(a, target)
+        unmet += np.abs(best - target).max() > 1e-3 * total
+        off, least = np.square(reached - target).sum() ** 0.5, np.square(best - target).sum() ** 0.5
+        assert off <= least + 2e-3 * total, (posterior, tokens, share, total, reached, best)
+        assert np.abs(reached - best).max() <= 2e-2 * total
+    assert unmet > 40
+
+
+def test_a_target_beyond_reach_gives_the_nearest_mix(spark):
+    draw = random.Random(9)
+    for _ in range(4):
+        posterior, tokens, share, total = mixing_case(draw)
+        names = ("a", "b", "c")[: len(share)]
+        read = spark.createDataFrame(list(zip(posterior, tokens)), "posterior array<double>, tokens long")
+        fit = mixing.fit_mix(read, names, dict(zip(names, share)), total=total)
+        a = (np.array(posterior) * np.array(tokens, float)[:, None]).T
+        best = a @ nonnegative_least_squares(a, np.array(share) * total)
+        assert np.abs(np.array(fit.reached) - best).max() <= 2e-2 * total
+    # A domain of almost no tokens is wanted by most: no corpus of many times the wanted size comes out.
+    rows = [([0.98, 0.0198, 0.0002], 100)] * 490 + [([0.5, 0.49, 0.01], 100)] * 10
+    fit = mixing.fit_mix(spark.createDataFrame(rows, "posterior array<double>, tokens long"), ("a", "b", "c"), {"a": 0.05, "b": 0.05, "c": 0.9})
+    assert sum(fit.reached) <= 1.5 * sum(fit.targets) and fit.reached[2] < 0.5 * fit.targets[2]
+
+
+def test_equal_posteriors_get_equal_rates_and_ties_a_domain(spark):
+    docs = table_of(spark, [(i, "", "en", "a", 0) for i in range(6)] + [(9, "green river stone", "en", "a", 1)])
+    known = spark.createDataFrame([(0, "x"), (1, "y"), (2, "x"), (3, "y")], "doc_id long, domain string")
+    rows = mixing.mixed_rates(docs, known, {"x": 0.5, "y": 0.5}).collect()
+    empty = [r["mix"] for r in rows if r["doc_id"] < 9]
+    assert len({(m["domain"], m["rate"], tuple(sorted(m["posterior"].items()))) for m in empty}) == 1
+
+
 def test_rates_have_no_upper_bound_and_unmet_targets_show(spark, caplog):
     schema = "posterior array<double>, tokens long"
     rare = spark.createDataFrame([([0.97, 0.02, 0.01], 100)] * 95 + [([0.1, 0.88, 0.02], 100)] * 2 + [([0.2, 0.0, 0.8], 100)] * 3, schema)

@@ -290,3 +290,20 @@ def test_pipeline_stages(spark, tmp_path):
     again = corpus_pipeline.run(spark, str(tmp_path))
     assert {r["doc_id"] for r in again.select("doc_id").collect()} == kept[4]
     assert rows_of(again.groupBy("doc_id").agg(F.sum("length"))) == rows_of(read.groupBy("doc_id").agg(F.sum("length")))
+
+
+def test_pipeline_over_an_empty_table(spark, tmp_path):
+    table_of(spark, []).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], LABELS).write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, str(tmp_path)).count() == 0
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_pipeline_of_awkward_rows(spark, tmp_path):
+    blanks = prose(60, 4) + " " * 600_000 + prose(60, 5)
+    table_of(spark, [*awkward_rows(), (50, blanks, "en", "a", 1), (51, "\n" * 600_000, None, None, None)]).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(3, 1, 0), (7, 1, 0), (None, None, None)], LABELS).write.parquet(f"{tmp_path}/labels.parquet")
+    kept = {r["doc_id"] for r in corpus_pipeline.run(spark, str(tmp_path)).select("doc_id").collect()}
+    assert {3, 7, 50} <= kept and not kept & {0, 1, 2, 4, 51}

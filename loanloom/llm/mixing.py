@@ -235,7 +235,7 @@ def descend(
     target: np.ndarray,
     tokens: float,
     tolerance: float = 1e-4,
-    length: float = 1e6,
+    length: float = 1e7,
     most_steps: int = 12,
     most_newton: int = 60,
 ) -> tuple[tuple[tuple[float, ...], ...], np.ndarray]:

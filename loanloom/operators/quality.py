@@ -74,6 +74,9 @@ def group_rare(
     )
 
 
+_USABLE, _KEPT = "__usable", "__kept"
+
+
 def clean(
     df: DataFrame, income_quantile: float = 0.99, max_dti: float = 100, min_purpose: int = 200
 ) -> tuple[DataFrame, DataFrame]:
@@ -81,8 +84,8 @@ def clean(
 
     Missing employment length becomes 0; rows without usable income or with a
     placeholder dti go; income is capped; the loan/income ratio is recomputed;
-    rare purposes become "other". The cap, the rare purposes and every count of
-    the report come from one pass over ``df``.
+    rare purposes become "other". ``df`` is evaluated once, into a stored table of its rows with the verdicts on
+    them; the cap, the rare purposes, every count of the report and the result are read off that.
     """
     filled = df.fillna(0, subset=["employment_length"])
     usable = F.coalesce(
@@ -90,16 +93,13 @@ def clean(
         F.lit(False),
     )
     real_dti = F.coalesce(F.col("dti") < max_dti, F.lit(False))
+    stored = materialise(filled.withColumns({_USABLE: usable, _KEPT: usable & real_dti}))
 
     # Rows per (kept, income), per (kept, purpose) and per reason for dropping.
     profile = materialise(
-        filled.select("annual_income", "purpose", usable.alias("usable"), (usable & real_dti).alias("kept"))
+        stored.select("annual_income", "purpose", _USABLE, _KEPT)
         .groupingSets(
-            [["kept", "annual_income"], ["kept", "purpose"], ["usable", "kept"]],
-            "annual_income",
-            "purpose",
-            "usable",
-            "kept",
+            [[_KEPT, "annual_income"], [_KEPT, "purpose"], [_USABLE, _KEPT]], "annual_income", "purpose", _USABLE, _KEPT
         )
         .agg(
             F.count("*").alias("n"),
@@ -107,10 +107,9 @@ def clean(
             F.grouping("purpose").alias("not_purpose"),
         )
     )
-    incomes = profile.filter("not_income = 0 and kept").select("annual_income", "n")
-    purposes = profile.filter("not_purpose = 0 and kept").select("purpose", "n")
+    incomes = profile.filter(F.col(_KEPT) & (F.col("not_income") == 0)).select("annual_income", "n")
+    purposes = profile.filter(F.col(_KEPT) & (F.col("not_purpose") == 0)).select("purpose", "n")
     reasons = profile.filter("not_income = 1 and not_purpose = 1")
-
     cut = materialise(
         quantiles_of_counts(incomes, "annual_income", [income_quantile], money_bucket(F.col("annual_income")))
     )
@@ -118,8 +117,8 @@ def clean(
     rare = materialise(purposes.filter((F.col("n") < min_purpose) & F.col("purpose").isNotNull()))
 
     capped = clip(F.col("annual_income").cast("double"), upper=cap)
-    cleaned = filled.filter(usable & real_dti).withColumn("annual_income", capped)
     ratio = loan_to_income(F.col("loan_amount"), F.col("annual_income"))
+    cleaned = stored.filter(_KEPT).drop(_USABLE, _KEPT).withColumn("annual_income", capped)
     cleaned = group_rare(cleaned.withColumn("loan_to_income_ratio", ratio), "purpose", min_purpose, rare=rare)
 
     def rows(condition: Column) -> Column:
@@ -129,8 +128,8 @@ def clean(
     n_regrouped = rare.agg(rows(F.lit(True)).alias("n"))
     report = reasons.agg(
         rows(F.lit(True)).alias("n_input"),
-        rows(~F.col("usable")).alias("n_dropped_income"),
-        rows(F.col("usable") & ~F.col("kept")).alias("n_dropped_dti"),
+        rows(~F.col(_USABLE)).alias("n_dropped_income"),
+        rows(F.col(_USABLE) & ~F.col(_KEPT)).alias("n_dropped_dti"),
     ).select(
         "*",
         n_capped.scalar().alias("n_capped"),

@@ -77,3 +77,28 @@ def test_rates_outside_the_grade_are_flagged(spark):
     assert sorted((r.grade, r.out_of_distribution) for r in flag_ood(loans, ranges).collect()) == [
         ("A", 0), ("A", 1), ("Q", 1),
     ]
+
+
+def _counting(spark, df):
+    """``df`` whose evaluated rows are counted."""
+    passes = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def seen(x):
+        passes.add(1)
+        return x
+
+    return df.withColumn("loan_id", seen("loan_id")), passes
+
+
+def test_cleaning_evaluates_its_input_once(spark):
+    rows = [(i, 1000.0 + i, 500.0 * (i % 7), float(i % 130), 0.1, None if i % 5 else 3, "car" if i % 3 else "boat", i % 2) for i in range(300)]
+    df = spark.createDataFrame(rows, "loan_id long, loan_amount double, annual_income double, dti double, loan_to_income_ratio double, employment_length int, purpose string, default_flag int")
+    counted, passes = _counting(spark, df)
+    cleaned, report = clean(counted, min_purpose=50)
+    kept, told = cleaned.select("loan_id").collect(), report.first()
+    assert passes.value == 300
+    usable = [r for r in rows if r[2] > 0]
+    assert told.n_input == 300 and told.n_dropped_income == 300 - len(usable)
+    assert told.n_dropped_dti == sum(r[3] >= 100 for r in usable) and len(kept) == len(usable) - told.n_dropped_dti
+

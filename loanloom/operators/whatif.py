@@ -1,14 +1,14 @@
-"""Scoring of tables of hypothetical loans against the existing book."""
+"""Scoring of tables of hypothetical loans against the existing book, and the same view of stored loans."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanloom.functions.columns import safe_ratio
 from loanloom.functions.ordered import money_bucket, null_safe_join, positions
 from loanloom.functions.shared import materialise
-from loanloom.operators.decision import LGD, assign_tier
+from loanloom.operators.decision import LGD, assign_tier, class_decision
 from loanloom.operators.explain import driver_breakdown, increasing_drivers, named_values, shap_values
 from loanloom.operators.features import loan_to_income
 from loanloom.operators.model import RiskModel, score
@@ -82,21 +82,49 @@ def hypothetical_features(hyp: DataFrame, loans: DataFrame) -> DataFrame:
     )
 
 
-def score_hypotheticals(hyp: DataFrame, loans: DataFrame, model: RiskModel, lgd: float = LGD) -> DataFrame:
-    """PD, one-digit score, fixed-cut action, expected loss, drivers and the out-of-distribution flag."""
-    scored = assign_tier(score(model, hypothetical_features(hyp, loans)), mode="fixed")
+def _explained(scored: DataFrame, model: RiskModel, lgd: float) -> dict[str, Column]:
+    """What is told of a scored loan: PD, one-digit score, action, expected loss, reasons and drivers."""
     pd = F.col("probability_of_default")
-    explained = shap_values(model, scored)
     pairs = named_values(F.col("shap"), model.names)
-    return explained.select(
+    return {
+        "probability_of_default": pd,
+        "risk_score": F.bround(pd * 100, 1),
+        "recommended_action": F.col("recommended_action"),
+        "expected_loss": pd * F.lit(lgd) * F.col("loan_amount").cast("double"),
+        "reasons": increasing_drivers(pairs),
+        "drivers": driver_breakdown(pairs),
+    }
+
+
+def explain_loans(rows: DataFrame, model: RiskModel, wanted: DataFrame | None = None, lgd: float = LGD) -> DataFrame:
+    """Stored loans as a reviewer sees them: score, fixed-cut action, reasons and drivers next to the actual outcome.
+
+    ``rows`` is the model table; ``wanted`` (``loan_id``) narrows it to some loans before anything is scored. The
+    outcome is told beside the decision at 0.5, and whether they agree; an unknown outcome agrees with nothing.
+    """
+    if wanted is not None:
+        rows = rows.join(wanted.select("loan_id").distinct(), "loan_id", "left_semi")
+    scored = shap_values(model, assign_tier(score(model, rows), mode="fixed"))
+    decided = class_decision(F.col("probability_of_default"))
+    return scored.select(
+        "loan_id",
+        "loan_amount",
+        "grade",
+        "purpose",
+        *[c.alias(name) for name, c in _explained(scored, model, lgd).items()],
+        decided.alias("predicted_default"),
+        F.col("default_flag").alias("actual_default"),
+        (decided == F.col("default_flag")).alias("agrees"),
+    )
+
+
+def score_hypotheticals(hyp: DataFrame, loans: DataFrame, model: RiskModel, lgd: float = LGD) -> DataFrame:
+    """PD, one-digit score, fixed-cut action, expected loss, drivers and the out-of-distribution flag."""
+    scored = shap_values(model, assign_tier(score(model, hypothetical_features(hyp, loans)), mode="fixed"))
+    return scored.select(
         *hyp.columns,
         "out_of_distribution",
         "min_rate",
         "max_rate",
-        pd,
-        F.bround(pd * 100, 1).alias("risk_score"),
-        "recommended_action",
-        (pd * F.lit(lgd) * F.col("loan_amount").cast("double")).alias("expected_loss"),
-        increasing_drivers(pairs).alias("reasons"),
-        driver_breakdown(pairs).alias("drivers"),
+        *[c.alias(name) for name, c in _explained(scored, model, lgd).items()],
     )

@@ -1229,6 +1229,38 @@ def hypothetical_scores_check(spark, d):
     )
 
 
+def _explained_loans(spark, d):
+    """The loans of grade G, one by one."""
+    rows = _stratified_table(spark, d)
+    return whatif.explain_loans(rows, _model(spark, d), rows.filter("grade = 'G'"))
+
+
+@query
+def explained_loans(spark, d):
+    return _explained_loans(spark, d).select(
+        "loan_id", "probability_of_default", "risk_score", "recommended_action", "expected_loss",
+        F.array_join("reasons", "; ").alias("reasons"), F.element_at("drivers", 1)["driver"].alias("main_driver"),
+        "predicted_default", "actual_default",
+    )
+
+
+@query
+def explained_loans_check(spark, d):
+    """Explained loans, defaults among them, and those whose parts contradict each other."""
+    rows = _explained_loans(spark, d)
+    pd = F.col("probability_of_default")
+    wrong = (
+        (F.abs(F.col("expected_loss") - pd * 0.45 * F.col("loan_amount").cast("double")) > 1e-6)
+        | ~F.size("reasons").between(1, 3)
+        | (F.size("drivers") != 5)
+        | (F.col("predicted_default") != (pd > 0.5).cast("int"))
+        | (F.col("agrees") != (F.col("predicted_default") == F.col("actual_default")))
+    )
+    return rows.agg(
+        F.count("*").alias("n_loans"), F.sum("actual_default").alias("n_defaults"), F.count_if(F.coalesce(wrong, F.lit(True))).alias("n_violations")
+    )
+
+
 @query
 def shap_importance(spark, d):
     model = _model(spark, d)

@@ -104,8 +104,6 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged
 """.format(stop_words=", ".join(f"'{w}'" for w in STOP_WORDS))
 
-_LETTERS = "[a-z" + "".join(map(chr, (0xC0, ord("-"), 0xFF))) + "]+"
-
 # The check sum goes byte by byte through its table of 256 remainders, made by its rule.
 ORACLE["op11_spelling_variants"] = """
 WITH RECURSIVE remainders AS (
@@ -157,7 +155,7 @@ led(word, here) AS (
 ),
 roots AS (SELECT led.word, led.here AS root FROM led JOIN judged ON judged.word = led.here WHERE judged.form IS NULL)
 SELECT judged.word, form, root, n, n_near, form_n FROM judged JOIN roots ON roots.word = judged.word
-""".format(letters=_LETTERS)
+""".format(letters="[a-zÀ-ÿ]+")
 
 
 def _merkle_sql(levels: int = 6, crown: int = 4) -> str:

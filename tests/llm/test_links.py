@@ -190,3 +190,15 @@ def test_one_row_of_each_group_stays_whatever_its_id(spark):
     assert kept.columns == docs.columns
     got = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=repr)
     assert got == sorted([(None, texts[0]), (None, texts[1]), (7, texts[2]), (3, texts[3])], key=repr)
+
+
+def test_vectors_with_columns_of_clashing_names(spark):
+    draw = np.random.default_rng(3)
+    vectors = draw.normal(size=(40, 8)).astype(float)
+    vectors[20:] = vectors[:20] + 0.01 * draw.normal(size=(20, 8))
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)] + [(50, None), (51, []), (None, vectors[0].tolist())]
+    plain = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    clash = clashing(plain)
+    for name in ("a", "b", "other", "cell", "least", "n_links", "component_id", "kept", "label"):
+        clash = clash.selectExpr("*", f"'clash' AS {name}")
+    assert rows_of(embedding_join.near_vectors(clash)) == rows_of(embedding_join.near_vectors(plain))

@@ -307,3 +307,13 @@ def test_pipeline_of_awkward_rows(spark, tmp_path):
     spark.createDataFrame([(3, 1, 0), (7, 1, 0), (None, None, None)], LABELS).write.parquet(f"{tmp_path}/labels.parquet")
     kept = {r["doc_id"] for r in corpus_pipeline.run(spark, str(tmp_path)).select("doc_id").collect()}
     assert {3, 7, 50} <= kept and not kept & {0, 1, 2, 4, 51}
+
+
+def test_pages_with_columns_of_clashing_names(spark):
+    rows = [(i, f"http://h{i % 3}.net/{('en', 'es')[i % 2]}/{i}") for i in range(30)] + [(99, None), (None, "x"), (5, "http://h2.net/es/5")]
+    plain = spark.createDataFrame(rows, "page_id long, url string")
+    clash = clashing(plain)
+    for name in ("path", "rule", "verdict", "template", "purity", "segments", "parent", "n", "blocked"):
+        clash = clash.selectExpr("*", f"'clash' AS {name}")
+    judged = url_templates.judge_urls(plain)
+    assert rows_of(url_templates.judge_urls(clash).select(*judged.columns)) == rows_of(judged)

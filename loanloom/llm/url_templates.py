@@ -155,15 +155,18 @@ def judge_urls(
     A rule decides the pages that it fits. All others get the verdict of their path template: blocked if its
     smoothed share of blocked labelled pages, (blocked + w * prior) / (labelled + w) with the share over all
     labelled pages as the prior (held below ``threshold``), exceeds ``threshold``. Labelled pages are those that a
-    rule decides and those in ``labels`` (``page_id, blocked``, one row per page), which override the rule as a
-    label. A template without labels is allowed. A null url, or one without ``://``, has an empty host and path
+    rule decides and those in ``labels`` (``page_id, blocked``), which override the rule as a label; of several
+    labels of a page the majority counts, even ones allow it, null ones say nothing. A template without labels is allowed. A null url, or one without ``://``, has an empty host and path
     and so a template of its own; repeated rows are judged alike; an empty table gives an empty result.
     """
     read = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     ruled = apply_rules(read, rules)
     blocked = F.col("ruled") == "block"
     if labels is not None:
-        given = labels.select("page_id", F.col("blocked").cast("boolean").alias("given"))
+        marks = F.col("blocked").cast("boolean")
+        given = labels.groupBy("page_id").agg(
+            F.when(F.count(marks) > 0, 2 * F.count_if(marks) > F.count(marks)).alias("given")
+        )
         ruled = ruled.join(given, "page_id", "left")
         blocked = F.coalesce("given", blocked)
     paths = materialise(

@@ -317,3 +317,13 @@ def test_pages_with_columns_of_clashing_names(spark):
         clash = clash.selectExpr("*", f"'clash' AS {name}")
     judged = url_templates.judge_urls(plain)
     assert rows_of(url_templates.judge_urls(clash).select(*judged.columns)) == rows_of(judged)
+
+
+def test_repeated_labels_repeat_no_page(spark):
+    pages = spark.createDataFrame([(i, f"http://s.org/{('ads', 'news')[i % 2]}/x") for i in range(20)] + [(None, "http://s.org/ads/x")], "page_id long, url string")
+    labels = [(i, i % 2 == 0) for i in range(20)] * 3 + [(0, False), (1, True), (2, None), (None, False), (77, True)]
+    judged = url_templates.judge_urls(pages, labels=spark.createDataFrame(labels, "page_id long, blocked boolean")).collect()
+    assert len(judged) == 21 and {r["verdict"] for r in judged if "ads" in r["path"]} == {"block"}
+    assert {r["verdict"] for r in judged if "news" in r["path"]} == {"allow"}
+    even = spark.createDataFrame([(0, True), (0, False), (1, None)], "page_id long, blocked boolean")
+    assert {r["verdict"] for r in url_templates.judge_urls(pages, labels=even).collect()} == {"allow"}

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import sqrt
+from math import isqrt, sqrt
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.shared import materialise
 from .components import components, join_local
@@ -19,16 +21,28 @@ MARGIN = 1e-4
 LEAF = 512
 
 
-def unit_vectors(rows: DataFrame) -> DataFrame:
-    """``vector, unit, n`` of the distinct vectors that can link: not null, not zero, all components finite."""
-    distinct = rows.groupBy("vector").agg(F.count("*").alias("n"))
-    x = distinct.withColumn("x", F.transform("vector", lambda v: v.cast("double")))
-    finite = F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
-    # The largest component is brought to one, so that squares of very large or small numbers stay in range.
-    x = x.filter(F.coalesce(finite, F.lit(False))).withColumn("top", F.array_max(F.transform("x", F.abs)))
-    x = x.filter("top > 0").withColumn("x", F.transform("x", lambda v: v / F.col("top")))
-    norm = F.sqrt(F.aggregate("x", F.lit(0.0), lambda s, v: s + v * v))
-    return x.withColumn("norm", norm).select("vector", F.transform("x", lambda v: v / F.col("norm")).alias("unit"), "n")
+def _matrix(vectors: pa.Array, dims: int) -> np.ndarray:
+    """Unit vectors as rows; the largest component is brought to one first, so that squares stay in range."""
+    x = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dims)
+    x /= np.abs(x).max(axis=1, keepdims=True)
+    return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+
+
+def linkable(rows: DataFrame) -> DataFrame:
+    """``vector, n, size`` of the distinct vectors that can link: not null, not zero, all components finite."""
+    size = F.when(F.col("vector").isNull(), 0).otherwise(F.size("vector"))
+    distinct = rows.groupBy("vector").agg(F.count("*").alias("n"), size.alias("size"))
+
+    def finite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = batch["size"].to_numpy(zero_copy_only=False)
+            x = batch["vector"].flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            odd = np.bincount(row, ~np.isfinite(x), len(sizes))  # a null component reads as not a number
+            some = np.bincount(row, x != 0, len(sizes))
+            yield batch.filter(pa.array((odd == 0) & (some > 0)))
+
+    return distinct.mapInArrow(finite, distinct.schema)
 
 
 def principal_axes(units: DataFrame, dims: int) -> np.ndarray:
@@ -37,12 +51,12 @@ def principal_axes(units: DataFrame, dims: int) -> np.ndarray:
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, first, second = 0, np.zeros(dims), np.zeros((dims, dims))
         for batch in batches:
-            x = _matrix(batch["unit"], dims)
+            x = _matrix(batch["vector"], dims)
             n, first, second = n + len(x), first + x.sum(axis=0), second + x.T @ x
         values = np.concatenate(([float(n)], first, second.ravel()))
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(values))), pa.array(values)], ["at", "x"])
 
-    parts = units.select("unit").mapInArrow(sums, "at long, x double")
+    parts = units.select("vector").mapInArrow(sums, "at long, x double")
     total = {r["at"]: r["x"] for r in parts.groupBy("at").agg(F.sum("x").alias("x")).collect()}
     values = np.array([total.get(i, 0.0) for i in range(1 + dims + dims * dims)])
     if not values[0]:
@@ -51,23 +65,70 @@ def principal_axes(units: DataFrame, dims: int) -> np.ndarray:
     return np.linalg.eigh(second - np.outer(mean, mean))[1][:, ::-1]
 
 
-def _matrix(column: pa.Array, dims: int) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
-
-
-def in_grid_order(units: DataFrame, axes: np.ndarray, reach: float, order_dims: int) -> DataFrame:
-    """Adds ``place``, the unit vector along the axes, and ``cells``, its grid cells on the leading axes."""
+def in_grid_order(units: DataFrame, axes: np.ndarray, reach: float, names: list[str]) -> DataFrame:
+    """``node, n, vector`` and, under ``names``, the grid cells of the unit vector on the leading axes."""
     dims = len(axes)
+    rows = units.select("node", "n", "vector")
 
-    def turn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = _matrix(batch["unit"], dims) @ axes
-            cells = np.floor(x[:, :order_dims] / reach).astype(np.int32)
+            cell = np.floor(_matrix(batch["vector"], dims) @ axes[:, : len(names)] / reach).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch["node"], batch["n"], pa.array(list(x)), pa.array(list(cells))], ["node", "n", "place", "cells"]
+                [*batch.columns, *[pa.array(np.ascontiguousarray(c)) for c in cell.T]], [*batch.schema.names, *names]
             )
 
-    return units.select("node", "n", "unit").mapInArrow(turn, "node long, n long, place array<double>, cells array<int>")
+    kinds = T.StructType([*rows.schema.fields, *[T.StructField(c, T.IntegerType()) for c in names]])
+    return rows.mapInArrow(cells, kinds)
+
+
+def cut_intervals(ordered: DataFrame, axes: np.ndarray, interval_rows: int, block: int) -> DataFrame:
+    """Stretches of ``interval_rows`` rows of each sorted partition, one row each, with their boxes.
+
+    ``block`` stretches in a row have one number ``block``; vectors are kept as they were given.
+    """
+    dims = len(axes)
+    element = ordered.schema["vector"].dataType.elementType
+
+    def interval(held: list[pa.RecordBatch], part: int, chunk: int) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(held).combine_chunks()
+        vectors = rows["vector"].chunk(0)
+        x = _matrix(vectors, dims) @ axes
+        listed = {
+            "nodes": rows["node"].chunk(0),
+            "weights": rows["n"].chunk(0),
+            "values": vectors.flatten(),
+            "low": pa.array(x.min(axis=0)),
+            "high": pa.array(x.max(axis=0)),
+        }
+        cell = rows["c0"].to_numpy()
+        one = {
+            "block": (part << 32) + chunk // block,
+            "interval": (part << 32) + chunk,
+            "first_cell": int(cell.min()),
+            "last_cell": int(cell.max()),
+        }
+        arrays = [pa.array([v], pa.int32() if "cell" in k else pa.int64()) for k, v in one.items()]
+        arrays += [pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v) for v in listed.values()]
+        return pa.RecordBatch.from_arrays(arrays, [*one, *listed])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, chunk, held, size = TaskContext.get().partitionId(), 0, [], 0
+        for batch in batches:
+            at = 0
+            while at < batch.num_rows:
+                held.append(batch.slice(at, interval_rows - size))
+                at, size = at + held[-1].num_rows, size + held[-1].num_rows
+                if size == interval_rows:
+                    yield interval(held, part, chunk)
+                    chunk, held, size = chunk + 1, [], 0
+        if size:
+            yield interval(held, part, chunk)
+
+    kinds = (
+        "block long, interval long, first_cell int, last_cell int, nodes array<long>, weights array<long>, "
+        f"values array<{element.simpleString()}>, low array<double>, high array<double>"
+    )
+    return ordered.select("node", "n", "vector", "c0").mapInArrow(cut, kinds)
 
 
 class Interval:
@@ -138,17 +199,53 @@ def join_intervals(a: Interval, b: Interval, cosine: float, reach: float) -> tup
     return weight_a, weight_b, label
 
 
+def join_blocks(rows: pa.Table, axes: np.ndarray, cosine: float, reach: float, lead: int) -> pa.Table:
+    """``node, weight, tree`` of the linked rows of a pair of blocks: linked weight and a spanning forest."""
+    dims = len(axes)
+    low, high = rows["p"][0].as_py(), rows["q"][0].as_py()
+    order = np.argsort(rows["interval"].to_numpy(), kind="stable").tolist()
+    edge, parts, nodes, blocks = [0], [], [], rows["block"].to_pylist()
+    for k in order:
+        take = lambda c: rows[c][k].values
+        vectors = pa.FixedSizeListArray.from_arrays(take("values"), dims)
+        parts.append(Interval(_matrix(vectors, dims) @ axes, take("weights").to_numpy(), lead))
+        nodes.append(take("nodes").to_numpy())
+        edge.append(edge[-1] + len(nodes[-1]))
+    weight, lefts, rights = np.zeros(edge[-1], np.int64), [], []
+    for i, a in enumerate(parts):
+        for j in range(i, len(parts)):
+            if (blocks[order[i]], blocks[order[j]]) != (low, high):
+                continue
+            weight_a, weight_b, label = join_intervals(a, parts[j], cosine, reach)
+            weight[edge[i] : edge[i + 1]] += weight_a
+            weight[edge[j] : edge[j + 1]] += weight_b
+            moved = np.flatnonzero(label != np.arange(len(label)))
+            # Local numbers run over the rows of the first interval, then over those of the second.
+            place = np.arange(edge[i], edge[i + 1])
+            if i != j:
+                place = np.concatenate((place, np.arange(edge[j], edge[j + 1])))
+            lefts.append(place[moved])
+            rights.append(place[label[moved]])
+    none, every = np.empty(0, np.int64), np.concatenate(nodes)
+    label = join_local(np.concatenate([none, *lefts]), np.concatenate([none, *rights]), len(every))
+    hit = np.flatnonzero(weight)
+    return pa.table({"node": every[hit], "weight": weight[hit], "tree": every[label[hit]]})
+
+
 def near_vectors(
     rows: DataFrame, cosine: float = 0.9, id_col: str = "vec_id", vector: str = "embedding",
-    interval_rows: int = 4096, order_dims: int = 8, lead: int = 24,
+    interval_rows: int = 4096, order_dims: int = 8, lead: int = 24, max_block: int = 8, max_tasks: int = 20_000,
 ) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` of every row of ``rows``.
 
     Cosine >= c is distance <= sqrt(2 - 2c) between unit vectors. Distinct unit vectors are turned to their
     principal axes (a distance keeps its length), sorted by their grid cells of that width on the leading axes,
     and cut into intervals; every pair of intervals whose boxes are within reach is joined recursively. Equal
-    vectors are one node with a weight, and a pair of intervals gives sums of weights and a spanning tree, so
-    no group of copies is expanded into pairs. Intervals hold ``interval_rows`` rows whatever the data.
+    vectors are one node with a weight, and a pair of blocks gives sums of weights and a spanning forest, so
+    no group of copies is expanded into pairs. Intervals hold ``interval_rows`` rows whatever the data. They are
+    dealt out in pairs of blocks of neighbours, so an interval is copied once per block in reach, not once per
+    interval; a block has about the square root of the number of intervals, and ``max_block`` (at most twice that) at
+    any size.
 
     A vector that is null, zero, of another length than most or with null or non-finite components links with
     nothing and is its own component. A null id keeps its row and counts as a link of others, but names no
@@ -156,46 +253,23 @@ def near_vectors(
     """
     reach = sqrt(2 - 2 * cosine)
     given = rows.select(F.col(id_col).alias("id"), F.col(vector).alias("vector"))
-    units = unit_vectors(given)
-    units = materialise(units.withColumn("node", F.monotonically_increasing_id()))
-    sizes = units.groupBy(F.size("unit").alias("d")).agg(F.count("*").alias("rows")).orderBy(F.desc("rows"), "d").first()
-    dims = sizes["d"] if sizes else 1
-    units = units.filter(F.size("unit") == dims)
+    if not isinstance(given.schema["vector"].dataType.elementType, (T.FloatType, T.DoubleType)):
+        given = given.withColumn("vector", F.col("vector").cast("array<double>"))
+    units = materialise(linkable(given).withColumn("node", F.monotonically_increasing_id()))
+    sizes = units.groupBy("size").agg(F.count("*").alias("rows")).orderBy(F.desc("rows"), "size").first()
+    dims = sizes["size"] if sizes else 1
+    units = units.filter(F.col("size") == dims)
     axes = principal_axes(units, dims)
     lead = min(lead, dims)
-    ordered = in_grid_order(units, axes, reach, min(order_dims, dims))
-    cuts = max(1, -(-(sizes["rows"] if sizes else 0) // interval_rows))
     names = [f"c{k}" for k in range(min(order_dims, dims))]
-    keyed = ordered.select("node", "n", "place", *[F.get("cells", F.lit(k)).alias(c) for k, c in enumerate(names)])
-    ranged = keyed.repartitionByRange(cuts, *names, "node").sortWithinPartitions(*names, "node")
-    sorted_rows = materialise(ranged.withColumn("at", F.monotonically_increasing_id()))
-    # A row's number in the sequence: the rows of the partitions before its own, and its number there.
-    part = F.shiftright("at", 33)
-    before = sorted_rows.groupBy(part.alias("part")).agg(F.count("*").alias("rows"))  # a row for each partition
-    before = before.withColumn("before", F.sum("rows").over(Window.orderBy("part")) - F.col("rows"))
-    number = F.col("before") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
-    staged = (
-        sorted_rows.withColumn("part", part)
-        .join(materialise(before.select("part", "before")), "part")
-        .withColumn("interval", F.floor(number / interval_rows))
-    )
-    grouped = materialise(
-        staged.groupBy("interval").agg(
-            F.sort_array(F.collect_list(F.struct("at", "node", "n", "place"))).alias("rows"),
-            F.min("c0").alias("first_cell"),
-            F.max("c0").alias("last_cell"),
-        ).select(
-            "interval",
-            "first_cell",
-            "last_cell",
-            F.transform("rows", lambda r: r["node"]).alias("nodes"),
-            F.transform("rows", lambda r: r["n"]).alias("weights"),
-            F.flatten(F.transform("rows", lambda r: r["place"])).alias("places"),
-        )
-    )
-    boxes = materialise(_boxes(grouped, dims))
+    intervals = max(1, -(-(sizes["rows"] if sizes else 0) // interval_rows))
+    block = min(max_block, isqrt(intervals))
+    keyed = in_grid_order(units, axes, reach, names)
+    ranged = keyed.repartitionByRange(-(-intervals // block), *names, "node").sortWithinPartitions(*names, "node")
+    grouped = materialise(cut_intervals(ranged, axes, interval_rows, 2 * block))
     # Only intervals in the same or adjoining cells of the first axis can be within reach; there are few cells,
     # since unit vectors lie between -1 and 1.
+    boxes = grouped.drop("nodes", "weights", "values")
     partner = boxes.select(*[F.col(c).alias(f"{c}_b") for c in boxes.columns])
     here = boxes.withColumn("cell", F.explode(F.sequence("first_cell", "last_cell")))
     there = partner.withColumn("cell", F.explode(F.sequence(F.col("first_cell_b") - 1, F.col("last_cell_b") + 1)))
@@ -205,28 +279,15 @@ def near_vectors(
         lambda s, g: s + F.pow(F.greatest(F.lit(0.0), g["low"] - g["high_b"], g["low_b"] - g["high"]), F.lit(2)),
     )
     near = here.join(there, "cell").filter("interval <= interval_b").filter(gap <= (reach + MARGIN) ** 2)
-    pairs = materialise(near.select("interval", "interval_b").distinct())
-    other = grouped.select(*[F.col(c).alias(f"{c}_b") for c in grouped.columns])
-    met = pairs.join(grouped, "interval").join(other, "interval_b")
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                take = lambda c: batch[c][k].values.to_numpy()
-                same = batch["interval"][k].as_py() == batch["interval_b"][k].as_py()
-                a = Interval(take("places").reshape(-1, dims), take("weights"), lead)
-                b = a if same else Interval(take("places_b").reshape(-1, dims), take("weights_b"), lead)
-                weight_a, weight_b, label = join_intervals(a, b, cosine, reach)
-                nodes = take("nodes") if same else np.concatenate((take("nodes"), take("nodes_b")))
-                weight = weight_a + weight_b if same else np.concatenate((weight_a, weight_b))
-                hit = np.flatnonzero(weight)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(nodes[hit]), pa.array(weight[hit]), pa.array(nodes[label[hit]])], ["node", "weight", "tree"]
-                )
-
+    near = near.select(F.col("block").alias("p"), F.col("block_b").alias("q"), F.array("interval", "interval_b").alias("both"))
+    wanted = materialise(near.select("p", "q", F.explode("both").alias("interval")).distinct())
+    # As many tasks as pairs of blocks: their work is in comparing, which sizes in bytes don't tell.
+    tasks = min(max_tasks, max(1, wanted.select("p", "q").distinct().count()))
+    met = wanted.join(grouped.select("block", "interval", "nodes", "weights", "values"), "interval")
     hits = materialise(
-        met.select("interval", "interval_b", "nodes", "nodes_b", "weights", "weights_b", "places", "places_b")
-        .mapInArrow(compare, "node long, weight long, tree long")
+        met.repartition(tasks, "p", "q")
+        .groupBy("p", "q")
+        .applyInArrow(lambda rows: join_blocks(rows, axes, cosine, reach, lead), "node long, weight long, tree long")
     )
     weights = hits.groupBy("node").agg(F.sum("weight").alias("weight"))
     roots = components(hits.select(F.col("node").alias("a"), F.col("tree").alias("b")))
@@ -249,20 +310,3 @@ def near_vectors(
     )
     return out.withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(False)))
 
-
-def _boxes(grouped: DataFrame, dims: int) -> DataFrame:
-    def boxes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            low, high = [], []
-            for rows in batch["places"]:
-                x = rows.values.to_numpy().reshape(-1, dims)
-                low.append(x.min(axis=0).tolist())
-                high.append(x.max(axis=0).tolist())
-            yield pa.RecordBatch.from_arrays(
-                [*[batch[c] for c in kept], pa.array(low, pa.list_(pa.float64())), pa.array(high, pa.list_(pa.float64()))],
-                [*kept, "low", "high"],
-            )
-
-    kept = ["interval", "first_cell", "last_cell"]
-    kinds = "interval long, first_cell int, last_cell int, low array<double>, high array<double>"
-    return grouped.select(*kept, "places").mapInArrow(boxes, kinds)

@@ -94,12 +94,13 @@ def _near(a: np.ndarray, b: np.ndarray, radius: int, same: bool) -> tuple[np.nda
     return np.concatenate(lefts), np.concatenate(rights)
 
 
-def link_codes(codes: DataFrame, radius: int = 3, tile_rows: int = 8192) -> DataFrame:
+def link_codes(codes: DataFrame, radius: int = 3, tile_rows: int = 65_536) -> DataFrame:
     """Links ``a, b`` that join all distinct ``code`` values within ``radius`` bits of each other.
 
     Codes are dealt to classes by the bit counts of their two halves and classes to tiles of about ``tile_rows``;
     only tiles whose counts differ by the radius or less in all are compared, every pair of rows exactly. A pair
-    of tiles gives a spanning tree of its links, so a crowd of near copies doesn't give all its pairs.
+    of tiles gives a spanning tree of its links, so a crowd of near copies doesn't give all its pairs. A tile is
+    copied once per tile it meets, so large ones (half a megabyte) shuffle less; inside, quarters prune again.
     """
     half = [F.bit_count(F.expr(f"(code >> {s}) & 4294967295")).alias(c) for s, c in ((0, "low"), (32, "high"))]
     rows = codes.select("code", *half)
@@ -147,7 +148,7 @@ def link_codes(codes: DataFrame, radius: int = 3, tile_rows: int = 8192) -> Data
     return dealt.mapInArrow(compare, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, radius: int = 3, shingle: int = 3, seed: int = 42, tile_rows: int = 8192) -> DataFrame:
+def near_duplicates(docs: DataFrame, radius: int = 3, shingle: int = 3, seed: int = 42, tile_rows: int = 65_536) -> DataFrame:
     """``doc_id, fingerprint, component_id`` of every row of ``docs``.
 
     Documents link if their fingerprints differ in ``radius`` bits or fewer; ``component_id`` is the smallest

@@ -7,8 +7,9 @@ from math import isqrt, sqrt
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -81,10 +82,10 @@ def in_grid_order(units: DataFrame, axes: np.ndarray, reach: float, names: list[
     return rows.mapInArrow(cells, kinds)
 
 
-def cut_intervals(ordered: DataFrame, axes: np.ndarray, interval_rows: int, block: int) -> DataFrame:
-    """Stretches of ``interval_rows`` rows of each sorted partition, one row each, with their boxes.
+def cut_intervals(ordered: DataFrame, axes: np.ndarray, interval_rows: int) -> DataFrame:
+    """Stretches of up to ``interval_rows`` rows of each sorted partition, one row each, with their boxes.
 
-    ``block`` stretches in a row have one number ``block``; vectors are kept as they were given.
+    Vectors are kept as they were given.
     """
     dims = len(axes)
     element = ordered.schema["vector"].dataType.elementType
@@ -102,8 +103,8 @@ def cut_intervals(ordered: DataFrame, axes: np.ndarray, interval_rows: int, bloc
         }
         cell = rows["c0"].to_numpy()
         one = {
-            "block": (part << 32) + chunk // block,
             "interval": (part << 32) + chunk,
+            "size": len(rows),
             "first_cell": int(cell.min()),
             "last_cell": int(cell.max()),
         }
@@ -125,7 +126,7 @@ def cut_intervals(ordered: DataFrame, axes: np.ndarray, interval_rows: int, bloc
             yield interval(held, part, chunk)
 
     kinds = (
-        "block long, interval long, first_cell int, last_cell int, nodes array<long>, weights array<long>, "
+        "interval long, size long, first_cell int, last_cell int, nodes array<long>, weights array<long>, "
         f"values array<{element.simpleString()}>, low array<double>, high array<double>"
     )
     return ordered.select("node", "n", "vector", "c0").mapInArrow(cut, kinds)
@@ -138,9 +139,13 @@ class Interval:
         self.places, self.weights = places, weights
         rest = np.sqrt(np.maximum(0.0, 1.0 - (places[:, :lead] ** 2).sum(axis=1)))
         self.short = np.hstack((places[:, :lead], rest[:, None])).astype(np.float32)
+        self.boxes: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
 
     def box(self, rows: slice) -> tuple[np.ndarray, np.ndarray]:
-        return self.places[rows].min(axis=0), self.places[rows].max(axis=0)
+        key = (rows.start, rows.stop)
+        if key not in self.boxes:
+            self.boxes[key] = self.places[rows].min(axis=0), self.places[rows].max(axis=0)
+        return self.boxes[key]
 
 
 def _distant(a: Interval, ra: slice, b: Interval, rb: slice, reach: float) -> bool:
@@ -200,36 +205,26 @@ def join_intervals(a: Interval, b: Interval, cosine: float, reach: float) -> tup
 
 
 def join_blocks(rows: pa.Table, axes: np.ndarray, cosine: float, reach: float, lead: int) -> pa.Table:
-    """``node, weight, tree`` of the linked rows of a pair of blocks: linked weight and a spanning forest."""
+    """``node, weight, tree`` of the linked rows of two blocks or of one: linked weight and a spanning forest."""
     dims = len(axes)
-    low, high = rows["p"][0].as_py(), rows["q"][0].as_py()
-    order = np.argsort(rows["interval"].to_numpy(), kind="stable").tolist()
-    edge, parts, nodes, blocks = [0], [], [], rows["block"].to_pylist()
-    for k in order:
-        take = lambda c: rows[c][k].values
-        vectors = pa.FixedSizeListArray.from_arrays(take("values"), dims)
-        parts.append(Interval(_matrix(vectors, dims) @ axes, take("weights").to_numpy(), lead))
-        nodes.append(take("nodes").to_numpy())
-        edge.append(edge[-1] + len(nodes[-1]))
-    weight, lefts, rights = np.zeros(edge[-1], np.int64), [], []
-    for i, a in enumerate(parts):
-        for j in range(i, len(parts)):
-            if (blocks[order[i]], blocks[order[j]]) != (low, high):
-                continue
-            weight_a, weight_b, label = join_intervals(a, parts[j], cosine, reach)
-            weight[edge[i] : edge[i + 1]] += weight_a
-            weight[edge[j] : edge[j + 1]] += weight_b
-            moved = np.flatnonzero(label != np.arange(len(label)))
-            # Local numbers run over the rows of the first interval, then over those of the second.
-            place = np.arange(edge[i], edge[i + 1])
-            if i != j:
-                place = np.concatenate((place, np.arange(edge[j], edge[j + 1])))
-            lefts.append(place[moved])
-            rights.append(place[label[moved]])
-    none, every = np.empty(0, np.int64), np.concatenate(nodes)
-    label = join_local(np.concatenate([none, *lefts]), np.concatenate([none, *rights]), len(every))
+    rows = rows.sort_by("interval")
+
+    def whole(block: str) -> tuple[Interval, np.ndarray]:
+        of = rows.filter(pc.equal(rows["block"], rows[block][0])).combine_chunks()
+        vectors, weights, nodes = (of[c].chunk(0) for c in ("values", "weights", "nodes"))
+        vectors = pa.FixedSizeListArray.from_arrays(vectors.flatten(), dims)
+        return Interval(_matrix(vectors, dims) @ axes, weights.flatten().to_numpy(), lead), nodes.flatten().to_numpy()
+
+    a, nodes = whole("p")
+    if rows["p"][0] == rows["q"][0]:
+        weight_a, weight_b, label = join_intervals(a, a, cosine, reach)
+        weight = weight_a + weight_b
+    else:
+        b, others = whole("q")
+        weight_a, weight_b, label = join_intervals(a, b, cosine, reach)
+        weight, nodes = np.concatenate((weight_a, weight_b)), np.concatenate((nodes, others))
     hit = np.flatnonzero(weight)
-    return pa.table({"node": every[hit], "weight": weight[hit], "tree": every[label[hit]]})
+    return pa.table({"node": nodes[hit], "weight": weight[hit], "tree": nodes[label[hit]]})
 
 
 def near_vectors(
@@ -244,8 +239,7 @@ def near_vectors(
     vectors are one node with a weight, and a pair of blocks gives sums of weights and a spanning forest, so
     no group of copies is expanded into pairs. Intervals hold ``interval_rows`` rows whatever the data. They are
     dealt out in pairs of blocks of neighbours, so an interval is copied once per block in reach, not once per
-    interval; a block has about the square root of the number of intervals, and ``max_block`` (at most twice that) at
-    any size.
+    interval; a block has the rows of about the square root of the number of intervals, of ``max_block`` at most.
 
     A vector that is null, zero, of another length than most or with null or non-finite components links with
     nothing and is its own component. A null id keeps its row and counts as a link of others, but names no
@@ -263,13 +257,15 @@ def near_vectors(
     lead = min(lead, dims)
     names = [f"c{k}" for k in range(min(order_dims, dims))]
     intervals = max(1, -(-(sizes["rows"] if sizes else 0) // interval_rows))
-    block = min(max_block, isqrt(intervals))
+    block_rows = interval_rows * min(max_block, isqrt(intervals))
     keyed = in_grid_order(units, axes, reach, names)
-    ranged = keyed.repartitionByRange(-(-intervals // block), *names, "node").sortWithinPartitions(*names, "node")
-    grouped = materialise(cut_intervals(ranged, axes, interval_rows, 2 * block))
+    ranged = keyed.repartitionByRange(intervals, *names, "node").sortWithinPartitions(*names, "node")
+    grouped = materialise(cut_intervals(ranged, axes, interval_rows))
     # Only intervals in the same or adjoining cells of the first axis can be within reach; there are few cells,
     # since unit vectors lie between -1 and 1.
-    boxes = grouped.drop("nodes", "weights", "values")
+    before = F.sum("size").over(Window.orderBy("interval")) - F.col("size")  # a row for each interval
+    boxes = grouped.drop("nodes", "weights", "values").withColumn("block", F.floor(before / block_rows))
+    boxes = materialise(boxes.drop("size"))
     partner = boxes.select(*[F.col(c).alias(f"{c}_b") for c in boxes.columns])
     here = boxes.withColumn("cell", F.explode(F.sequence("first_cell", "last_cell")))
     there = partner.withColumn("cell", F.explode(F.sequence(F.col("first_cell_b") - 1, F.col("last_cell_b") + 1)))
@@ -279,11 +275,13 @@ def near_vectors(
         lambda s, g: s + F.pow(F.greatest(F.lit(0.0), g["low"] - g["high_b"], g["low_b"] - g["high"]), F.lit(2)),
     )
     near = here.join(there, "cell").filter("interval <= interval_b").filter(gap <= (reach + MARGIN) ** 2)
-    near = near.select(F.col("block").alias("p"), F.col("block_b").alias("q"), F.array("interval", "interval_b").alias("both"))
-    wanted = materialise(near.select("p", "q", F.explode("both").alias("interval")).distinct())
+    near = near.select(F.col("block").alias("p"), F.col("block_b").alias("q"), F.array("interval", "interval_b").alias("both"), F.array("block", "block_b").alias("blocks"))
+    sides = F.explode(F.arrays_zip("both", "blocks"))
+    wanted = near.select("p", "q", sides.alias("s")).select("p", "q", "s.blocks", "s.both").distinct()
+    wanted = materialise(wanted.toDF("p", "q", "block", "interval"))
     # As many tasks as pairs of blocks: their work is in comparing, which sizes in bytes don't tell.
     tasks = min(max_tasks, max(1, wanted.select("p", "q").distinct().count()))
-    met = wanted.join(grouped.select("block", "interval", "nodes", "weights", "values"), "interval")
+    met = wanted.join(grouped.select("interval", "nodes", "weights", "values"), "interval")
     hits = materialise(
         met.repartition(tasks, "p", "q")
         .groupBy("p", "q")

@@ -195,6 +195,10 @@ def score_histogram(scores: DataFrame, bins: int = 30, column: str = "risk_score
     )
 
 
+#: What the portfolio is filtered by.
+FILTER_COLUMNS = ("grade", "purpose", "recommended_action")
+
+
 def with_tier(features: DataFrame, scores: DataFrame) -> DataFrame:
     """Features with their recommended action; unscored loans stay, with NULL."""
     return features.join(scores.select("loan_id", "recommended_action"), "loan_id", "left")

@@ -14,11 +14,12 @@ from loanloom.operators.explain import shap_values, top_drivers
 from loanloom.operators.features import PeerBenchmarks, final_model_features, loan_base_features, with_peer_benchmarks
 from loanloom.operators.metrics import compare_models, monitoring_row
 from loanloom.operators.model import RiskModel, model_scores, score, train_model
-from loanloom.operators.portfolio import yearly_origination_quality
+from loanloom.operators.portfolio import FILTER_COLUMNS, with_tier, yearly_origination_quality
 from loanloom.operators.quality import clean
 from loanloom.operators.split import sample_n, stratified_split
 from loanloom.operators.stress import fit_sensitivity, stress_el, stress_rows
 from loanloom.schemas import CUSTOMERS, LOANS, REPAYMENTS, STRESS_TEST_RESULTS
+from loanloom.sources.layout import write_clustered
 from loanloom.sources.raw_loans import (
     assign_ids,
     filter_resolved,
@@ -130,6 +131,17 @@ def score_and_explain(
     upsert(row, f"{warehouse}/model_monitoring", ["model_version"])
 
 
+def store_portfolio(spark: SparkSession, warehouse: str, model_version: str = "v1", files: int = 64) -> DataFrame:
+    """Model table with the tiers of one model version, laid out for filters by grade, purpose and tier.
+
+    Written to ``<warehouse>/portfolio`` and read back. Choose ``files`` so that one holds some 100 MB.
+    """
+    scores = read_scores(spark, f"{warehouse}/risk_scores").filter(F.col("model_version") == model_version)
+    tiered = with_tier(spark.read.parquet(f"{warehouse}/model_table"), scores)
+    write_clustered(tiered, f"{warehouse}/portfolio", FILTER_COLUMNS, "loan_id", files)
+    return spark.read.parquet(f"{warehouse}/portfolio")
+
+
 def stress(
     spark: SparkSession,
     warehouse: str,

@@ -44,7 +44,7 @@ from loanloom.schemas import (
     add_columns,
     enforce_schema,
 )
-from loanloom.sources import key_index, raw_loans, sample_book, sinks
+from loanloom.sources import key_index, layout, raw_loans, sample_book, sinks
 from loanloom.sources.tables import TableCache, read_macro, read_table
 
 # The sample tables start in 1995, so later years stand in for the crisis window.
@@ -631,6 +631,17 @@ def filter_counts(spark, d):
     return portfolio.filter_counts(tiered, grade="F", recommended_action="Reduce credit limit", default_flag=1)
 
 
+@query
+def clustered_portfolio_filters(spark, d):
+    """The tiered portfolio stored along a curve: rows per filter value, and whether half the files can be skipped."""
+    path = f"{shared_folder(spark, 'clustered')}/portfolio"
+    tiered = portfolio.with_tier(sample_book.loans(spark, d), _scores(spark, d))
+    columns = portfolio.FILTER_COLUMNS
+    layout.write_clustered(tiered.select("loan_id", *columns, "default_flag"), path, columns, "loan_id", files=64)
+    admitted = layout.files_admitted(spark.read.parquet(path), columns)
+    return admitted.select("name", "value", "n_rows", (2 * F.col("n_files") <= F.col("all_files")).cast("long").alias("skips_half"))
+
+
 @query
 def scores_of_filtered_loans(spark, d):
     chosen = portfolio.filter_portfolio(sample_book.loans(spark, d), grade="C", purpose="1-URGENT")

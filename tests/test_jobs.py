@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loanloom.functions.shared import shared_folder
-from loanloom.operators.portfolio import loans_with_payments, point_lookup
+from loanloom.operators.portfolio import filter_portfolio, loans_with_payments, point_lookup
 from loanloom.plans import jobs
 from loanloom.schemas import LOANS, REPAYMENTS, TABLES, enforce_schema
 from loanloom.sources import raw_loans, sample_book, sinks
@@ -113,6 +113,11 @@ def test_train_score_stress_end_to_end(spark, warehouse):
     monitoring = spark.read.parquet(f"{warehouse}/model_monitoring").collect()
     assert len(monitoring) == 1 and monitoring[0].trained_date == STAMP
 
+    stored = jobs.store_portfolio(spark, warehouse, "v1", files=8)
+    assert stored.count() == table.count() and stored.filter("recommended_action is null").count() == 0
+    top = filter_portfolio(stored, tier="Manual review").count()
+    assert top == scores.filter("recommended_action = 'Manual review'").count()
+
     macro = sample_book.macro(spark, SF)
     for _ in range(2):
         rows = jobs.stress(spark, warehouse, macro, run_date=STAMP).collect()

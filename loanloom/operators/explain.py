@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -54,19 +54,23 @@ base_value = tree_shap.mean_value
 def shap_values(model: RiskModel, df: DataFrame, rules: list[tree_shap.Leaf] | None = None) -> DataFrame:
     """Add ``shap``, one log-odds contribution per feature, and ``shap_base`` to prepared or plain rows.
 
-    The only Python work of the library: Arrow batches against the broadcast paths of the leaves, whose size is
-    bounded by the model (rounds x 2^depth x depth x 28 bytes). Missing entries of a vector go where the trees send them.
+    The only Python work of the library: Arrow batches against the broadcast leaves, whose size is bounded: tables of
+    their shares (64 MB at most), or for deep trees their paths (rounds x 2^depth x depth x 28 bytes). Missing entries
+    of a vector go where the trees send them.
     """
     spark = df.sparkSession
     rules = leaf_rules(spark, model.trees) if rules is None else rules
-    shared = spark.sparkContext.broadcast(tree_shap.pack(rules))
+    known = tree_shap.tables(rules)
+    shared = spark.sparkContext.broadcast(tree_shap.pack(rules) if known is None else known)
+    shares = tree_shap.contributions if known is None else tree_shap.looked_up
     width = len(model.names)
 
-    @F.pandas_udf("array<double>")
-    def explain(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<double>")
+    def explain(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for rows in batches:
-            x = np.stack(rows.to_numpy()) if len(rows) else np.zeros((0, width))
-            yield pd.Series(list(tree_shap.contributions(x, shared.value)))
+            x = rows.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+            ends = pa.array(np.arange(len(x) + 1, dtype=np.int32) * width)
+            yield pa.ListArray.from_arrays(ends, pa.array(shares(x, shared.value).ravel()))
 
     prepared = df if FEATURES in df.columns else model.prepare(df)
     return prepared.withColumn("shap", explain(vector_to_array(FEATURES))).withColumn(

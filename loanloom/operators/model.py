@@ -180,10 +180,24 @@ class RiskModel:
         )
 
 
+#: Rows that make a task of their own in the many short passes of the training.
+TASK_ROWS = 25_000
+
+
+def _spread(train: DataFrame) -> DataFrame:
+    """The model's inputs and the label in equal parts, two for each core at most.
+
+    Files with few row groups would leave most cores idle in every pass of the training.
+    """
+    rows = model_input(train).select(*NUMERIC_FEATURES, *CATEGORICAL_FEATURES, LABEL)
+    parts = min(2 * train.sparkSession.sparkContext.defaultParallelism, -(-train.count() // TASK_ROWS))
+    return rows.repartition(max(1, parts))
+
+
 def train_model(train: DataFrame, calib: DataFrame, rounds: int = 200, depth: int = 4, rate: float = 0.1) -> RiskModel:
     """Fit everything on ``train`` but the isotonic map, which sees only ``calib``."""
     preprocess = fit_preprocessor(model_input(train))
-    prepared = preprocess.transform(model_input(train)).select(FEATURES, LABEL).persist()
+    prepared = preprocess.transform(_spread(train)).select(FEATURES, LABEL).persist()
     baseline = fit_baseline(prepared)
     trees = fit_trees(prepared, rounds, depth, rate)
     prepared.unpersist()

@@ -345,6 +345,16 @@ def appended_loads(spark, d):
     return per_load.withColumn("n_violations", materialise(broken.agg(F.count("*").alias("n"))).scalar())
 
 
+def _with_headers(lines, header):
+    """``lines`` (``value``) with the header before the first line of every partition, so each file written of them has one."""
+    alone = lines.sparkSession.range(1, numPartitions=1).select(F.lit(header).alias("value"), F.lit(True).alias("header"))
+    rows = alone.unionByName(lines.withColumn("header", F.lit(False)))
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1)) == 0
+    marked = rows.withColumn("first", first)
+    value = F.when(F.col("first") & ~F.col("header"), F.array(F.lit(header), "value")).otherwise(F.array("value"))
+    return marked.select(F.explode(value).alias("value"))
+
+
 @query
 def rejected_records(spark, d):
     """A raw file with broken records, read with its errors: records, rows and rejects by reason."""
@@ -358,10 +368,7 @@ def rejected_records(spark, d):
     whole = F.concat_ws(",", *fields.values())
     short = F.concat_ws(",", *list(fields.values())[:7])
     lines = raw.withColumn("kind", kind).select(F.when(F.col("kind") == "short", short).otherwise(whole).alias("value"))
-    header = spark.range(1).select(F.lit(",".join(raw_loans.RAW_COLUMNS)).alias("value"))
-    # One file, whose first line is the header.
-    numbered = header.withColumn("n", F.lit(0)).unionByName(lines.withColumn("n", F.lit(1)))
-    numbered.repartitionByRange(1, "n").sortWithinPartitions("n").select("value").write.text(f"{folder}/loan.csv")
+    _with_headers(lines, ",".join(raw_loans.RAW_COLUMNS)).write.text(f"{folder}/loan.csv")
     good, rejects = raw_loans.read_checked_loans(spark, f"{folder}/loan.csv")
     counts = raw_loans.reject_counts(rejects)
     read = good.agg(F.lit("none").alias("reason"), F.count("*").alias("n_records"), F.sum(F.col("annual_inc").cast("decimal(12,2)")).alias("annual_inc"))

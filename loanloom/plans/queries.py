@@ -94,8 +94,13 @@ def _base(spark, d):
     return features.loan_base_features(b.loans, b.customers, b.repayments)
 
 
+def _stored_base(spark, d):
+    """The base columns behind the model table, stored: splits and peer counts read them several times."""
+    return materialise(_base(spark, d).select(*features.MODEL_BASE_COLUMNS))
+
+
 def _model_table(spark, d):
-    return features.final_model_features(_base(spark, d))
+    return features.final_model_features(_stored_base(spark, d))
 
 
 def _scores(spark, d):
@@ -1034,20 +1039,17 @@ def hypothetical_features(spark, d):
 
 # -- the trained model -----------------------------------------------------------------------
 
-_tables: dict[tuple[str, str], str] = {}
+_tables: dict[tuple[str, str], DataFrame] = {}
 _trained: dict[tuple[str, str], RiskModel] = {}
 
 
 def _split_table(spark, d):
-    """The cleaned, split model table, written once per session as the training job does."""
+    """The cleaned, split model table, made once per session: one pass over the rows that cleaning has stored."""
     key = (spark.sparkContext.applicationId, d)
     if key not in _tables:
         cleaned = quality.clean(_model_table(spark, d))[0]
-        rows = split.hash_split(cleaned, "loan_id", method="modular")
-        path = f"{shared_folder(spark, 'model-table')}/rows"
-        rows.write.parquet(path)
-        _tables[key] = path
-    return spark.read.parquet(_tables[key])
+        _tables[key] = split.hash_split(cleaned, "loan_id", method="modular")
+    return _tables[key]
 
 
 def _part(spark, d, name):
@@ -1058,11 +1060,9 @@ def _stratified_table(spark, d):
     """The cleaned model table with the split that the training job makes: stratified, before anything else."""
     key = (spark.sparkContext.applicationId, f"stratified {d}")
     if key not in _tables:
-        base = split.stratified_split(_base(spark, d), "default_flag", "loan_id", method="modular")
-        path = f"{shared_folder(spark, 'stratified-table')}/rows"
-        quality.clean(features.final_model_features(base))[0].write.parquet(path)
-        _tables[key] = path
-    return spark.read.parquet(_tables[key])
+        base = split.stratified_split(_stored_base(spark, d), "default_flag", "loan_id", method="modular")
+        _tables[key] = quality.clean(features.final_model_features(base))[0]
+    return _tables[key]
 
 
 def _stratified_part(spark, d, name):

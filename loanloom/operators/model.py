@@ -17,12 +17,16 @@ from pyspark.ml.regression import IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loanloom.operators import boosting
 from loanloom.operators.calibration import apply_isotonic, fit_isotonic
 from loanloom.operators.decision import risk_score
 from loanloom.operators.features import CATEGORICAL_FEATURES, LABEL, NUMERIC_FEATURES
 
 FEATURES = "features"
 
+#: Rows that make a task of their own in the many short passes of the training.
+TASK_ROWS = 25_000
+
 
 def model_input(df: DataFrame) -> DataFrame:
     """Numeric inputs as doubles, NaN as NULL; no repayment snapshot means no known delinquency."""
@@ -121,12 +125,15 @@ def fit_baseline(train: DataFrame, c: float = 0.1, max_iter: int = 1000) -> Logi
 def fit_trees(
     train: DataFrame, rounds: int = 200, depth: int = 4, rate: float = 0.1, seed: int = 42
 ) -> GBTClassificationModel:
-    """Boosted trees on preprocessed rows, defaults weighted by neg/pos."""
+    """Boosted trees on preprocessed rows, defaults weighted by neg/pos.
+
+    MLlib grows them where a task holds all rows, ``boosting`` by the same rules where many tasks share them.
+    """
     w = class_weights(train).first()
     # Without its metadata a one-hot entry is split by a threshold like any number.
     vector = F.col(FEATURES).alias(FEATURES, metadata={})
     rows = _weighted(train, w.positive_weight, 1.0).select(vector, F.col(LABEL).cast("double"), "__weight")
-    return GBTClassifier(
+    estimator = GBTClassifier(
         featuresCol=FEATURES,
         labelCol=LABEL,
         weightCol="__weight",
@@ -135,7 +142,12 @@ def fit_trees(
         stepSize=rate,
         seed=seed,
         maxMemoryInMB=512,
-    ).fit(rows)
+    )
+    n = w.n_negative + w.n_positive
+    if n <= TASK_ROWS or not w.n_negative or not w.n_positive:
+        return estimator.fit(rows)
+    total = w.n_negative + w.n_positive * w.positive_weight
+    return boosting.fit(estimator, rows, n, total, w.positive_weight)
 
 
 def positive_probability(probability: str = "probability") -> Column:
@@ -180,10 +192,6 @@ class RiskModel:
         )
 
 
-#: Rows that make a task of their own in the many short passes of the training.
-TASK_ROWS = 25_000
-
-
 def _spread(train: DataFrame) -> DataFrame:
     """The model's inputs and the label in equal parts, two for each core at most.
 

@@ -1044,10 +1044,13 @@ _trained: dict[tuple[str, str], RiskModel] = {}
 
 
 def _split_table(spark, d):
-    """The cleaned, split model table, made once per session: one pass over the rows that cleaning has stored."""
-    key = (spark.sparkContext.applicationId, d)
+    """The cleaned, split model table, made once per session: one pass over the rows that cleaning has stored.
+
+    Neither peers nor cleaning ask for the split, so where the stratified table is made, its rows serve both.
+    """
+    key, stratified = (spark.sparkContext.applicationId, d), (spark.sparkContext.applicationId, f"stratified {d}")
     if key not in _tables:
-        cleaned = quality.clean(_model_table(spark, d))[0]
+        cleaned = _tables[stratified].drop("split") if stratified in _tables else quality.clean(_model_table(spark, d))[0]
         _tables[key] = split.hash_split(cleaned, "loan_id", method="modular")
     return _tables[key]
 

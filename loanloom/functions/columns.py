@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -67,3 +67,8 @@ def by_magnitude(pairs: Column) -> Column:
         pairs, lambda p, i: F.struct((-F.abs(p["value"])).alias("rank"), i.alias("pos"), p.alias("pair"))
     )
     return F.transform(F.array_sort(keyed), lambda k: k["pair"])
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is worked out once a row however often ``body`` reads it."""
+    return F.transform(F.array(value), body)[0]

@@ -11,7 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanloom.functions.columns import by_magnitude, ratio_or_zero
+from loanloom.functions.columns import by_magnitude, let, ratio_or_zero
 from loanloom.operators import tree_shap
 from loanloom.operators.model import FEATURES, RiskModel
 
@@ -136,21 +136,25 @@ def increasing_drivers(pairs: Column, n: int = 3) -> Column:
     """Labels of the n largest risk-raising contributions; a fixed sentence when there is none."""
     rising = F.slice(F.filter(by_magnitude(pairs), lambda d: d["value"] > 0), 1, n)
     labels = F.transform(rising, lambda d: d["label"])
-    return F.when(F.size(rising) > 0, labels).otherwise(F.array(F.lit(NO_DRIVER)))
+    return let(labels, lambda known: F.when(F.size(known) > 0, known).otherwise(F.array(F.lit(NO_DRIVER))))
 
 
 def driver_breakdown(pairs: Column, n: int = 5) -> Column:
     """The n largest contributions with label, direction and percent of the largest."""
-    top = top_by_magnitude(pairs, n)
-    largest = F.array_max(F.transform(top, lambda d: F.abs(d["value"])))
-    return F.transform(
-        top,
-        lambda d: F.struct(
+
+    def shown(d: Column, largest: Column) -> Column:
+        return F.struct(
             d["label"].alias("driver"),
             F.when(d["value"] > 0, RAISES).otherwise(LOWERS).alias("direction"),
             (ratio_or_zero(F.abs(d["value"]), largest) * 100).alias("percent_of_max"),
-        ),
-    )
+        )
+
+    def beside_largest(top: Column) -> Column:
+        # Inside the lambda of ``shown`` the largest would be found again for every entry.
+        largest = F.array_max(F.transform(top, lambda d: F.abs(d["value"])))
+        return let(largest, lambda most: F.transform(top, lambda d: shown(d, most)))
+
+    return let(top_by_magnitude(pairs, n), beside_largest)
 
 
 def top_drivers(df: DataFrame, names: Sequence[str], n: int = 3, mode: str = "abs", values: str = "shap") -> DataFrame:

@@ -295,3 +295,14 @@ def test_labels_of_names_follow_the_label_table(spark):
     names = ["num__dti", "num__dti_missing", "cat__grade_A", "num__loan_amount_rank_in_grade", "cat__purpose_car", "signal_3", "grade_default_rate"]
     rows = explain.label_features(spark.createDataFrame([(n,) for n in names], "feature string")).collect()
     assert {r.feature: r.label for r in rows} == {n: explain.plain_label(n) for n in names}
+
+
+def test_breakdown_orders_the_contributions_once(spark):
+    pairs = explain.named_values(F.col("v"), ["num__dti", "num__x_y"])
+    df = spark.createDataFrame([([0.5, -1.0],), (None,)], "v array<double>")
+    told = df.select(explain.driver_breakdown(pairs, 2).alias("parts"), explain.increasing_drivers(pairs).alias("up"))
+    plan = told._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array_sort(") == 2
+    known, unknown = told.collect()
+    assert [(p.direction, p.percent_of_max) for p in known.parts] == [("Decreases risk", 100.0), ("Increases risk", 50.0)]
+    assert known.up == ["Debt-to-income ratio"] and unknown.parts is None and unknown.up == [explain.NO_DRIVER]

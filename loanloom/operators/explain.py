@@ -54,7 +54,7 @@ base_value = tree_shap.mean_value
 def shap_values(model: RiskModel, df: DataFrame, rules: list[tree_shap.Leaf] | None = None) -> DataFrame:
     """Add ``shap``, one log-odds contribution per feature, and ``shap_base`` to prepared or plain rows.
 
-    The only Python work of the library: Arrow batches against the broadcast leaves, whose size is bounded: tables of
+    Python work: Arrow batches against the broadcast leaves, whose size is bounded: tables of
     their shares (64 MB at most), or for deep trees their paths (rounds x 2^depth x depth x 28 bytes). Missing entries
     of a vector go where the trees send them.
     """
